@@ -150,11 +150,6 @@ def stage_clean(warehouse: Warehouse, paths: Mapping[str, str]) -> None:
         warehouse.stage_files(STAGES[table], path, schema)
 
 
-def _staged(warehouse: Warehouse, table: str, on_violation: str) -> DataFrame:
-    spec = warehouse.specs[table]
-    return enforce(conform(warehouse.read(STAGES[table]), spec), spec, on_violation)
-
-
 def merge_table(
     warehouse: Warehouse, name: str, on_violation: str = "fail", dedupe: bool = False
 ) -> None:
@@ -165,21 +160,27 @@ def merge_table(
     key instead of raising.
     """
 
+    state = warehouse.snapshot()
+
     def options(table: str) -> dict:
         spec = warehouse.specs[table]
         # The keys are declared NOT NULL and were just checked.
         return {"dedupe_by": spec.set_cols if dedupe else None, "null_keys": False}
 
+    def stored(table: str) -> DataFrame:
+        return warehouse.read(table, state)
+
     def stage(table: str) -> DataFrame:
-        return _staged(warehouse, table, on_violation)
+        spec = warehouse.specs[table]
+        return enforce(conform(warehouse.read(STAGES[table], state), spec), spec, on_violation)
 
     if name == "movies":
-        merged = movies.merge_movies(warehouse.read("movies"), stage("movies"), **options("movies"))
+        merged = movies.merge_movies(stored("movies"), stage("movies"), **options("movies"))
         warehouse.publish({"movies": merged}, consume=[STAGES["movies"]])
     elif name == "genre":
-        merged = genres.merge_genres(warehouse.read("genre"), stage("genre"), **options("genre"))
+        merged = genres.merge_genres(stored("genre"), stage("genre"), **options("genre"))
         pairs = genres.new_movie_genres(
-            warehouse.read("movie_genre"), stage("movie_genre"), **options("movie_genre")
+            stored("movie_genre"), stage("movie_genre"), **options("movie_genre")
         )
         warehouse.publish(
             {"genre": merged},
@@ -187,12 +188,10 @@ def merge_table(
             consume=[STAGES["movie_genre"], STAGES["genre"]],
         )
     elif name == "date":
-        merged = dates.merge_dates(warehouse.read("date"), stage("date"), **options("date"))
+        merged = dates.merge_dates(stored("date"), stage("date"), **options("date"))
         warehouse.publish({"date": merged}, consume_if_exists=[STAGES["date"]])
     elif name == "ratings":
-        merged = ratings.merge_ratings(
-            warehouse.read("ratings"), stage("ratings"), **options("ratings")
-        )
+        merged = ratings.merge_ratings(stored("ratings"), stage("ratings"), **options("ratings"))
         warehouse.publish({"ratings": merged}, consume_if_exists=[STAGES["ratings"]])
     elif name == "budgetrevenue":
         warehouse.publish(

@@ -69,8 +69,10 @@ class Warehouse:
             if e.getCondition() != "PATH_NOT_FOUND":
                 raise
             return {}
+        # A few rows per publish: one task reads them, nothing is shuffled.
         rows = (
-            log.groupBy("table")
+            log.coalesce(1)
+            .groupBy("table")
             .agg(
                 F.max_by(F.struct("version", "live", "paths", "schema"), "version").alias("e"),
                 F.count("version").alias("n"),
@@ -95,13 +97,17 @@ class Warehouse:
         entry = self.snapshot().get(name)
         return entry is not None and entry.live
 
-    def read(self, name: str) -> DataFrame:
-        """The published rows; an empty frame for a table that was only created."""
-        entry = self.snapshot().get(name)
+    def read(self, name: str, state: Mapping[str, Entry] | None = None) -> DataFrame:
+        """The published rows; an empty frame for a table that was only created.
+
+        With ``state``, an earlier ``snapshot()``, the rows as of that snapshot.
+        """
+        entry = (self.snapshot() if state is None else state).get(name)
         if entry is None or not entry.live:
             raise KeyError(f"no table {name!r} in {self.root}")
         if not entry.paths:
-            return self.spark.createDataFrame([], entry.schema)
+            columns = [F.lit(None).cast(f.dataType).alias(f.name) for f in entry.schema.fields]
+            return self.spark.range(1).where(F.lit(False)).select(*columns)
         return read_parquet(self.spark, *entry.paths, schema=entry.schema)
 
     def stale_paths(self) -> DataFrame:
@@ -197,9 +203,15 @@ class Warehouse:
             return
         publish_id = uuid.uuid4().hex
         lines = [
-            (name, version, live, list(paths), schema.json(), publish_id)
+            F.struct(
+                F.lit(name),
+                F.lit(version).cast("long"),
+                F.lit(live),
+                F.array(*[F.lit(p) for p in paths]).cast("array<string>"),
+                F.lit(schema.json()),
+                F.lit(publish_id),
+            )
             for name, version, live, paths, schema in rows
         ]
-        self.spark.createDataFrame(lines, _MANIFEST).coalesce(1).write.mode("append").parquet(
-            f"{self.root}/_manifest"
-        )
+        entry = self.spark.range(1).coalesce(1).select(F.inline(F.array(*lines)))
+        entry.toDF(*_MANIFEST.names).write.mode("append").parquet(f"{self.root}/_manifest")

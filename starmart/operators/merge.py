@@ -52,32 +52,20 @@ def _spread(keys: Sequence[str]) -> Column:
     return F.when(keys_present(keys), F.lit(0)).otherwise(F.spark_partition_id())
 
 
-def _join_keys(df: DataFrame, keys: Sequence[str], null_keys: bool) -> tuple[DataFrame, list[str]]:
-    if not null_keys:
-        return df, list(keys)
-    return df.withColumn(_SPREAD, _spread(keys)), [*keys, _SPREAD]
-
-
-def one_row_per_key(
-    source: DataFrame, keys: Sequence[str], dedupe_by: Sequence[str], null_keys: bool = True
-) -> DataFrame:
+def one_row_per_key(source: DataFrame, keys: Sequence[str], dedupe_by: Sequence[str]) -> DataFrame:
     """The row with the smallest ``dedupe_by`` (NULL first) for every key.
 
     Remaining ties go to the smallest row over all columns.  It is a plain minimum,
-    so copies of a hot key shrink to one row per task before the shuffle.  Rows with
-    a NULL key are no duplicates of each other and all stay.
+    so copies of a hot key shrink to one row per task before the shuffle.
     """
-    rest = [c for c in source.columns if c not in keys and c not in dedupe_by]
-    order = [c for c in dedupe_by if c not in keys] + rest
-    keyed = source.where(keys_present(keys)) if null_keys else source
-    picked = (
-        keyed.groupBy(*keys)
-        .agg(F.min(F.struct(*order)).alias("__row"))
-        .select(*[F.col(c) if c in keys else F.col(f"__row.{c}").alias(c) for c in source.columns])
-        if order
-        else keyed.distinct()
+    order = [c for c in dedupe_by if c not in keys]
+    order += [c for c in source.columns if c not in keys and c not in order]
+    if not order:
+        return source.distinct()
+    picked = source.groupBy(*keys).agg(F.min(F.struct(*order)).alias("__row"))
+    return picked.select(
+        *[F.col(c) if c in keys else F.col(f"__row.{c}").alias(c) for c in source.columns]
     )
-    return picked.unionByName(source.where(~keys_present(keys))) if null_keys else picked
 
 
 def require_unique(source: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -91,16 +79,18 @@ def require_unique(source: DataFrame, keys: Sequence[str]) -> DataFrame:
     return source
 
 
-def _one_per_key(
+def _complete(
     source: DataFrame,
     keys: Sequence[str],
     dedupe_by: Sequence[str] | None,
     unique: bool,
     null_keys: bool,
 ) -> DataFrame:
+    """The source rows that can match: complete keys, each once."""
+    keyed = source.where(keys_present(keys)) if null_keys else source
     if dedupe_by is not None:
-        return one_row_per_key(source, keys, dedupe_by, null_keys)
-    return source if unique else require_unique(source, keys)
+        return one_row_per_key(keyed, keys, dedupe_by)
+    return keyed if unique else require_unique(keyed, keys)
 
 
 def update_from(
@@ -120,9 +110,11 @@ def update_from(
     """
     if set_cols is None:
         set_cols = [c for c in target.columns if c in source.columns and c not in keys]
-    source = _one_per_key(source, keys, dedupe_by, unique, null_keys)
-    left, on = _join_keys(target, keys, null_keys)
-    right, _ = _join_keys(source, keys, null_keys)
+    right = _complete(source, keys, dedupe_by, unique, null_keys)
+    left, on = target, list(keys)
+    if null_keys:
+        left, right = left.withColumn(_SPREAD, _spread(keys)), right.withColumn(_SPREAD, _spread(keys))
+        on.append(_SPREAD)
     right = right.select(
         *[F.col(k).alias(f"__s_{k}") for k in on],
         *[F.col(c).alias(f"__s_{c}") for c in set_cols],
@@ -155,16 +147,17 @@ def insert_new(
     semi-join in between lets a small source be broadcast to the target instead.
     """
     wanted = source.where(keys_present(keys)).select(*keys)
-    fresh = _one_per_key(source, keys, dedupe_by, unique, null_keys)
+    if dedupe_by is not None:  # copies of a key shrink before the shuffle
+        wanted = wanted.distinct()
     known = (
         target.where(keys_present(keys))
         .select(*keys)
         .distinct()
         .join(wanted, list(keys), "left_semi")
     )
-    left, on = _join_keys(fresh, keys, null_keys)
-    right, _ = _join_keys(known, keys, null_keys)
-    return left.join(right, on, "left_anti").select(*source.columns)
+    complete = _complete(source, keys, dedupe_by, unique, null_keys)
+    fresh = complete.join(known, list(keys), "left_anti").select(*source.columns)
+    return fresh.unionByName(source.where(~keys_present(keys))) if null_keys else fresh
 
 
 def insert_only_new(

@@ -31,5 +31,12 @@ def read_csv_typed(
 
 
 def write_csv(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
-    """Header CSV with doubled quotes, readable by ``read_csv_typed``."""
-    df.write.mode(mode).option("header", True).option("escape", '"').csv(path)
+    """Header CSV with doubled quotes and untrimmed text, readable by ``read_csv_typed``."""
+    (
+        df.write.mode(mode)
+        .option("header", True)
+        .option("escape", '"')
+        .option("ignoreLeadingWhiteSpace", False)
+        .option("ignoreTrailingWhiteSpace", False)
+        .csv(path)
+    )

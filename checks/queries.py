@@ -822,8 +822,9 @@ def job_load_all(spark, sf):
     )
     write_csv(rated.select(*RATINGS_CSV.names), f"{prefix}/in/ratings.csv")
     warehouse = run_all(spark, f"{prefix}/in", f"{prefix}/out", f"{prefix}/warehouse")
+    state = warehouse.snapshot()
     counts = [
-        warehouse.read(name).agg(F.lit(name).alias("name"), F.count(F.lit(1)).alias("n_rows"))
+        warehouse.read(name, state).agg(F.lit(name).alias("name"), F.count(F.lit(1)).alias("n_rows"))
         for name in CLEAN_NAMES
     ]
     out = counts[0]

@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Mapping
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
+from functools import partial
 
-from pyspark import StorageLevel
+from pyspark import StorageLevel, inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
@@ -67,6 +69,24 @@ JOBS: dict[str, Job] = {
 }
 
 
+@dataclass(frozen=True)
+class Clean:
+    """A stored clean dataset."""
+
+    path: str
+    schema: T.StructType
+
+
+def _side_by_side(spark: SparkSession, calls: Iterable[Callable]) -> list:
+    """Run independent jobs at the same time, so that small ones do not idle the cluster.
+
+    All of them finish; the first failure is then raised.
+    """
+    calls = [inheritable_thread_target(spark)(c) for c in calls]
+    with ThreadPoolExecutor(len(calls)) as pool:
+        return [f.result() for f in [pool.submit(c) for c in calls]]
+
+
 def clean_path(output: str, table: str) -> str:
     return f"{output.rstrip('/')}/{CLEAN_NAMES[table]}.parquet"
 
@@ -88,8 +108,8 @@ def run_job(
     dialects: Mapping[str, str] | None = None,
     jdbc: Mapping[str, object] | None = None,
     source: DataFrame | None = None,
-) -> dict[str, str]:
-    """Clean one source into its Parquet datasets; the path per warehouse table.
+) -> dict[str, Clean]:
+    """Clean one source into its Parquet datasets, one per warehouse table it feeds.
 
     ``jdbc`` (``url``, optionally ``properties`` and ``schema``) also appends every
     dataset to its staging table there, reading back the Parquet just written.
@@ -100,18 +120,19 @@ def run_job(
     if job.shared is not None:
         df = job.shared(df).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        paths = {}
+        stored = {}
         for table, clean in job.clean(df, required).items():
-            paths[table] = clean_path(output, table)
-            write_parquet(clean, paths[table])
+            path = clean_path(output, table)
+            write_parquet(clean, path)
+            stored[table] = Clean(path, clean.schema)
             if jdbc is not None:
                 append_jdbc(
-                    read_parquet(spark, paths[table], schema=clean.schema),
+                    read_parquet(spark, path, schema=clean.schema),
                     jdbc["url"],
                     f"{jdbc.get('schema', 'movies')}.{STAGES[table]}",
                     jdbc.get("properties"),
                 )
-        return paths
+        return stored
     finally:
         if job.shared is not None:
             df.unpersist()
@@ -124,30 +145,36 @@ def run_cleaning(
     required: str = "output",
     dialects: Mapping[str, str] | None = None,
     jdbc: Mapping[str, object] | None = None,
-) -> dict[str, str]:
+) -> dict[str, Clean]:
     """All clean-up jobs.  The movie file is parsed once into columnar form for the four
     jobs that read it."""
-    wide = read_source(spark, input, "movies", dialects)
+    run = partial(
+        run_job, spark, input=input, output=output, required=required, dialects=dialects, jdbc=jdbc
+    )
     used = [
         "id", "adult", "budget", "genres", "original_language", "title", "popularity",
         "release_date", "revenue", "vote_count", "vote_average",
     ]
-    parsed = materialize(wide if required == "all" else wide.select(*used), "movies-source")
-    paths = {}
-    for name, job in JOBS.items():
-        source = parsed if job.source == "movies" else None
-        paths |= run_job(spark, name, input, output, required, dialects, jdbc, source)
-    return paths
+
+    def movie_jobs() -> list[dict[str, Clean]]:
+        wide = read_source(spark, input, "movies", dialects)
+        parsed = materialize(wide if required == "all" else wide.select(*used), "movies-source")
+        names = [n for n, job in JOBS.items() if job.source == "movies"]
+        return _side_by_side(spark, [partial(run, n, source=parsed) for n in names])
+
+    def rating_jobs() -> list[dict[str, Clean]]:
+        return [run(n) for n, job in JOBS.items() if job.source == "ratings"]
+
+    found = _side_by_side(spark, [movie_jobs, rating_jobs])
+    return {table: clean for part in found for stored in part for table, clean in stored.items()}
 
 
 # -- merging -----------------------------------------------------------------------
 
 
-def stage_clean(warehouse: Warehouse, paths: Mapping[str, str]) -> None:
+def stage_clean(warehouse: Warehouse, stored: Mapping[str, Clean]) -> None:
     """Register clean datasets as staging batches, in place."""
-    for table, path in paths.items():
-        schema = read_parquet(warehouse.spark, path).schema
-        warehouse.stage_files(STAGES[table], path, schema)
+    warehouse.stage_files({STAGES[t]: (c.path, c.schema) for t, c in stored.items()})
 
 
 def merge_table(
@@ -161,6 +188,7 @@ def merge_table(
     """
 
     state = warehouse.snapshot()
+    publish = partial(warehouse.publish, state=state)
 
     def options(table: str) -> dict:
         spec = warehouse.specs[table]
@@ -176,25 +204,25 @@ def merge_table(
 
     if name == "movies":
         merged = movies.merge_movies(stored("movies"), stage("movies"), **options("movies"))
-        warehouse.publish({"movies": merged}, consume=[STAGES["movies"]])
+        publish({"movies": merged}, consume=[STAGES["movies"]])
     elif name == "genre":
         merged = genres.merge_genres(stored("genre"), stage("genre"), **options("genre"))
         pairs = genres.new_movie_genres(
             stored("movie_genre"), stage("movie_genre"), **options("movie_genre")
         )
-        warehouse.publish(
+        publish(
             {"genre": merged},
             append={"movie_genre": pairs},
             consume=[STAGES["movie_genre"], STAGES["genre"]],
         )
     elif name == "date":
         merged = dates.merge_dates(stored("date"), stage("date"), **options("date"))
-        warehouse.publish({"date": merged}, consume_if_exists=[STAGES["date"]])
+        publish({"date": merged}, consume_if_exists=[STAGES["date"]])
     elif name == "ratings":
         merged = ratings.merge_ratings(stored("ratings"), stage("ratings"), **options("ratings"))
-        warehouse.publish({"ratings": merged}, consume_if_exists=[STAGES["ratings"]])
+        publish({"ratings": merged}, consume_if_exists=[STAGES["ratings"]])
     elif name == "budgetrevenue":
-        warehouse.publish(
+        publish(
             append={"budgetrevenue": stage("budgetrevenue")},
             consume_if_exists=[STAGES["budgetrevenue"]],
         )
@@ -211,8 +239,9 @@ def merge_all(
     on_violation: str = "fail",
     dedupe: bool = False,
 ) -> None:
-    for name in names:
-        merge_table(warehouse, name, on_violation, dedupe)
+    """Merge several groups side by side; they share no table."""
+    calls = [partial(merge_table, warehouse, n, on_violation, dedupe) for n in names]
+    _side_by_side(warehouse.spark, calls)
 
 
 def run_all(

@@ -1,13 +1,13 @@
 """Versioned Parquet tables that change together or not at all.
 
 A table is a list of immutable Parquet folders.  Publishing writes new folders and
-then appends one small file to the manifest dataset; that file names the new
-versions of every table in the publish, so its appearance is the commit.  Readers
-take the highest version per table.  A failure before the commit leaves folders
-nobody refers to and the old versions readable.
+then adds one small file to the manifest; that file names the new versions of every
+table in the publish, so its appearance is the commit.  Readers take the highest
+version per table.  A failure before the commit leaves folders nobody refers to and
+the old versions readable.
 
-One writer per table at a time; writers of different tables do not disturb each
-other.  Two publishes of one version are reported by the next reader.
+One writer per table at a time; writers of different tables may run side by side.
+Two publishes of one version are reported by the next reader.
 """
 
 from __future__ import annotations
@@ -64,7 +64,7 @@ class Warehouse:
     def snapshot(self) -> dict[str, Entry]:
         """The current version of every table; one row per table reaches the driver."""
         try:
-            log = read_parquet(self.spark, f"{self.root}/_manifest", schema=_MANIFEST)
+            log = self._log()
         except AnalysisException as e:
             if e.getCondition() != "PATH_NOT_FOUND":
                 raise
@@ -112,7 +112,7 @@ class Warehouse:
 
     def stale_paths(self) -> DataFrame:
         """Folders (``path``) of superseded versions; nothing published refers to them."""
-        log = read_parquet(self.spark, f"{self.root}/_manifest", schema=_MANIFEST)
+        log = self._log()
         newest = log.groupBy("table").agg(F.max("version").alias("version"))
         current = log.join(newest, ["table", "version"]).where("live")
         paths = F.explode("paths").alias("path")
@@ -136,12 +136,16 @@ class Warehouse:
         """Append a batch to a staging table, creating it if absent."""
         self.publish(append={name: df})
 
-    def stage_files(self, name: str, path: str, schema: T.StructType) -> None:
-        """Append an already stored Parquet dataset to a staging table, without copying it."""
-        entry = self.snapshot().get(name)
-        old = entry.paths if entry is not None and entry.live else ()
-        version = 0 if entry is None else entry.version + 1
-        self._commit([(name, version, True, [*old, path], schema)])
+    def stage_files(self, batches: Mapping[str, tuple[str, T.StructType]]) -> None:
+        """Append stored Parquet datasets (path, schema) to staging tables, without copying."""
+        have = self.snapshot()
+        rows = []
+        for name, (path, schema) in batches.items():
+            entry = have.get(name)
+            old = entry.paths if entry is not None and entry.live else ()
+            version = 0 if entry is None else entry.version + 1
+            rows.append((name, version, True, [*old, path], schema))
+        self._commit(rows)
 
     def drop(self, name: str, if_exists: bool = False) -> None:
         self.publish(consume=() if if_exists else (name,), consume_if_exists=(name,) if if_exists else ())
@@ -152,14 +156,16 @@ class Warehouse:
         append: Mapping[str, DataFrame] | None = None,
         consume: Iterable[str] = (),
         consume_if_exists: Iterable[str] = (),
+        state: Mapping[str, Entry] | None = None,
     ) -> None:
         """Give tables new contents and drop staging tables, in one commit.
 
         ``replace`` frames become the whole table and may read its old version.
         ``append`` frames are added; stored rows are not rewritten.  ``consume``
         raises for a table that is not there, ``consume_if_exists`` does not.
+        ``state`` is the snapshot the frames were built from.
         """
-        have = self.snapshot()
+        have = self.snapshot() if state is None else state
 
         def live(name: str) -> bool:
             return name in have and have[name].live
@@ -189,6 +195,10 @@ class Warehouse:
         ]
         self._commit(rows)
 
+    def _log(self) -> DataFrame:
+        reader = self.spark.read.schema(_MANIFEST).option("recursiveFileLookup", True)
+        return reader.parquet(f"{self.root}/_manifest")
+
     def _write(self, name: str, df: DataFrame) -> str:
         path = f"{self.root}/{name}/{uuid.uuid4().hex}"
         spec = self.specs.get(name)
@@ -214,4 +224,5 @@ class Warehouse:
             for name, version, live, paths, schema in rows
         ]
         entry = self.spark.range(1).coalesce(1).select(F.inline(F.array(*lines)))
-        entry.toDF(*_MANIFEST.names).write.mode("append").parquet(f"{self.root}/_manifest")
+        # A folder of its own: writers at the same time share no temporary files.
+        write_parquet(entry.toDF(*_MANIFEST.names), f"{self.root}/_manifest/{publish_id}")

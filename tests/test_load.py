@@ -91,8 +91,10 @@ def test_wide_null_drop(spark, tmp_path):
 @pytest.mark.parametrize("job", ["genre", "date", "rating", "movies", "budgetrevenue"])
 def test_single_job_equals_whole_run(spark, tmp_path, job):
     run_cleaning(spark, str(DATA), str(tmp_path / "whole"))
-    for table, path in run_job(spark, job, str(DATA), str(tmp_path / "one")).items():
-        assert bag(spark.read.parquet(path)) == bag(read(spark, tmp_path / "whole", table))
+    for table, clean in run_job(spark, job, str(DATA), str(tmp_path / "one")).items():
+        stored = spark.read.parquet(clean.path)
+        assert stored.schema == clean.schema
+        assert bag(stored) == bag(read(spark, tmp_path / "whole", table))
 
 
 def test_job_refuses_existing_output(spark, tmp_path):
@@ -192,8 +194,8 @@ def test_command_line(spark, tmp_path):
 
 
 def test_plain_dialect_is_the_bare_header_reader(spark, tmp_path):
-    paths = run_job(
+    stored = run_job(
         spark, "budgetrevenue", str(DATA), str(tmp_path), dialects={"movies": "plain"}
     )
     # Doubled quotes and line breaks shred rows 2 and 3; the others survive.
-    assert (1, 30000000, 373554033) in rows(spark.read.parquet(paths["budgetrevenue"]))
+    assert (1, 30000000, 373554033) in rows(spark.read.parquet(stored["budgetrevenue"].path))

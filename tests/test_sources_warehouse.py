@@ -132,7 +132,7 @@ def test_stage_append_and_consume(spark, wh):
 def test_staged_files_are_not_copied(spark, wh, tmp_path):
     df = spark.createDataFrame([(1, "a")], "k long, v string")
     write_parquet(df, str(tmp_path / "clean"))
-    wh.stage_files("stage_t", str(tmp_path / "clean"), df.schema)
+    wh.stage_files({"stage_t": (str(tmp_path / "clean"), df.schema)})
     assert wh.snapshot()["stage_t"].paths == (str(tmp_path / "clean"),)
     assert bag(wh.read("stage_t")) == [(1, "a")]
 

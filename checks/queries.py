@@ -129,6 +129,15 @@ def csv_scan_multiline(spark, sf):
     return read_csv_typed(spark, path, docs.schema, "rfc4180")
 
 
+@query("csv_scan_split", "SELECT doc_id, text, source, n_chars FROM documents")
+def csv_scan_split(spark, sf):
+    # The same scan the way files too large for one task are read.
+    path = scratch_path(spark, "documents-csv")
+    docs = table(spark, sf, "documents").select("doc_id", "text", "source", "n_chars")
+    write_csv(docs, path)
+    return read_csv_typed(spark, path, docs.schema, "rfc4180", split_above=0)
+
+
 @query(
     "try_cast_null",
     """SELECT o_orderkey, TRY_CAST(o_orderpriority AS INTEGER) AS as_int,

@@ -18,21 +18,39 @@ def main(argv: list[str] | None = None) -> None:
     parser.add_argument("--required", choices=["output", "all"], default="output")
     parser.add_argument("--on-violation", choices=["fail", "drop"], default="fail")
     parser.add_argument("--dedupe", action="store_true", help="keep one row per source key")
+    parser.add_argument("--packages", help="connector packages for a new session")
+    parser.add_argument("--jdbc-url", help="also append the clean data to staging tables here")
+    parser.add_argument("--jdbc-schema", default="movies", help="schema of those tables")
+    parser.add_argument(
+        "--jdbc-property",
+        action="append",
+        default=[],
+        metavar="NAME=VALUE",
+        help="connection property such as driver, user or password",
+    )
     args = parser.parse_args(argv)
 
-    spark = SparkSession.builder.appName(f"starmart {args.job}").getOrCreate()
+    jdbc = None
+    if args.jdbc_url:
+        properties = dict(p.split("=", 1) for p in args.jdbc_property)
+        jdbc = {"url": args.jdbc_url, "schema": args.jdbc_schema, "properties": properties}
+    builder = SparkSession.builder.appName(f"starmart {args.job}")
+    if args.packages:
+        builder = builder.config("spark.jars.packages", args.packages)
+    spark = builder.getOrCreate()
+    options = {"required": args.required, "jdbc": jdbc}
     if args.job == "all":
         run_all(
             spark,
             args.input,
             args.output,
             args.warehouse,
-            args.required,
-            args.on_violation,
-            args.dedupe,
+            on_violation=args.on_violation,
+            dedupe=args.dedupe,
+            **options,
         )
     else:
-        run_job(spark, args.job, args.input, args.output, args.required)
+        run_job(spark, args.job, args.input, args.output, **options)
 
 
 if __name__ == "__main__":

@@ -64,10 +64,10 @@ RATING_TYPE = T.DecimalType(3, 1)
 class TableSpec:
     """What the warehouse promises about one table.
 
-    ``keys`` is the merge key, ``layout`` one of ``"key"`` (large, joined by key),
-    ``"replicated"`` (small dimension) or ``"sorted"`` (small, range-read on
-    ``sort_by``).  ``lengths`` bounds text columns; ``pad`` names the fixed-width
-    ones.  ``surrogate`` is a generated key that sources never carry.
+    ``keys`` is the merge key.  ``lengths`` bounds text columns; ``pad`` names the
+    fixed-width ones.  A table is either distributed by ``dist_key`` or meant to be
+    whole on every node (``replicated``), and stored sorted by ``sort_by`` if given.
+    ``surrogate`` is a generated key that sources never carry.
     """
 
     name: str
@@ -76,10 +76,14 @@ class TableSpec:
     not_null: tuple[str, ...] = ()
     lengths: dict[str, int] = field(default_factory=dict)
     pad: tuple[str, ...] = ()
-    layout: str = "key"
+    dist_key: str | None = None
     sort_by: str | None = None
     surrogate: str | None = None
 
+    @property
+    def replicated(self) -> bool:
+        return self.dist_key is None
+
     @property
     def set_cols(self) -> list[str]:
         """Columns an update overwrites: all but the keys and the surrogate."""
@@ -109,6 +113,7 @@ def warehouse_specs(rating_type: T.DecimalType = RATING_TYPE) -> dict[str, Table
             not_null=("movie_id", "is_adult", "original_language", "title"),
             lengths={"is_adult": 5, "original_language": 2, "title": 300},
             pad=("original_language",),
+            dist_key="movie_id",
         ),
         TableSpec(
             "genre",
@@ -116,20 +121,19 @@ def warehouse_specs(rating_type: T.DecimalType = RATING_TYPE) -> dict[str, Table
             keys=("genre_id",),
             not_null=("genre_id",),
             lengths={"genre_name": 300},
-            layout="replicated",
         ),
         TableSpec(
             "movie_genre",
             struct(movie_id=INT, genre_id=INT),
             keys=("movie_id", "genre_id"),
             not_null=("movie_id", "genre_id"),
+            dist_key="movie_id",
         ),
         TableSpec(
             "date",
             struct(release_date=DATE, day=INT, week=INT, month=INT, quarter=INT, year=INT),
             keys=("release_date",),
             not_null=("release_date",),
-            layout="sorted",
             sort_by="release_date",
         ),
         TableSpec(
@@ -137,13 +141,13 @@ def warehouse_specs(rating_type: T.DecimalType = RATING_TYPE) -> dict[str, Table
             struct(user_movie_id=LONG, user_id=INT, movie_id=INT, rating=rating_type),
             keys=("user_id", "movie_id"),
             not_null=("user_id", "movie_id"),
+            dist_key="movie_id",
             surrogate="user_movie_id",
         ),
         TableSpec(
             "budgetrevenue",
             struct(movie_id=INT, budget=LONG, revenue=LONG),
             not_null=("movie_id", "budget", "revenue"),
-            layout="replicated",
         ),
     ]
     return {t.name: t for t in tables}

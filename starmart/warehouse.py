@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from starmart.operators.layout import write_sorted
+from starmart.operators.layout import replicated, write_bucketed, write_sorted
 from starmart.schemas import BOOLEAN, LONG, STRING, TableSpec, struct, warehouse_specs
 from starmart.sources.parquet import read_parquet, write_parquet
 
@@ -110,6 +110,19 @@ class Warehouse:
             return self.spark.range(1).where(F.lit(False)).select(*columns)
         return read_parquet(self.spark, *entry.paths, schema=entry.schema)
 
+    def dimension(self, name: str) -> DataFrame:
+        """The table for joining; a replicated one is broadcast if it measures small enough."""
+        spec = self.specs[name]
+        return replicated(self.read(name)) if spec.replicated else self.read(name)
+
+    def export_bucketed(self, name: str, table: str, buckets: int) -> bool:
+        """Copy a distributed table to a catalog table bucketed by its distribution key.
+
+        False if a hot key made it unbucketed (see ``write_bucketed``).
+        """
+        path = f"{self.root}/_exports/{table}-{uuid.uuid4().hex}"
+        return write_bucketed(self.read(name), table, path, buckets, self.specs[name].dist_key)
+
     def stale_paths(self) -> DataFrame:
         """Folders (``path``) of superseded versions; nothing published refers to them."""
         log = self._log()

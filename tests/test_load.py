@@ -193,6 +193,16 @@ def test_command_line(spark, tmp_path):
     assert rows(Warehouse(spark, str(tmp_path / "wh")).read("date")) == DATES
 
 
+def test_clean_data_reaches_the_database(spark, tmp_path):
+    url = "jdbc:derby:memory:load;create=true"
+    main(
+        ["genre", "--input", str(DATA), "--output", str(tmp_path), "--jdbc-url", url,
+         "--jdbc-schema", "app", "--jdbc-property", "batchsize=100"]
+    )
+    assert rows(spark.read.jdbc(url, "app.stage_genre")) == GENRES
+    assert rows(spark.read.jdbc(url, "app.stage_movie_genre")) == BRIDGE
+
+
 def test_plain_dialect_is_the_bare_header_reader(spark, tmp_path):
     stored = run_job(
         spark, "budgetrevenue", str(DATA), str(tmp_path), dialects={"movies": "plain"}

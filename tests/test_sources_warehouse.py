@@ -81,8 +81,8 @@ def test_scratch_uses_the_session_setting(spark):
 @pytest.fixture
 def wh(spark, tmp_path):
     specs = {
-        "t": TableSpec("t", struct(k=LONG, v=STRING), keys=("k",)),
-        "u": TableSpec("u", struct(k=LONG), keys=("k",), layout="sorted", sort_by="k"),
+        "t": TableSpec("t", struct(k=LONG, v=STRING), keys=("k",), dist_key="k"),
+        "u": TableSpec("u", struct(k=LONG), keys=("k",), sort_by="k"),
     }
     return Warehouse(spark, str(tmp_path / "wh"), specs)
 
@@ -147,3 +147,16 @@ def test_conflicting_publishes_are_reported(spark, wh, monkeypatch):
     monkeypatch.undo()
     with pytest.raises(PublishConflict, match="t"):
         wh.snapshot()
+
+
+def test_tables_for_joining(spark, wh):
+    df = spark.range(50).select(F.col("id").alias("k"), F.lit("x").alias("v"))
+    wh.publish({"t": df, "u": df.select("k")})
+    joined = spark.range(5).toDF("k").join(wh.dimension("u"), "k")
+    assert "strategy=broadcast" in joined._jdf.queryExecution().logical().toString()
+    assert "strategy=broadcast" not in wh.dimension("t")._jdf.queryExecution().logical().toString()
+    try:
+        assert wh.export_bucketed("t", "wh_t", 2)
+        assert bag(spark.table("wh_t")) == bag(df)
+    finally:
+        spark.sql("DROP TABLE IF EXISTS wh_t")

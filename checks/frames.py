@@ -8,7 +8,7 @@ lines, so every branch of a merge has rows.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -188,7 +188,7 @@ MOVIES_SQL = """
     FROM orders"""
 
 
-def movie_source(spark: SparkSession, sf: str) -> DataFrame:
+def movie_source(spark: SparkSession, sf: str, *more: Column) -> DataFrame:
     cents = F.round(F.col("o_totalprice") * 100)
     return table(spark, sf, "orders").select(
         F.col("o_orderkey").alias("id"),
@@ -203,4 +203,5 @@ def movie_source(spark: SparkSession, sf: str) -> DataFrame:
         F.when(F.col("o_orderpriority") == "5-LOW", F.lit(float("nan")))
         .otherwise(F.char_length("o_orderpriority").cast("double"))
         .alias("vote_average"),
+        *more,
     )

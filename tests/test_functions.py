@@ -63,6 +63,14 @@ def test_casts(spark):
     )
 
 
+def test_integer_text_equals_plain_try_cast(spark):
+    texts = ["1", " 7 ", "+3", "-4", "--1", "1-2", "", " ", "99999999999", "1.0", "1e3", "\t5\n", "٣", "x", None]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    for kind in ("tinyint", "smallint", "int", "bigint"):
+        ours = df.select(try_cast(F.col("t"), kind)).collect()
+        assert ours == df.select(F.col("t").try_cast(kind)).collect()
+
+
 def test_rating_value(spark):
     df = spark.createDataFrame([(3.5,), (4.5,), (0.5,), (None,)], "r double")
     assert [r[0] for r in df.select(rating_value(F.col("r"))).collect()] == [

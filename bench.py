@@ -28,6 +28,7 @@ HEADLINE = [
     "check_unique_key",
     "insert_new_composite",
     "upsert_single",
+    "upsert_one_pass",
     "upsert_composite",
     "upsert_deduped",
     "surrogate_key",

@@ -389,6 +389,11 @@ def upsert_single(spark, sf):
     return upsert(lines(spark, sf), headers(spark, sf), ["k"])
 
 
+@query("upsert_one_pass", _UPSERT)
+def upsert_one_pass(spark, sf):
+    return upsert(lines(spark, sf), headers(spark, sf), ["k"], one_pass=True)
+
+
 @query("upsert_composite", f"{_UPDATE2} UNION ALL {_INSERT2}")
 def upsert_composite(spark, sf):
     return upsert(lines2(spark, sf), headers2(spark, sf), ["a", "b"])

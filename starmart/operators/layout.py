@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import re
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -28,6 +30,13 @@ def table_bytes(df: DataFrame) -> int:
     return df.agg(F.coalesce(F.sum(row), F.lit(0))).first()[0]
 
 
+def broadcast_threshold(spark: SparkSession) -> int:
+    """``spark.sql.autoBroadcastJoinThreshold`` in bytes; -1 if broadcasting is off."""
+    text = spark.conf.get("spark.sql.autoBroadcastJoinThreshold").strip().lower()
+    number, unit = re.fullmatch(r"(-?\d+)\s*([kmgt]?)i?b?", text).groups()
+    return int(number) * 1024 ** " kmgt".index(unit or " ")
+
+
 def replicated(dim: DataFrame, max_bytes: int = 64 << 20) -> DataFrame:
     """``dim`` marked for broadcast if it measures at most ``max_bytes``.
 

@@ -176,16 +176,59 @@ def upsert(
     dedupe_by: Sequence[str] | None = None,
     unique: bool = False,
     null_keys: bool = True,
+    one_pass: bool = False,
 ) -> DataFrame:
-    """Update the target rows whose key the source has, insert the rest of the source."""
+    """Update the target rows whose key the source has, insert the rest of the source.
+
+    ``one_pass`` does both in one full outer join: the target is read and shuffled
+    once.  It suits a source too large to broadcast and a target whose keys are unique;
+    a full outer join can neither broadcast nor split a hot key.
+    """
     if dedupe_by is None and not unique:
         require_unique(source, keys)
     options = {"dedupe_by": dedupe_by, "unique": True, "null_keys": null_keys}
+    if one_pass:
+        return _upsert_in_one_pass(target, source, keys, set_cols, **options)
     updated = update_from(target, source, keys, set_cols, **options)
     fresh = insert_new(target, source, keys, **options)
     return updated.unionByName(align_to_schema(fresh, target.schema))
 
 
+def _upsert_in_one_pass(
+    target: DataFrame,
+    source: DataFrame,
+    keys: Sequence[str],
+    set_cols: Sequence[str] | None,
+    dedupe_by: Sequence[str] | None,
+    unique: bool,
+    null_keys: bool,
+) -> DataFrame:
+    if set_cols is None:
+        set_cols = [c for c in target.columns if c in source.columns and c not in keys]
+    complete = _complete(source, keys, dedupe_by, unique, null_keys)
+    right = align_to_schema(complete, target.schema)
+    right = right.select(
+        *[F.col(c).alias(f"__s_{c}") for c in target.columns], F.lit(True).alias(_HIT)
+    )
+    left = target.withColumn("__have", F.lit(True))
+    match = [F.col(k) == F.col(f"__s_{k}") for k in keys]
+    if null_keys:  # incomplete target keys match nothing: they need no join
+        loose = left.where(~keys_present(keys)).drop("__have")
+        left = left.where(keys_present(keys))
+    merged = left.join(right, match, "full").select(
+        *[
+            F.when(F.col(_HIT) if c in set_cols else F.col("__have").isNull(), F.col(f"__s_{c}"))
+            .otherwise(F.col(c))
+            .alias(c)
+            for c in target.columns
+        ]
+    )
+    if null_keys:
+        unmatched = source.where(~keys_present(keys))
+        merged = merged.unionByName(loose).unionByName(align_to_schema(unmatched, target.schema))
+    return merged
+
+
 def append_all(target: DataFrame, source: DataFrame) -> DataFrame:
     """All rows of both; running it twice doubles the source rows."""
     return target.unionByName(align_to_schema(source, target.schema))

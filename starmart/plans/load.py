@@ -11,6 +11,7 @@ from pyspark import StorageLevel, inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
+from starmart.operators.layout import broadcast_threshold, table_bytes
 from starmart.operators.quality import conform, enforce
 from starmart.plans import budgets, dates, genres, movies, ratings
 from starmart.schemas import MOVIES_CSV, RATING_TYPE, RATINGS_CSV, warehouse_specs
@@ -195,6 +196,11 @@ def merge_table(
         # The keys are declared NOT NULL and were just checked.
         return {"dedupe_by": spec.set_cols if dedupe else None, "null_keys": False}
 
+    def upsert_options(table: str, source: DataFrame) -> dict:
+        # Published keys are unique, so a source too large to broadcast takes one pass.
+        limit = broadcast_threshold(warehouse.spark)
+        return {**options(table), "one_pass": table_bytes(source) > limit}
+
     def stored(table: str) -> DataFrame:
         return warehouse.read(table, state)
 
@@ -203,10 +209,12 @@ def merge_table(
         return enforce(conform(warehouse.read(STAGES[table], state), spec), spec, on_violation)
 
     if name == "movies":
-        merged = movies.merge_movies(stored("movies"), stage("movies"), **options("movies"))
+        source = stage("movies")
+        merged = movies.merge_movies(stored("movies"), source, **upsert_options("movies", source))
         publish({"movies": merged}, consume=[STAGES["movies"]])
     elif name == "genre":
-        merged = genres.merge_genres(stored("genre"), stage("genre"), **options("genre"))
+        source = stage("genre")
+        merged = genres.merge_genres(stored("genre"), source, **upsert_options("genre", source))
         pairs = genres.new_movie_genres(
             stored("movie_genre"), stage("movie_genre"), **options("movie_genre")
         )
@@ -216,7 +224,8 @@ def merge_table(
             consume=[STAGES["movie_genre"], STAGES["genre"]],
         )
     elif name == "date":
-        merged = dates.merge_dates(stored("date"), stage("date"), **options("date"))
+        source = stage("date")
+        merged = dates.merge_dates(stored("date"), source, **upsert_options("date", source))
         publish({"date": merged}, consume_if_exists=[STAGES["date"]])
     elif name == "ratings":
         merged = ratings.merge_ratings(stored("ratings"), stage("ratings"), **options("ratings"))

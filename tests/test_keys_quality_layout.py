@@ -3,7 +3,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from starmart.operators.keys import assign_surrogate_key, next_key
-from starmart.operators.layout import bucket_skew, replicated, table_bytes, write_bucketed, write_sorted
+from starmart.operators.layout import (
+    broadcast_threshold,
+    bucket_skew,
+    replicated,
+    table_bytes,
+    write_bucketed,
+    write_sorted,
+)
 from starmart.operators.quality import ConstraintError, conform, enforce, violations
 from starmart.plans.ratings import merge_ratings
 from starmart.scratch import materialize
@@ -146,6 +153,17 @@ def test_hot_key_is_not_bucketed(spark, tmp_path):
     assert bucket_skew(spark.createDataFrame([], "k int"), 16, "k") == 1.0
 
 
+def test_broadcast_threshold_units(spark):
+    name = "spark.sql.autoBroadcastJoinThreshold"
+    old = spark.conf.get(name)
+    try:
+        for text, size in [("-1", -1), ("10485760", 10 << 20), ("2MB", 2 << 20), ("3g", 3 << 30), ("5b", 5)]:
+            spark.conf.set(name, text)
+            assert broadcast_threshold(spark) == size
+    finally:
+        spark.conf.set(name, old)
+
+
 def test_replicated_only_when_small(spark):
     dim = spark.range(1_000).select("id", F.repeat(F.lit("x"), 100).alias("t"), F.array("id").alias("a"))
     size = table_bytes(dim)

@@ -52,6 +52,7 @@ def joins(request, spark):
 def test_upsert_cases(spark, joins, target, source, expected):
     t, s = spark.createDataFrame(target, KV), spark.createDataFrame(source, KV)
     assert bag(upsert(t, s, ["k"])) == srt(expected)
+    assert bag(upsert(t, s, ["k"], one_pass=True)) == srt(expected)
 
 
 def test_duplicate_source_key(spark):
@@ -110,6 +111,7 @@ def test_random_merges(spark, joins, seed):
         None in r[:2] or r[:2] not in {x[:2] for x in target})])
     merged = upsert(t, s, keys, ["v"])
     assert bag(merged) == _model(target, source)
+    assert bag(upsert(t, s, keys, ["v"], one_pass=True)) == _model(target, source)
     assert bag(insert_only_new(t, s, keys)) == _model(target, source, update=False)
 
     # The same source again changes nothing (rows with a NULL key have no identity).
@@ -120,14 +122,18 @@ def test_random_merges(spark, joins, seed):
     assert bag(upsert(complete, keyed, keys, ["v"], null_keys=False)) == bag(
         upsert(complete, keyed, keys, ["v"])
     )
+    assert bag(upsert(complete, keyed, keys, ["v"], null_keys=False, one_pass=True)) == bag(
+        upsert(complete, keyed, keys, ["v"])
+    )
 
 
 def test_dedupe_with_null_keys(spark, joins):
     t = spark.createDataFrame([(1, "a")], KV)
     s = spark.createDataFrame([(None, "n"), (None, "n"), (1, "c"), (1, "b"), (3, "q"), (3, "p")], KV)
-    assert bag(upsert(t, s, ["k"], dedupe_by=["v"])) == srt(
-        [(1, "b"), (3, "p"), (None, "n"), (None, "n")]
-    )
+    for one_pass in (False, True):
+        assert bag(upsert(t, s, ["k"], dedupe_by=["v"], one_pass=one_pass)) == srt(
+            [(1, "b"), (3, "p"), (None, "n"), (None, "n")]
+        )
 
 
 def test_update_keeps_types_and_columns(spark):
@@ -158,6 +164,14 @@ def test_small_source_does_not_shuffle_the_target(spark, tmp_path):
     assert "SortMergeJoin" not in plan
 
 
+def test_one_pass_shuffles_each_side_once(spark, tmp_path):
+    spark.range(1_000).select(F.col("id").alias("k"), F.lit("t").alias("v")).write.parquet(str(tmp_path / "t"))
+    t = spark.read.parquet(str(tmp_path / "t"))
+    merged = upsert(t, t, ["k"], unique=True, null_keys=False, one_pass=True)
+    plan = merged._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 2 and plan.count("FileScan") == 2
+
+
 def test_null_key_rows_spread_over_partitions(spark, joins):
     t = spark.range(4_000).repartition(4).select(F.lit(None).cast("int").alias("k"), F.col("id").alias("v"))
     s = spark.createDataFrame([(1, 5)], "k int, v long")

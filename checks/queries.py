@@ -36,7 +36,7 @@ from starmart.functions.nulls import drop_nulls
 from starmart.functions.records import explode_records, parse_records
 from starmart.operators.distinct import distinct_rows
 from starmart.operators.keys import assign_surrogate_key, next_key
-from starmart.operators.layout import replicated, write_bucketed, write_sorted
+from starmart.operators.layout import exceeds_broadcast, replicated, write_bucketed, write_sorted
 from starmart.operators.merge import (
     append_all,
     duplicate_keys,
@@ -634,7 +634,8 @@ def _old_movies(spark: SparkSession, sf: str) -> DataFrame:
 )
 def job_movies(spark, sf):
     stage = movies.clean_movies(movie_source(spark, sf))
-    return movies.merge_movies(_old_movies(spark, sf), stage)
+    # One row per movie in the target by construction.
+    return movies.merge_movies(_old_movies(spark, sf), stage, one_pass=exceeds_broadcast(stage))
 
 
 _PAIRS_SQL = f"""

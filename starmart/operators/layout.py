@@ -37,6 +37,11 @@ def broadcast_threshold(spark: SparkSession) -> int:
     return int(number) * 1024 ** " kmgt".index(unit or " ")
 
 
+def exceeds_broadcast(df: DataFrame) -> bool:
+    """Whether the measured frame is above the session's broadcast threshold."""
+    return table_bytes(df) > broadcast_threshold(df.sparkSession)
+
+
 def replicated(dim: DataFrame, max_bytes: int = 64 << 20) -> DataFrame:
     """``dim`` marked for broadcast if it measures at most ``max_bytes``.
 

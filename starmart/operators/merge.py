@@ -13,7 +13,7 @@ is shuffled, because the update is a left join from the target and the insert
 looks only at target keys already reduced by a semi-join.  Above the threshold both
 sides are hash-partitioned by the keys.  The source is read three times and the
 target twice (once for its key columns alone), so hand in stored tables, not long
-unevaluated plans.
+unevaluated plans; ``upsert(..., one_pass=True)`` reads either side once.
 """
 
 from __future__ import annotations
@@ -25,6 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from starmart.operators.project import align_to_schema
+from starmart.scratch import materialize
 
 _SPREAD = "__spread"
 _HIT = "__hit"
@@ -79,6 +80,25 @@ def require_unique(source: DataFrame, keys: Sequence[str]) -> DataFrame:
     return source
 
 
+def settle_source(
+    source: DataFrame,
+    keys: Sequence[str],
+    dedupe_by: Sequence[str] | None = None,
+    null_keys: bool = True,
+) -> DataFrame:
+    """The source with each complete key once, for use in several joins.
+
+    Checks, or with ``dedupe_by`` picks the rows and writes them: later reads then do
+    not group again, and Spark plans with the true size of what was kept.
+    """
+    if dedupe_by is None:
+        return require_unique(source, keys)
+    if not null_keys:
+        return materialize(one_row_per_key(source, keys, dedupe_by), "merge-source")
+    kept = one_row_per_key(source.where(keys_present(keys)), keys, dedupe_by)
+    return materialize(kept.unionByName(source.where(~keys_present(keys))), "merge-source")
+
+
 def _complete(
     source: DataFrame,
     keys: Sequence[str],
@@ -184,11 +204,11 @@ def upsert(
     once.  It suits a source too large to broadcast and a target whose keys are unique;
     a full outer join can neither broadcast nor split a hot key.
     """
-    if dedupe_by is None and not unique:
-        require_unique(source, keys)
-    options = {"dedupe_by": dedupe_by, "unique": True, "null_keys": null_keys}
+    if dedupe_by is not None or not unique:
+        source = settle_source(source, keys, dedupe_by, null_keys)
     if one_pass:
-        return _upsert_in_one_pass(target, source, keys, set_cols, **options)
+        return _upsert_in_one_pass(target, source, keys, set_cols, null_keys)
+    options = {"unique": True, "null_keys": null_keys}
     updated = update_from(target, source, keys, set_cols, **options)
     fresh = insert_new(target, source, keys, **options)
     return updated.unionByName(align_to_schema(fresh, target.schema))
@@ -199,13 +219,11 @@ def _upsert_in_one_pass(
     source: DataFrame,
     keys: Sequence[str],
     set_cols: Sequence[str] | None,
-    dedupe_by: Sequence[str] | None,
-    unique: bool,
     null_keys: bool,
 ) -> DataFrame:
     if set_cols is None:
         set_cols = [c for c in target.columns if c in source.columns and c not in keys]
-    complete = _complete(source, keys, dedupe_by, unique, null_keys)
+    complete = source.where(keys_present(keys)) if null_keys else source
     right = align_to_schema(complete, target.schema)
     right = right.select(
         *[F.col(c).alias(f"__s_{c}") for c in target.columns], F.lit(True).alias(_HIT)

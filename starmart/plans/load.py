@@ -7,11 +7,11 @@ from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from functools import partial
 
-from pyspark import StorageLevel, inheritable_thread_target
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from starmart.operators.layout import broadcast_threshold, table_bytes
+from starmart.operators.layout import exceeds_broadcast
 from starmart.operators.quality import conform, enforce
 from starmart.plans import budgets, dates, genres, movies, ratings
 from starmart.schemas import MOVIES_CSV, RATING_TYPE, RATINGS_CSV, warehouse_specs
@@ -119,24 +119,20 @@ def run_job(
     job = JOBS[name]
     df = read_source(spark, input, job.source, dialects) if source is None else source
     if job.shared is not None:
-        df = job.shared(df).persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        stored = {}
-        for table, clean in job.clean(df, required).items():
-            path = clean_path(output, table)
-            write_parquet(clean, path)
-            stored[table] = Clean(path, clean.schema)
-            if jdbc is not None:
-                append_jdbc(
-                    read_parquet(spark, path, schema=clean.schema),
-                    jdbc["url"],
-                    f"{jdbc.get('schema', 'movies')}.{STAGES[table]}",
-                    jdbc.get("properties"),
-                )
-        return stored
-    finally:
-        if job.shared is not None:
-            df.unpersist()
+        df = materialize(job.shared(df), name)
+    stored = {}
+    for table, clean in job.clean(df, required).items():
+        path = clean_path(output, table)
+        write_parquet(clean, path)
+        stored[table] = Clean(path, clean.schema)
+        if jdbc is not None:
+            append_jdbc(
+                read_parquet(spark, path, schema=clean.schema),
+                jdbc["url"],
+                f"{jdbc.get('schema', 'movies')}.{STAGES[table]}",
+                jdbc.get("properties"),
+            )
+    return stored
 
 
 def run_cleaning(
@@ -198,8 +194,7 @@ def merge_table(
 
     def upsert_options(table: str, source: DataFrame) -> dict:
         # Published keys are unique, so a source too large to broadcast takes one pass.
-        limit = broadcast_threshold(warehouse.spark)
-        return {**options(table), "one_pass": table_bytes(source) > limit}
+        return {**options(table), "one_pass": exceeds_broadcast(source)}
 
     def stored(table: str) -> DataFrame:
         return warehouse.read(table, state)

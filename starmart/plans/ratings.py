@@ -3,7 +3,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 
 from starmart.operators.keys import assign_surrogate_key, next_key
-from starmart.operators.merge import insert_new, require_unique, update_from
+from starmart.operators.merge import insert_new, settle_source, update_from
 from starmart.operators.project import align_to_schema, project
 
 KEYS = ["user_id", "movie_id"]
@@ -22,9 +22,8 @@ def merge_ratings(
     null_keys: bool = True,
 ) -> DataFrame:
     """Ratings of known pairs change and keep their key; new pairs get the next keys."""
-    if dedupe_by is None:
-        require_unique(stage, KEYS)
-    options = {"dedupe_by": dedupe_by, "unique": True, "null_keys": null_keys}
+    stage = settle_source(stage, KEYS, dedupe_by, null_keys)
+    options = {"unique": True, "null_keys": null_keys}
     updated = update_from(target, stage, KEYS, ["rating"], **options)
     fresh = insert_new(target, stage, KEYS, **options)
     keyed = assign_surrogate_key(fresh, KEYS, SURROGATE, start=next_key(target, SURROGATE))

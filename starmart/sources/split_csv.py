@@ -72,6 +72,7 @@ def _splits(lines: DataFrame) -> DataFrame:
             "file",
             "block",
             "inside",
+            "odd",
             F.last("last", ignorenulls=True).over(earlier).alias("open"),
             F.first("first").over(order).alias("header"),
             F.first("crlf").over(order).alias("file_crlf"),
@@ -85,8 +86,12 @@ def csv_records(spark: SparkSession, path: str) -> DataFrame:
     start = F.when(F.col("inside") == 0, F.col("start0")).otherwise(F.col("start1"))
     # Stored, the table of splits has a known size: Spark broadcasts it if it is small.
     splits = materialize(_splits(lines), "csv-splits")
+    broken = splits.groupBy("file").agg((F.sum("odd") % 2).alias("odd")).where("odd = 1").head(3)
+    if broken:
+        raise ValueError(f"quote without end in {[r['file'] for r in broken]}")
     placed = (
-        lines.join(splits, ["file", "block"])
+        lines.drop("odd")
+        .join(splits.drop("odd"), ["file", "block"])
         .withColumn("record", F.coalesce(start, F.col("open")))
         .where(F.col("record") != F.col("header"))
     )

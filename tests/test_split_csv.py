@@ -68,6 +68,12 @@ def test_one_record_over_many_splits(spark, tmp_path, split_bytes):
     assert bag(out) == bag(df)
 
 
+def test_quote_without_end(spark, tmp_path):
+    (tmp_path / "a.csv").write_text('k,t\n1,"open\n2,x\n')
+    with pytest.raises(ValueError, match="a.csv"):
+        read_csv_typed(spark, str(tmp_path), SCHEMA, split_above=0)
+
+
 def test_size_decides(spark, tmp_path):
     (tmp_path / "a.csv").write_text("k\n1\n")
     (tmp_path / "b.csv").write_text("k\n1\n22\n")

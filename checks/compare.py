@@ -20,10 +20,8 @@ TABLES = (
 
 def _canonical(frame: pd.DataFrame) -> list[tuple]:
     frame = frame[sorted(frame.columns)]
-    return sorted(
-        (tuple(None if pd.isna(v) else str(v) for v in row) for row in frame.astype(object).itertuples(index=False)),
-        key=repr,
-    )
+    rows = frame.astype(object).itertuples(index=False)
+    return sorted((tuple(None if pd.isna(v) else str(v) for v in row) for row in rows), key=repr)
 
 
 def compare(spark: SparkSession, con: duckdb.DuckDBPyConnection, sf: str, name: str) -> str | None:

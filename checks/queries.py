@@ -59,7 +59,6 @@ from starmart.schemas import (
     STRING,
     TableSpec,
     struct,
-    warehouse_specs,
 )
 from starmart.scratch import is_local, scratch_path
 from starmart.sources.delimited import read_csv_typed, write_csv
@@ -328,7 +327,10 @@ _INSERT2 = f"SELECT s.* FROM {_S2} LEFT JOIN {_T2} ON {_ON2} WHERE t.a IS NULL"
 _UPSERT = f"{_UPDATE} UNION ALL {_INSERT}"
 
 
-@query("left_outer_join", f"SELECT s.k, s.v, t.v AS line_price, t.p AS flag FROM {_S} LEFT JOIN {_T} ON t.k = s.k")
+@query(
+    "left_outer_join",
+    f"SELECT s.k, s.v, t.v AS line_price, t.p AS flag FROM {_S} LEFT JOIN {_T} ON t.k = s.k",
+)
 def left_outer_join(spark, sf):
     right = lines(spark, sf).select("k", F.col("v").alias("line_price"), F.col("p").alias("flag"))
     return headers(spark, sf).drop("p").join(right, "k", "left")

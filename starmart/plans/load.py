@@ -183,7 +183,6 @@ def merge_table(
     ``ratings`` or ``budgetrevenue``.  ``dedupe`` keeps one row per duplicate source
     key instead of raising.
     """
-
     state = warehouse.snapshot()
     publish = partial(warehouse.publish, state=state)
 

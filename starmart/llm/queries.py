@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starmart.llm import decontaminate, quality_rules
+from starmart.llm import decontaminate, packing, quality_rules
 
 
 def _table(spark: SparkSession, sf: str, name: str) -> DataFrame:
@@ -24,9 +24,14 @@ def op5_decontamination(spark: SparkSession, sf: str) -> DataFrame:
     return found.select("doc_id", "n_words", "n_hit", "n_items", digest.alias("items_sha256"), "contaminated")
 
 
+def op9_packing(spark: SparkSession, sf: str) -> DataFrame:
+    return packing.pack(_table(spark, sf, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_quality_rules": op2_quality_rules,
     "op5_decontamination": op5_decontamination,
+    "op9_packing": op9_packing,
 }
 
 ORACLES: dict[str, str] = {

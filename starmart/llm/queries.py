@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starmart.llm import decontaminate, packing, quality_rules
+from starmart.llm import decontaminate, jaccard_join, packing, quality_rules
 
 
 def _table(spark: SparkSession, sf: str, name: str) -> DataFrame:
@@ -24,6 +24,10 @@ def op5_decontamination(spark: SparkSession, sf: str) -> DataFrame:
     return found.select("doc_id", "n_words", "n_hit", "n_items", digest.alias("items_sha256"), "contaminated")
 
 
+def op6_jaccard_join(spark: SparkSession, sf: str) -> DataFrame:
+    return jaccard_join.join(_table(spark, sf, "documents"))
+
+
 def op9_packing(spark: SparkSession, sf: str) -> DataFrame:
     return packing.pack(_table(spark, sf, "documents"))
 
@@ -31,6 +35,7 @@ def op9_packing(spark: SparkSession, sf: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_quality_rules": op2_quality_rules,
     "op5_decontamination": op5_decontamination,
+    "op6_jaccard_join": op6_jaccard_join,
     "op9_packing": op9_packing,
 }
 

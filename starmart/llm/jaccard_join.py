@@ -12,10 +12,12 @@ pair has a block in common that is not empty.  The boundary between light and he
 where the counted cost of enumerating and listing, over the sizes that there are, is least.
 
 A list is not expanded into pairs.  Its members are compared with one of them, the hub;
-lists whose members then lie in one component are done, the others get new hubs, and
-what is still open after ``HUB_ROUNDS`` is compared across components.  Every comparison
-is on whole sets.  Lists are streamed, not gathered; only sizes up to ``LIGHT_MOST`` and
-a fixed-size filter of set numbers pass through the driver.
+lists whose members then lie in one component are done.  The members of the others are
+scanned in blocks of ``LIST_BLOCK`` by parity bitmaps, whose distance is at most that of
+the sets, so that only pairs of different components that may be linked come out; before
+that, up to ``HUB_ROUNDS`` further hubs join components while there is much to scan.
+Every link is decided on whole sets.  Lists are streamed, not gathered; only sizes up to
+``LIGHT_MOST`` and a fixed-size filter of set numbers pass through the driver.
 
 NULL, empty and blank texts have empty sets, linked with nothing.  Repeated rows are
 linked; NULL ids are never the smallest of a component unless all its ids are NULL.
@@ -25,7 +27,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from functools import reduce
-from itertools import combinations
+from itertools import combinations, groupby
 from math import comb
 
 import numpy as np
@@ -42,8 +44,10 @@ LIGHT_MOST = 19
 HUB_ROUNDS = 4
 #: Members of one hub that one task compares.
 HUB_SHARE = 2_000
-#: Cross-component pairs per list entry up to which the open lists are settled at once.
-_SETTLE = 2
+#: Members of a list that are scanned against as many others at a time.
+LIST_BLOCK = 2_000
+#: Cross-component pairs per list entry up to which open lists are scanned without a new hub.
+_SCAN = 2_000
 _FILTER_BITS = 1 << 26
 
 
@@ -127,9 +131,9 @@ def _subsets(s: np.ndarray, t: Threshold) -> Iterator[tuple[int, int]]:
             yield int(key), missing + 256 * room
 
 
-def _block_keys(s: np.ndarray, t: Threshold) -> np.ndarray:
-    """Keys of the set's blocks in its own size class and the one below."""
-    found = []
+def _block_keys(s: np.ndarray, t: Threshold) -> tuple[np.ndarray, np.ndarray]:
+    """Keys of the set's blocks in its own size class and the one below, and -1 - class of each."""
+    found, codes = [], []
     c, low, high = t.size_class(s.size)
     for cls, top in ((c, high), (c - 1, low - 1)):
         if cls < 0:
@@ -145,7 +149,8 @@ def _block_keys(s: np.ndarray, t: Threshold) -> np.ndarray:
             at, sums = np.concatenate([at, empty]), np.concatenate([sums, np.zeros(empty.size, np.uint64)])
         with np.errstate(over="ignore"):
             found.append(_mix(sums + _mix(at + np.uint64(cls << 32), 17), 19))
-    return np.concatenate(found)
+        codes.append(np.full(at.size, -1 - cls, dtype=np.int32))
+    return np.concatenate(found), np.concatenate(codes)
 
 
 def light_up_to(sizes: dict[int, int], t: Threshold) -> int:
@@ -181,9 +186,9 @@ def _postings(sh: DataFrame, light: int, t: Threshold) -> DataFrame:
                     codes.append(np.array(c, dtype=np.int32))
                     sids.append(np.full(len(k), sid, dtype=np.uint64))
                 if 100 * s.size >= t.percent * (light + 1):
-                    k = _block_keys(s, t)
+                    k, c = _block_keys(s, t)
                     keys.append(k)
-                    codes.append(np.full(k.size, -1, dtype=np.int32))
+                    codes.append(c)
                     sids.append(np.full(k.size, sid, dtype=np.uint64))
             if keys:
                 columns = [_signed(np.concatenate(keys)), pa.array(np.concatenate(codes)), _signed(np.concatenate(sids))]
@@ -201,10 +206,11 @@ def _stars(postings: DataFrame) -> DataFrame:
             key, code, sid = (batch.column(i).to_numpy() for i in range(3))
             if not key.size:
                 continue
-            first = np.flatnonzero(np.concatenate([[True], (key[1:] != key[:-1]) | ((code[1:] < 0) != (code[:-1] < 0))]))
+            heavy = np.minimum(code, 0)  # sorts before light; one list has one class
+            first = np.flatnonzero(np.concatenate([[True], (key[1:] != key[:-1]) | (heavy[1:] != heavy[:-1])]))
             group = np.repeat(np.arange(first.size), np.diff(np.append(first, key.size)))
             hub, hub_code = sid[first], code[first]
-            if last and last[0] == key[0] and (last[1] < 0) == (code[0] < 0):
+            if last and last[0] == key[0] and min(last[1], 0) == heavy[0]:
                 hub, hub_code = hub.copy(), hub_code.copy()
                 hub_code[0], hub[0] = last[1:]
             last = key[-1], hub_code[-1], hub[-1]
@@ -281,9 +287,72 @@ def _compare(sh: DataFrame, pairs: DataFrame, t: Threshold) -> DataFrame:
     return dealt.sortWithinPartitions("hub", "share", "no", "sid").mapInArrow(compare, "a long, b long").distinct()
 
 
+def _parity(s: np.ndarray, cls: int, t: Threshold) -> bytes:
+    """A bit for each of a number of slots: whether an odd number of elements falls there."""
+    low = 1
+    for _ in range(cls):
+        low = 100 * low // t.percent + 1
+    bits = 1 << max(6, (2 * low).bit_length())
+    slots = np.bincount((_mix(s, 23) % np.uint64(bits)).astype(np.int64), minlength=bits) & 1
+    return np.packbits(slots.astype(np.uint8)).tobytes()
+
+
+def _parities(sh: DataFrame, sids: DataFrame, t: Threshold) -> DataFrame:
+    """``sid, code, n, bits`` of the sets that may be among ``sids``, for either class they are listed in."""
+
+    def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = []
+            for sid, s in zip(batch.column(0).to_pylist(), _sets(batch.column(1)), strict=True):
+                c = t.size_class(s.size)[0]
+                rows += [(sid, -1 - cls, s.size, _parity(s, cls, t)) for cls in (c, c - 1) if cls >= 0]
+            kinds = (pa.int64(), pa.int32(), pa.int64(), pa.binary())
+            columns = list(zip(*rows, strict=True)) if rows else [()] * 4
+            yield pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(columns, kinds, strict=True)], names=["sid", "code", "n", "bits"])
+
+    return _wanted(sh, sids).mapInArrow(sign, "sid long, code int, n long, bits binary").dropDuplicates(["sid", "code"])
+
+
+def _scan(sh: DataFrame, members: DataFrame, t: Threshold) -> DataFrame:
+    """``hub, sid``: pairs of a list, of different components, that may be linked."""
+    signed = members.join(_parities(sh, members.select("sid").distinct(), t), ["sid", "code"])
+    sizes = members.groupBy("key", "code").agg(F.ceil(F.count("*") / LIST_BLOCK).cast("int").alias("blocks"))
+    own = F.pmod(F.xxhash64("sid"), F.col("blocks")).cast("int")
+    dealt = signed.join(sizes, ["key", "code"]).withColumn("own", own)
+    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    dealt = dealt.select("key", "code", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "sid", "root", "n", "bits")
+    names = ["key", "code", "i", "j"]
+    dealt = dealt.repartition(sh.sparkSession.sparkContext.defaultParallelism * 4, *names).sortWithinPartitions(*names, "own")
+
+    def near(rows: list[tuple]) -> Iterator[tuple[int, int]]:
+        _, _, i, j, own, sid, root, n, bits = zip(*rows, strict=True)
+        own, sid, root, n = (np.array(x, dtype=np.int64) for x in (own, sid, root, n))
+        signs = np.frombuffer(b"".join(bits), dtype=np.uint64).reshape(len(rows), -1)
+        for a in np.flatnonzero(own == i[0]):
+            others = np.arange(a + 1, len(rows)) if i[0] == j[0] else np.flatnonzero(own == j[0])
+            others = others[root[others] != root[a]]
+            apart = np.bitwise_count(signs[others] ^ signs[a]).sum(axis=1, dtype=np.int64)
+            for b in others[(100 + t.percent) * apart <= t.miss * (n[others] + n[a])]:
+                yield (int(sid[a]), int(sid[b])) if sid[a] < sid[b] else (int(sid[b]), int(sid[a]))
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in _groups(batches, len(names)):
+            if found := set(near(part)):
+                yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in zip(*found, strict=True)], names=["hub", "sid"])
+
+    return dealt.mapInArrow(scan, "hub long, sid long").distinct()
+
+
+def _groups(batches: Iterator[pa.RecordBatch], by: int) -> Iterator[list[tuple]]:
+    """Rows in runs of equal first ``by`` columns."""
+    rows = (row for batch in batches for row in zip(*(c.to_pylist() for c in batch.columns), strict=True))
+    for _, group in groupby(rows, key=lambda row: row[:by]):
+        yield list(group)
+
+
 def _roots(members: DataFrame, links: DataFrame) -> DataFrame:
     roots = components(links)
-    return members.join(roots, members["sid"] == roots["node"], "left").select("key", "sid", F.coalesce("root", "sid").alias("root"))
+    return members.join(roots, members["sid"] == roots["node"], "left").select("key", "code", "sid", F.coalesce("root", "sid").alias("root"))
 
 
 def links(sh: DataFrame, sizes: dict[int, int], t: Threshold) -> DataFrame:
@@ -291,34 +360,25 @@ def links(sh: DataFrame, sizes: dict[int, int], t: Threshold) -> DataFrame:
     light = light_up_to({n: k for n, k in sizes.items() if n <= 2 * LIGHT_MOST}, t)
     stars = materialize(_stars(_postings(sh, light, t)), "lists")
     found = [materialize(_compare(sh, stars, t), "links")]
-    tested = [stars.select("hub", "sid").distinct()]
     heavy = stars.where("code < 0")
-    members = heavy.select("key", "sid").unionAll(heavy.select("key", F.col("hub").alias("sid"))).distinct()
+    members = heavy.select("key", "code", "sid").unionAll(heavy.select("key", "code", F.col("hub").alias("sid"))).distinct()
     for number in range(HUB_ROUNDS + 1):
         rooted = materialize(_roots(members, reduce(DataFrame.unionAll, found)), "list-roots")
-        parts = rooted.groupBy("key", "root").agg(F.count("*").alias("n"))
-        lists = parts.groupBy("key").agg(F.sum("n").alias("n"), F.sum(F.col("n") * F.col("n")).alias("within"), F.count("*").alias("parts"))
+        parts = rooted.groupBy("key", "code", "root").agg(F.count("*").alias("n"))
+        lists = parts.groupBy("key", "code").agg(F.sum("n").alias("n"), F.sum(F.col("n") * F.col("n")).alias("within"), F.count("*").alias("parts"))
         lists = lists.where("parts > 1")
         total = lists.agg(F.sum("n").alias("n"), F.sum((F.col("n") * F.col("n") - F.col("within")) / 2).alias("cross")).first()
         if not total["n"]:
             break
-        members = materialize(rooted.join(lists.select("key"), "key"), "open-lists")
-        a = members.select("key", F.col("sid").alias("hub"), F.col("root").alias("hub_root"))
-        settle = number == HUB_ROUNDS or total["cross"] <= _SETTLE * total["n"]
-        if not settle:
-            best = F.min_by(F.struct("hub", "hub_root"), F.xxhash64("key", "hub", F.lit(number)))
-            a = a.groupBy("key").agg(best.alias("x")).select("key", "x.*")
-        ordered = F.col("root") > F.col("hub_root") if settle else F.col("root") != F.col("hub_root")
-        pairs = members.join(a, "key").where(ordered).select("hub", "sid").distinct()
-        for old in tested:
-            for x, y in (("hub", "sid"), ("sid", "hub")):
-                pairs = pairs.join(old.select(F.col(x).alias("hub"), F.col(y).alias("sid")), ["hub", "sid"], "left_anti")
-        pairs = materialize(pairs, "new-pairs")
-        tested.append(pairs)
-        found.append(materialize(_compare(sh, pairs, t), "links"))
-        members = members.select("key", "sid")
-        if settle:
+        members = materialize(rooted.join(lists.select("key", "code"), ["key", "code"]), "open-lists")
+        if number == HUB_ROUNDS or total["cross"] <= _SCAN * total["n"]:
+            found.append(materialize(_compare(sh, _scan(sh, members, t), t), "links"))
             break
+        hub = F.min_by(F.struct(F.col("sid").alias("hub"), F.col("root").alias("hub_root")), F.xxhash64("key", "sid", F.lit(number)))
+        hubs = members.groupBy("key", "code").agg(hub.alias("x")).select("key", "code", "x.*")
+        pairs = members.join(hubs, ["key", "code"]).where("root != hub_root").select("hub", "sid")
+        found.append(materialize(_compare(sh, pairs, t), "links"))
+        members = members.select("key", "code", "sid")
     return reduce(DataFrame.unionAll, found)
 
 

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starmart.llm import decontaminate, jaccard_join, packing, quality_rules
+from starmart.llm import decontaminate, jaccard_join, packing, quality_rules, suffix_dedup
 
 
 def _table(spark: SparkSession, sf: str, name: str) -> DataFrame:
@@ -32,11 +32,16 @@ def op9_packing(spark: SparkSession, sf: str) -> DataFrame:
     return packing.pack(_table(spark, sf, "documents"))
 
 
+def op10_suffix_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    return suffix_dedup.digest(_table(spark, sf, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_quality_rules": op2_quality_rules,
     "op5_decontamination": op5_decontamination,
     "op6_jaccard_join": op6_jaccard_join,
     "op9_packing": op9_packing,
+    "op10_suffix_dedup": op10_suffix_dedup,
 }
 
 ORACLES: dict[str, str] = {

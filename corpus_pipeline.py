@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from starmart.llm import quality_rules
+from starmart.llm import decontaminate, jaccard_join, packing, quality_rules, suffix_dedup
 from starmart.scratch import materialize
 
 
@@ -15,8 +15,35 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return quality_rules.keep_good(docs)
 
 
-STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [("quality_rules", quality)]
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group of near duplicates (five-word shingles, similarity 0.8) the document of smallest id."""
+    return jaccard_join.keep_one(docs, percent=80, n=5)
 
+
+def repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Texts without the strings of 200 bytes that start more than once in the corpus."""
+    return suffix_dedup.drop_repeats(docs, length=200, size="n_chars")
+
+
+def contamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that are not contaminated by a benchmark item."""
+    return decontaminate.drop_documents(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The pieces of all texts, each with its sequence and place."""
+    return packing.pack(docs)
+
+
+STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
+    ("quality_rules", quality),
+    ("jaccard_join", near_duplicates),
+    ("suffix_dedup", repeats),
+    ("decontamination", contamination),
+    ("packing", packed),
+]
+
+#: SQL cannot express the tokenizer; tests hold the pipeline against brute force.
 ORACLE_SQL = None
 
 

@@ -7,17 +7,51 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starmart.llm import decontaminate, jaccard_join, packing, quality_rules, suffix_dedup
+from starmart.llm import (
+    decontaminate,
+    hash_ring,
+    jaccard_join,
+    kneser_ney,
+    license_scan,
+    packing,
+    quality_rules,
+    suffix_dedup,
+    url_cascade,
+    warc,
+)
 
 
 def _table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
+#: Rules by host and path; the longest that fits a url decides.
+URL_RULES = {"net/": "block", "example.net/en/": "allow", "example.com/de/": "block", "org/fr/": "allow"}
+#: Pages of less html than this put their key on the list: there is hardly a text in them.
+THIN_PAGE_BYTES = 1500
+
+
+def op1_url_filters(spark: SparkSession, sf: str) -> DataFrame:
+    pages = _table(spark, sf, "pages")
+    thin = F.coalesce(F.octet_length("html"), F.lit(0)) < THIN_PAGE_BYTES
+    return url_cascade.judge(pages, thin, URL_RULES)
+
+
 def op2_quality_rules(spark: SparkSession, sf: str) -> DataFrame:
     return quality_rules.judge(_table(spark, sf, "documents"))
 
 
+def op3_sharding(spark: SparkSession, sf: str) -> DataFrame:
+    dealt = hash_ring.assign(_table(spark, sf, "documents"))
+    return dealt.select(
+        "doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard")
+    )
+
+
+def op4_license_scans(spark: SparkSession, sf: str) -> DataFrame:
+    return license_scan.scan(_table(spark, sf, "documents"))
+
+
 def op5_decontamination(spark: SparkSession, sf: str) -> DataFrame:
     found = decontaminate.report(_table(spark, sf, "documents"), _table(spark, sf, "benchmark"))
     digest = F.sha2(F.array_join("items", ",").cast("binary"), 256)
@@ -28,6 +62,15 @@ def op6_jaccard_join(spark: SparkSession, sf: str) -> DataFrame:
     return jaccard_join.join(_table(spark, sf, "documents"))
 
 
+def op7_warc(spark: SparkSession, sf: str) -> DataFrame:
+    return warc.round_trip(_table(spark, sf, "pages"))
+
+
+def op8_quality_classifier(spark: SparkSession, sf: str) -> DataFrame:
+    trusted = _table(spark, sf, "labels").where("quality = 1 AND toxic = 0").select("doc_id")
+    return kneser_ney.classify(_table(spark, sf, "documents"), trusted)
+
+
 def op9_packing(spark: SparkSession, sf: str) -> DataFrame:
     return packing.pack(_table(spark, sf, "documents"))
 
@@ -37,14 +80,49 @@ def op10_suffix_dedup(spark: SparkSession, sf: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_url_filters": op1_url_filters,
     "op2_quality_rules": op2_quality_rules,
+    "op3_sharding": op3_sharding,
+    "op4_license_scans": op4_license_scans,
     "op5_decontamination": op5_decontamination,
     "op6_jaccard_join": op6_jaccard_join,
+    "op7_warc": op7_warc,
+    "op8_quality_classifier": op8_quality_classifier,
     "op9_packing": op9_packing,
     "op10_suffix_dedup": op10_suffix_dedup,
 }
 
 ORACLES: dict[str, str] = {
+    "op1_url_filters": r"""
+WITH p AS (
+    SELECT page_id, coalesce(strlen(html), 0) < 1500 AS thin,
+           translate(coalesce(regexp_extract(url, '://([^/?#]*)', 1), ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+           coalesce(regexp_extract(url, '://[^/?#]*([^?#]*)', 1), '') AS path
+    FROM pages
+),
+l AS (SELECT *, coalesce(bool_or(thin) OVER (PARTITION BY host, path) AND host <> '', false) AS listed FROM p),
+r AS (
+    SELECT *, CASE
+        WHEN (host = 'example.com' OR host LIKE '%.example.com') AND starts_with(path, '/de/') THEN 'example.com/de/'
+        WHEN (host = 'example.net' OR host LIKE '%.example.net') AND starts_with(path, '/en/') THEN 'example.net/en/'
+        WHEN (host = 'org' OR host LIKE '%.org') AND starts_with(path, '/fr/') THEN 'org/fr/'
+        WHEN (host = 'net' OR host LIKE '%.net') AND starts_with(path, '/') THEN 'net/' END AS rule
+    FROM l
+)
+SELECT page_id, host, path, rule,
+       CASE WHEN rule IN ('net/', 'example.com/de/') THEN 'block' WHEN rule IS NOT NULL THEN 'allow'
+            WHEN listed THEN 'block' ELSE 'allow' END AS verdict, listed
+FROM r
+""",
+    "op7_warc": r"""
+WITH p AS (SELECT page_id, coalesce(html, '') AS b FROM pages),
+h AS (SELECT page_id, strlen(b) AS n, sha256(b) AS d FROM p),
+f AS (SELECT *, CASE WHEN n >= 100 THEN min(page_id) OVER (PARTITION BY d) END AS first FROM h)
+SELECT page_id, n::BIGINT AS payload_bytes, d AS payload_digest,
+       CASE WHEN first IS NULL OR page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id <> first THEN first END AS refers_to
+FROM f
+""",
     "op2_quality_rules": r"""
 WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS t FROM documents),
 w AS (SELECT r, doc_id, t, list_filter(regexp_split_to_array(t, '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM d),

@@ -260,14 +260,13 @@ def _wanted(sh: DataFrame, sids: DataFrame) -> DataFrame:
     return sh.mapInArrow(pick, "sid long, set array<long>")
 
 
-def _compare(sh: DataFrame, pairs: DataFrame, t: Threshold) -> DataFrame:
+def _compare(sets: DataFrame, pairs: DataFrame, t: Threshold) -> DataFrame:
     """The pairs ``hub, sid`` whose sets are linked, by the sets themselves."""
     pairs = materialize(pairs.select("hub", "sid").distinct(), "pairs")
     sizes = pairs.groupBy("hub").agg(F.ceil(F.count("*") / HUB_SHARE).cast("int").alias("shares"))
     hubs = sizes.select("hub", F.col("hub").alias("sid"), F.explode(F.sequence(F.lit(0), F.col("shares") - 1)).alias("share"), F.lit(0).alias("no"))
     members = pairs.join(sizes, "hub").select("hub", "sid", F.pmod(F.xxhash64("sid"), F.col("shares")).cast("int").alias("share"), F.lit(1).alias("no"))
     asked = hubs.unionByName(members)
-    sets = _wanted(sh, asked.select("sid").distinct())
     rows = asked.join(sets, "sid").select("hub", "share", "no", "sid", "set")
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -283,7 +282,7 @@ def _compare(sh: DataFrame, pairs: DataFrame, t: Threshold) -> DataFrame:
             if found:
                 yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in zip(*found, strict=True)], names=["a", "b"])
 
-    dealt = rows.repartition(sh.sparkSession.sparkContext.defaultParallelism * 4, "hub", "share")
+    dealt = rows.repartition(sets.sparkSession.sparkContext.defaultParallelism * 4, "hub", "share")
     return dealt.sortWithinPartitions("hub", "share", "no", "sid").mapInArrow(compare, "a long, b long").distinct()
 
 
@@ -297,8 +296,8 @@ def _parity(s: np.ndarray, cls: int, t: Threshold) -> bytes:
     return np.packbits(slots.astype(np.uint8)).tobytes()
 
 
-def _parities(sh: DataFrame, sids: DataFrame, t: Threshold) -> DataFrame:
-    """``sid, code, n, bits`` of the sets that may be among ``sids``, for either class they are listed in."""
+def _parities(sets: DataFrame, t: Threshold) -> DataFrame:
+    """``sid, code, n, bits`` of the sets, for either class they are listed in."""
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -310,22 +309,28 @@ def _parities(sh: DataFrame, sids: DataFrame, t: Threshold) -> DataFrame:
             columns = list(zip(*rows, strict=True)) if rows else [()] * 4
             yield pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(columns, kinds, strict=True)], names=["sid", "code", "n", "bits"])
 
-    return _wanted(sh, sids).mapInArrow(sign, "sid long, code int, n long, bits binary").dropDuplicates(["sid", "code"])
+    return sets.mapInArrow(sign, "sid long, code int, n long, bits binary").dropDuplicates(["sid", "code"])
 
 
-def _scan(sh: DataFrame, members: DataFrame, t: Threshold) -> DataFrame:
-    """``hub, sid``: pairs of a list, of different components, that may be linked."""
-    signed = members.join(_parities(sh, members.select("sid").distinct(), t), ["sid", "code"])
+def _scan(sets: DataFrame, members: DataFrame, t: Threshold) -> DataFrame:
+    """``hub, sid``: pairs of a list, of different components, that may be linked.
+
+    A pair that has several lists in common comes out of the one of least key only.
+    """
+    wanted = members.select("sid").distinct()
+    lists = members.groupBy("sid").agg(F.sort_array(F.collect_set("key")).alias("lists"))
+    signed = members.join(_parities(sets.join(wanted, "sid", "left_semi"), t), ["sid", "code"]).join(lists, "sid")
     sizes = members.groupBy("key", "code").agg(F.ceil(F.count("*") / LIST_BLOCK).cast("int").alias("blocks"))
     own = F.pmod(F.xxhash64("sid"), F.col("blocks")).cast("int")
     dealt = signed.join(sizes, ["key", "code"]).withColumn("own", own)
     dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    dealt = dealt.select("key", "code", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "sid", "root", "n", "bits")
+    dealt = dealt.select("key", "code", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "sid", "root", "n", "bits", "lists")
     names = ["key", "code", "i", "j"]
-    dealt = dealt.repartition(sh.sparkSession.sparkContext.defaultParallelism * 4, *names).sortWithinPartitions(*names, "own")
+    dealt = dealt.repartition(sets.sparkSession.sparkContext.defaultParallelism * 4, *names).sortWithinPartitions(*names, "own")
 
     def near(rows: list[tuple]) -> Iterator[tuple[int, int]]:
-        _, _, i, j, own, sid, root, n, bits = zip(*rows, strict=True)
+        key, _, i, j, own, sid, root, n, bits, lists = zip(*rows, strict=True)
+        key, of = key[0], {}
         own, sid, root, n = (np.array(x, dtype=np.int64) for x in (own, sid, root, n))
         signs = np.frombuffer(b"".join(bits), dtype=np.uint64).reshape(len(rows), -1)
         for a in np.flatnonzero(own == i[0]):
@@ -333,7 +338,11 @@ def _scan(sh: DataFrame, members: DataFrame, t: Threshold) -> DataFrame:
             others = others[root[others] != root[a]]
             apart = np.bitwise_count(signs[others] ^ signs[a]).sum(axis=1, dtype=np.int64)
             for b in others[(100 + t.percent) * apart <= t.miss * (n[others] + n[a])]:
-                yield (int(sid[a]), int(sid[b])) if sid[a] < sid[b] else (int(sid[b]), int(sid[a]))
+                for x in (a, b):
+                    if x not in of:
+                        of[x] = {k for k in lists[x] if k < key}
+                if of[a].isdisjoint(of[b]):
+                    yield (int(sid[a]), int(sid[b])) if sid[a] < sid[b] else (int(sid[b]), int(sid[a]))
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in _groups(batches, len(names)):
@@ -359,7 +368,10 @@ def links(sh: DataFrame, sizes: dict[int, int], t: Threshold) -> DataFrame:
     """``a, b``: links between sets that connect whatever is connected."""
     light = light_up_to({n: k for n, k in sizes.items() if n <= 2 * LIGHT_MOST}, t)
     stars = materialize(_stars(_postings(sh, light, t)), "lists")
-    found = [materialize(_compare(sh, stars, t), "links")]
+    listed = stars.select(F.explode(F.array("hub", "sid")).alias("sid")).distinct()
+    # their sets are used several times, the texts read once more for them
+    sets = materialize(_wanted(sh, listed).join(listed, "sid", "left_semi"), "listed-sets")
+    found = [materialize(_compare(sets, stars, t), "links")]
     heavy = stars.where("code < 0")
     members = heavy.select("key", "code", "sid").unionAll(heavy.select("key", "code", F.col("hub").alias("sid"))).distinct()
     for number in range(HUB_ROUNDS + 1):
@@ -372,12 +384,12 @@ def links(sh: DataFrame, sizes: dict[int, int], t: Threshold) -> DataFrame:
             break
         members = materialize(rooted.join(lists.select("key", "code"), ["key", "code"]), "open-lists")
         if number == HUB_ROUNDS or total["cross"] <= _SCAN * total["n"]:
-            found.append(materialize(_compare(sh, _scan(sh, members, t), t), "links"))
+            found.append(materialize(_compare(sets, _scan(sets, members, t), t), "links"))
             break
         hub = F.min_by(F.struct(F.col("sid").alias("hub"), F.col("root").alias("hub_root")), F.xxhash64("key", "sid", F.lit(number)))
         hubs = members.groupBy("key", "code").agg(hub.alias("x")).select("key", "code", "x.*")
         pairs = members.join(hubs, ["key", "code"]).where("root != hub_root").select("hub", "sid")
-        found.append(materialize(_compare(sh, pairs, t), "links"))
+        found.append(materialize(_compare(sets, pairs, t), "links"))
         members = members.select("key", "code", "sid")
     return reduce(DataFrame.unionAll, found)
 

@@ -1,0 +1,31 @@
+"""Queries with SQL equal it on the smallest driver tables; the pipeline equals its stages by brute force."""
+
+from pathlib import Path
+
+import pytest
+
+import corpus_pipeline
+from starmart.llm.queries import ORACLES, QUERIES
+
+SF = "/root/testdata/sf0.001"
+pytestmark = pytest.mark.skipif(not Path(SF).is_dir(), reason="driver tables not present")
+
+
+@pytest.mark.parametrize("name", sorted(ORACLES))
+def test_query(spark, name, monkeypatch):
+    compare = pytest.importorskip("checks.compare")
+    monkeypatch.setattr(compare, "QUERIES", QUERIES)
+    monkeypatch.setattr(compare, "ORACLES", ORACLES)
+    assert compare.compare(spark, compare.connect(SF), SF, name) is None
+
+
+def test_pipeline(spark):
+    documents = spark.read.parquet(f"{SF}/documents.parquet")
+    docs, counts = documents, []
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        docs = stage(spark, docs, SF).cache()
+        assert docs.dtypes == documents.dtypes
+        counts.append(docs.count())
+    assert documents.count() > counts[0] >= counts[1] == counts[2] >= counts[3] > 0
+    packed = corpus_pipeline.run(spark, SF)
+    assert {r.doc_id for r in packed.select("doc_id").collect()} == {r.doc_id for r in docs.select("doc_id").collect()}

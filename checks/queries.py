@@ -130,11 +130,11 @@ def csv_scan_multiline(spark, sf):
 
 @query("csv_scan_split", "SELECT doc_id, text, source, n_chars FROM documents")
 def csv_scan_split(spark, sf):
-    # The same scan the way files too large for one task are read.
+    # The same scan by many tasks per file.
     path = scratch_path(spark, "documents-csv")
     docs = table(spark, sf, "documents").select("doc_id", "text", "source", "n_chars")
     write_csv(docs, path)
-    return read_csv_typed(spark, path, docs.schema, "rfc4180", split_above=0)
+    return read_csv_typed(spark, path, docs.schema, "rfc4180_split")
 
 
 @query(

@@ -1,44 +1,35 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from starmart.sources.split_csv import read_csv_split
 
-# "rfc4180" reads doubled quotes and line breaks inside quotes, "lines" doubled
-# quotes with one record per line, "plain" sets nothing but the header.
+# "rfc4180" reads doubled quotes and line breaks inside quotes, "rfc4180_split" the same
+# with many tasks per file, "lines" doubled quotes with one record per line, "plain"
+# sets nothing but the header.
 DIALECTS = {
     "rfc4180": {"multiLine": "true", "escape": '"'},
+    "rfc4180_split": {"multiLine": "true", "escape": '"'},
     "lines": {"escape": '"'},
     "plain": {},
 }
 
-# A file that may hold line breaks inside quotes is one task up to this size.
-SPLIT_ABOVE = 256 << 20
-
-
-def largest_file(spark: SparkSession, path: str) -> int:
-    """Size in bytes of the largest file below ``path``; contents are not read."""
-    return spark.read.format("binaryFile").load(path).agg(F.max("length")).first()[0] or 0
-
-
 def read_csv_typed(
     spark: SparkSession,
     path: str,
     schema: T.StructType,
     dialect: str = "rfc4180",
-    split_above: int = SPLIT_ABOVE,
 ) -> DataFrame:
     """Header CSV under a fixed schema.
 
     Columns bind by position, the header line is skipped and not compared; a cell
-    that does not parse becomes NULL.  Every dialect reads large files in parallel;
-    for ``"rfc4180"`` files above ``split_above`` bytes take the longer way of
-    ``split_csv``.
+    that does not parse becomes NULL.  The dialect alone decides how a file is read,
+    never its size: ``"rfc4180"`` gives a file to one task, ``"rfc4180_split"`` reads it
+    by many and raises on any record that is not strict RFC 4180.
     """
     options = {"mode": "PERMISSIVE", **DIALECTS[dialect]}
-    if "multiLine" in options and largest_file(spark, path) > split_above:
+    if dialect == "rfc4180_split":
         return read_csv_split(spark, path, schema, options)
     return spark.read.schema(schema).option("header", True).options(**options).csv(path)
 

@@ -9,13 +9,24 @@ tells that for every line, without any task seeing the whole file.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from starmart.scratch import materialize
 
 
+def _strict(value: Column) -> Column:
+    """Whether a record is strict RFC 4180: quotes only round whole cells, doubled inside.
+
+    Every pair of quotes with what it holds becomes one control character, two if quotes
+    are doubled.  Then none may stand next to anything but a comma or its like, and no
+    quote or line break may be left.
+    """
+    bare = F.regexp_replace(value, '"[^"]*+"', "\x01")
+    return ~bare.rlike("\x01[^,\x01]|[^,\x01]\x01|[\"\r\n]") & (F.trim(value) != "")
+
+
 def _lines(spark: SparkSession, path: str) -> DataFrame:
     """All lines: ``file``, ``block`` (offset of the split), ``at`` (order inside the split),
     ``value``, ``quotes``, and ``crlf`` if the line break had two characters."""
@@ -104,19 +115,23 @@ def csv_records(spark: SparkSession, path: str) -> DataFrame:
         .agg(
             F.array_join(F.transform(pieces, lambda p: p["value"]), "\n").alias("value"),
             F.first("file_crlf").alias("file_crlf"),
+            F.first("file").alias("file"),
         )
     )
-    text = placed.where(alone).select("value", "file_crlf").unionByName(joined.drop("record"))
+    text = placed.where(alone).select("value", "file_crlf", "file").unionByName(joined.drop("record"))
     # Where lines end with two characters, the reader makes them one, inside quotes too.
     plain = F.regexp_replace("value", "\r(\n|\\z)", "$1")
     value = F.when(F.col("file_crlf"), plain).otherwise(F.col("value"))
-    return text.select(value.alias("value")).where(F.trim("value") != "")
+    bad = F.raise_error(F.concat(F.lit("a record outside strict RFC 4180 in "), F.col("file")))
+    checked = F.when(_strict(value), value).otherwise(bad.cast("string"))
+    # An empty line is no record; one of blanks is none that RFC 4180 knows.
+    return text.where(F.rtrim("value", F.lit("\r")) != "").select(checked.alias("value"))
 
 
 def read_csv_split(
     spark: SparkSession, path: str, schema: T.StructType, options: dict[str, str]
 ) -> DataFrame:
-    """Same rows as the ``multiLine`` reader on RFC 4180 text, in any order."""
+    """Same rows as the ``multiLine`` reader on strict RFC 4180 text, in any order; else an error."""
     columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
     row = F.from_csv("value", columns, options)
     return csv_records(spark, path).select(row.alias("row")).select("row.*")

@@ -36,7 +36,7 @@ from starmart.functions.nulls import drop_nulls
 from starmart.functions.records import explode_records, parse_records
 from starmart.operators.distinct import distinct_rows
 from starmart.operators.keys import assign_surrogate_key, next_key
-from starmart.operators.layout import exceeds_broadcast, replicated, write_bucketed, write_sorted
+from starmart.operators.layout import replicated, write_bucketed, write_sorted
 from starmart.operators.merge import (
     append_all,
     duplicate_keys,
@@ -349,7 +349,7 @@ def anti_join_single(spark, sf):
 
 @query("anti_join_composite", _INSERT2)
 def anti_join_composite(spark, sf):
-    return headers2(spark, sf).join(lines2(spark, sf).select("a", "b"), ["a", "b"], "left_anti")
+    return insert_new(lines2(spark, sf), headers2(spark, sf), ["a", "b"], unique=True)
 
 
 @query("update_from_single", _UPDATE)
@@ -636,8 +636,7 @@ def _old_movies(spark: SparkSession, sf: str) -> DataFrame:
 )
 def job_movies(spark, sf):
     stage = movies.clean_movies(movie_source(spark, sf))
-    # One row per movie in the target by construction.
-    return movies.merge_movies(_old_movies(spark, sf), stage, one_pass=exceeds_broadcast(stage))
+    return movies.merge_movies(_old_movies(spark, sf), stage)
 
 
 _PAIRS_SQL = f"""

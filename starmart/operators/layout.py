@@ -37,9 +37,14 @@ def broadcast_threshold(spark: SparkSession) -> int:
     return int(number) * 1024 ** " kmgt".index(unit or " ")
 
 
+def planned_bytes(df: DataFrame) -> int:
+    """The size Spark itself plans with, from the statistics of the stored files; runs no job."""
+    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+
+
 def exceeds_broadcast(df: DataFrame) -> bool:
-    """Whether the measured frame is above the session's broadcast threshold."""
-    return table_bytes(df) > broadcast_threshold(df.sparkSession)
+    """Whether Spark would plan with more than the session's broadcast threshold."""
+    return planned_bytes(df) > broadcast_threshold(df.sparkSession)
 
 
 def replicated(dim: DataFrame, max_bytes: int = 64 << 20) -> DataFrame:

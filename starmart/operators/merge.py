@@ -7,13 +7,18 @@ For target T, source S, keys K and set columns C a merge yields
 Whether a row matched is carried as a flag, so a NULL in the source overwrites.
 A NULL in any key never matches: such source rows are always inserted.
 
-No join here carries a hint.  Catalyst broadcasts the source when its statistics
-are below ``spark.sql.autoBroadcastJoinThreshold``; then neither read of the target
-is shuffled, because the update is a left join from the target and the insert
-looks only at target keys already reduced by a semi-join.  Above the threshold both
-sides are hash-partitioned by the keys.  The source is read three times and the
-target twice (once for its key columns alone), so hand in stored tables, not long
-unevaluated plans; ``upsert(..., one_pass=True)`` reads either side once.
+No join here carries a hint.  The plan follows the statistics Spark plans with
+(``exceeds_broadcast``), which cost no job; both ways give the same rows.
+
+- Source at most ``spark.sql.autoBroadcastJoinThreshold``: it is broadcast and no read
+  of the target is shuffled.  The update is a left join from the target, the insert
+  looks only at target keys already reduced by a semi-join.  The source is read three
+  times and the target twice (once for its keys), so hand in stored tables.
+- Above it: an upsert is one full outer join, an insert one anti-join.  Each side is
+  read once and hash-partitioned once by the keys.
+
+``update_from`` and ``insert_new`` join complete keys only and add the rows with a NULL
+key afterwards (a second, filtered read), so that tables bucketed alike join in place.
 """
 
 from __future__ import annotations
@@ -24,6 +29,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from starmart.operators.layout import exceeds_broadcast
 from starmart.operators.project import align_to_schema
 from starmart.scratch import materialize
 
@@ -131,18 +137,15 @@ def update_from(
     if set_cols is None:
         set_cols = [c for c in target.columns if c in source.columns and c not in keys]
     right = _complete(source, keys, dedupe_by, unique, null_keys)
-    left, on = target, list(keys)
-    if null_keys:
-        left, right = left.withColumn(_SPREAD, _spread(keys)), right.withColumn(_SPREAD, _spread(keys))
-        on.append(_SPREAD)
+    left = target.where(keys_present(keys)) if null_keys else target
     right = right.select(
-        *[F.col(k).alias(f"__s_{k}") for k in on],
+        *[F.col(k).alias(f"__s_{k}") for k in keys],
         *[F.col(c).alias(f"__s_{c}") for c in set_cols],
         F.lit(True).alias(_HIT),
     )
-    match = [F.col(k) == F.col(f"__s_{k}") for k in on]
+    match = [F.col(k) == F.col(f"__s_{k}") for k in keys]
     types = {f.name: f.dataType for f in target.schema.fields}
-    return left.join(right, match, "left").select(
+    updated = left.join(right, match, "left").select(
         *[
             F.when(F.col(_HIT), F.col(f"__s_{c}").cast(types[c])).otherwise(F.col(c)).alias(c)
             if c in set_cols
@@ -150,6 +153,7 @@ def update_from(
             for c in target.columns
         ]
     )
+    return updated.unionByName(target.where(~keys_present(keys))) if null_keys else updated
 
 
 def insert_new(
@@ -162,19 +166,16 @@ def insert_new(
 ) -> DataFrame:
     """The source rows whose key the target lacks.
 
-    Written as anti-join against the target keys the source also has.  A bare
-    anti-join would need the target on its build side and so shuffle it whole; the
-    semi-join in between lets a small source be broadcast to the target instead.
+    An anti-join has the target on its build side and so would shuffle it whole for a
+    small source too; a source that is broadcast anyway first reduces the target's keys
+    by a semi-join.
     """
     wanted = source.where(keys_present(keys)).select(*keys)
-    if dedupe_by is not None:  # copies of a key shrink before the shuffle
-        wanted = wanted.distinct()
-    known = (
-        target.where(keys_present(keys))
-        .select(*keys)
-        .distinct()
-        .join(wanted, list(keys), "left_semi")
-    )
+    known = target.where(keys_present(keys)).select(*keys)
+    if not exceeds_broadcast(wanted):
+        if dedupe_by is not None:
+            wanted = wanted.distinct()
+        known = known.join(wanted, list(keys), "left_semi").distinct()
     complete = _complete(source, keys, dedupe_by, unique, null_keys)
     fresh = complete.join(known, list(keys), "left_anti").select(*source.columns)
     return fresh.unionByName(source.where(~keys_present(keys))) if null_keys else fresh
@@ -196,17 +197,17 @@ def upsert(
     dedupe_by: Sequence[str] | None = None,
     unique: bool = False,
     null_keys: bool = True,
-    one_pass: bool = False,
+    one_pass: bool | None = None,
 ) -> DataFrame:
     """Update the target rows whose key the source has, insert the rest of the source.
 
-    ``one_pass`` does both in one full outer join: the target is read and shuffled
-    once.  It suits a source too large to broadcast and a target whose keys are unique;
-    a full outer join can neither broadcast nor split a hot key.
+    ``one_pass`` does both in one full outer join: either side is read and shuffled
+    once.  By default it is chosen for a source too large to broadcast.  A full outer
+    join cannot split a hot key: for a target whose keys are far from unique pass False.
     """
     if dedupe_by is not None or not unique:
         source = settle_source(source, keys, dedupe_by, null_keys)
-    if one_pass:
+    if exceeds_broadcast(source) if one_pass is None else one_pass:
         return _upsert_in_one_pass(target, source, keys, set_cols, null_keys)
     options = {"unique": True, "null_keys": null_keys}
     updated = update_from(target, source, keys, set_cols, **options)
@@ -214,6 +215,26 @@ def upsert(
     return updated.unionByName(align_to_schema(fresh, target.schema))
 
 
+def matched_once(
+    target: DataFrame, source: DataFrame, keys: Sequence[str], null_keys: bool = True
+) -> DataFrame:
+    """The full outer join of both: target columns, source columns as ``__s_<name>``, and
+    the flags ``__have`` and ``__hit`` (true where the target, the source has the row).
+
+    Rows with a NULL key match nothing; ``null_keys`` spreads them over the partitions.
+    """
+    right = source.select(
+        *[F.col(c).alias(f"__s_{c}") for c in source.columns], F.lit(True).alias(_HIT)
+    )
+    left = target.withColumn("__have", F.lit(True))
+    match = [F.col(k) == F.col(f"__s_{k}") for k in keys]
+    if null_keys:
+        left = left.withColumn(_SPREAD, _spread(keys))
+        right = right.withColumn(f"__s{_SPREAD}", _spread([f"__s_{k}" for k in keys]))
+        match.append(F.col(_SPREAD) == F.col(f"__s{_SPREAD}"))
+    return left.join(right, match, "full").drop(_SPREAD, f"__s{_SPREAD}")
+
+
 def _upsert_in_one_pass(
     target: DataFrame,
     source: DataFrame,
@@ -223,17 +244,8 @@ def _upsert_in_one_pass(
 ) -> DataFrame:
     if set_cols is None:
         set_cols = [c for c in target.columns if c in source.columns and c not in keys]
-    complete = source.where(keys_present(keys)) if null_keys else source
-    right = align_to_schema(complete, target.schema)
-    right = right.select(
-        *[F.col(c).alias(f"__s_{c}") for c in target.columns], F.lit(True).alias(_HIT)
-    )
-    left = target.withColumn("__have", F.lit(True))
-    match = [F.col(k) == F.col(f"__s_{k}") for k in keys]
-    if null_keys:  # incomplete target keys match nothing: they need no join
-        loose = left.where(~keys_present(keys)).drop("__have")
-        left = left.where(keys_present(keys))
-    merged = left.join(right, match, "full").select(
+    joined = matched_once(target, align_to_schema(source, target.schema), keys, null_keys)
+    return joined.select(
         *[
             F.when(F.col(_HIT) if c in set_cols else F.col("__have").isNull(), F.col(f"__s_{c}"))
             .otherwise(F.col(c))
@@ -241,10 +253,6 @@ def _upsert_in_one_pass(
             for c in target.columns
         ]
     )
-    if null_keys:
-        unmatched = source.where(~keys_present(keys))
-        merged = merged.unionByName(loose).unionByName(align_to_schema(unmatched, target.schema))
-    return merged
 
 
 def append_all(target: DataFrame, source: DataFrame) -> DataFrame:

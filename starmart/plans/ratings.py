@@ -1,10 +1,13 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from starmart.operators.keys import assign_surrogate_key, next_key
-from starmart.operators.merge import insert_new, settle_source, update_from
+from starmart.operators.layout import exceeds_broadcast
+from starmart.operators.merge import insert_new, matched_once, settle_source, update_from
 from starmart.operators.project import align_to_schema, project
+from starmart.scratch import materialize
 
 KEYS = ["user_id", "movie_id"]
 SURROGATE = "user_movie_id"
@@ -21,8 +24,25 @@ def merge_ratings(
     dedupe_by: list[str] | None = None,
     null_keys: bool = True,
 ) -> DataFrame:
-    """Ratings of known pairs change and keep their key; new pairs get the next keys."""
+    """Ratings of known pairs change and keep their key; new pairs get the next keys.
+
+    A stage too large to broadcast meets the target in one full outer join, written once:
+    the target is read and shuffled once, and the next key is taken from what was written.
+    """
     stage = settle_source(stage, KEYS, dedupe_by, null_keys)
+    if exceeds_broadcast(stage):
+        joined = materialize(matched_once(target, stage, KEYS, null_keys), "ratings-joined")
+        known, fresh = joined.where("__have"), joined.where("__have IS NULL")
+        types = dict(target.dtypes)
+        rating = F.when(F.col("__hit"), F.col("__s_rating").cast(types["rating"]))
+        updated = known.withColumn("rating", rating.otherwise(F.col("rating")))
+        keyed = assign_surrogate_key(
+            fresh.select(*[F.col(f"__s_{c}").alias(c) for c in stage.columns]),
+            KEYS,
+            SURROGATE,
+            start=next_key(known, SURROGATE),
+        )
+        return updated.select(*target.columns).unionByName(align_to_schema(keyed, target.schema))
     options = {"unique": True, "null_keys": null_keys}
     updated = update_from(target, stage, KEYS, ["rating"], **options)
     fresh = insert_new(target, stage, KEYS, **options)

@@ -152,10 +152,11 @@ def test_run_with_changed_rows(spark, tmp_path):
 
 def test_large_source_gives_the_same_tables(spark, tmp_path, monkeypatch):
     small = run_all(spark, str(DATA), str(tmp_path / "o1"), str(tmp_path / "w1"), on_violation="drop")
-    monkeypatch.setattr("starmart.plans.load.exceeds_broadcast", lambda df: True)
+    monkeypatch.setattr("starmart.operators.merge.exceeds_broadcast", lambda df: True)
+    monkeypatch.setattr("starmart.plans.ratings.exceeds_broadcast", lambda df: True)
     for output in ("o2", "o3"):
         large = run_all(spark, str(DATA), str(tmp_path / output), str(tmp_path / "w2"), on_violation="drop")
-    for table in ("movies", "genre", "date"):
+    for table in ("movies", "genre", "date", "ratings", "movie_genre"):
         assert bag(large.read(table)) == bag(small.read(table))
 
 

@@ -177,3 +177,51 @@ def test_null_key_rows_spread_over_partitions(spark, joins):
     s = spark.createDataFrame([(1, 5)], "k int, v long")
     out = update_from(t, s, ["k"])
     assert out.count() == 4_000
+
+
+def _shape(df):
+    """File scans, hash exchanges and sort-merge joins of the plan without adaptive execution."""
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    return tuple(plan.count(x) for x in ("FileScan", "Exchange hashpartitioning", "SortMergeJoin"))
+
+
+def test_large_source_plans(spark, tmp_path):
+    """Above the threshold every merge reads and shuffles either side once."""
+    for name in "ts":
+        spark.range(1_000).select(F.col("id").alias("k"), F.lit(name).alias("v")).write.parquet(str(tmp_path / name))
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false"}
+    old = {c: spark.conf.get(c) for c in conf}
+    try:
+        for c, v in conf.items():
+            spark.conf.set(c, v)
+        t, s = (spark.read.parquet(str(tmp_path / x)) for x in "ts")
+        for null_keys in (True, False):
+            options = {"unique": True, "null_keys": null_keys}
+            assert _shape(upsert(t, s, ["k"], **options)) == (2, 2, 1)
+            more = 1 if null_keys else 0  # the filtered read of rows without a key
+            assert _shape(insert_new(t, s, ["k"], **options)) == (2 + more, 2, 1)
+            assert _shape(update_from(t, s, ["k"], **options)) == (2 + more, 2, 1)
+    finally:
+        for c, v in old.items():
+            spark.conf.set(c, v)
+
+
+def test_tables_bucketed_alike_merge_in_place(spark, tmp_path):
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false"}
+    old = {c: spark.conf.get(c) for c in conf}
+    names = ["merge_in_place_t", "merge_in_place_s"]
+    try:
+        for c, v in conf.items():
+            spark.conf.set(c, v)
+        for n in names:
+            df = spark.range(100).select(F.col("id").alias("k"), F.lit(n).alias("v"))
+            df.write.bucketBy(4, "k").sortBy("k").option("path", str(tmp_path / n)).saveAsTable(n)
+        t, s = map(spark.table, names)
+        assert _shape(update_from(t, s, ["k"], unique=True))[1] == 0
+        assert _shape(insert_new(t, s, ["k"], unique=True))[1] == 0
+        assert _shape(upsert(t, s, ["k"], unique=True, null_keys=False))[1] == 0
+    finally:
+        for c, v in old.items():
+            spark.conf.set(c, v)
+        for n in names:
+            spark.sql(f"DROP TABLE IF EXISTS {n}")

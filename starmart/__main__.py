@@ -1,4 +1,7 @@
-"""``python -m starmart JOB --input PREFIX --output PREFIX``; ``all`` also merges."""
+"""``python -m starmart JOB --input PREFIX --output PREFIX``; ``all`` also merges.
+
+``python -m starmart merge [GROUP ...] --warehouse ROOT`` merges what is staged already.
+"""
 
 from __future__ import annotations
 
@@ -6,18 +9,32 @@ import argparse
 
 from pyspark.sql import SparkSession
 
-from starmart.plans.load import JOBS, run_all, run_job
+from starmart.plans.load import JOBS, MERGES, merge_all, run_all, run_job
+from starmart.schemas import RATING_TYPE, T, warehouse_specs
+from starmart.warehouse import Warehouse
 
 
 def main(argv: list[str] | None = None) -> None:
     parser = argparse.ArgumentParser(prog="starmart")
-    parser.add_argument("job", choices=[*JOBS, "all"])
+    parser.add_argument("job", choices=[*JOBS, "all", "merge"])
+    parser.add_argument("groups", nargs="*", help="what to merge (default: all that is staged)")
     parser.add_argument("--input", default="/source", help="prefix of the CSV files")
     parser.add_argument("--output", default="/output", help="prefix of the clean datasets")
     parser.add_argument("--warehouse", default="/warehouse", help="warehouse root, for 'all'")
     parser.add_argument("--required", choices=["output", "all"], default="output")
     parser.add_argument("--on-violation", choices=["fail", "drop"], default="fail")
-    parser.add_argument("--dedupe", action="store_true", help="keep one row per source key")
+    parser.add_argument(
+        "--dedupe", action="store_true",
+        help="keep one row per source key: the smallest in the updated columns",
+    )
+    parser.add_argument(
+        "--dedupe-by", action="append", default=[], metavar="TABLE=COLUMN,...",
+        help="as --dedupe, but the smallest in these columns of the table",
+    )
+    parser.add_argument(
+        "--rating-type", default=f"{RATING_TYPE.precision},{RATING_TYPE.scale}",
+        metavar="PRECISION,SCALE", help="decimal type of a stored rating",
+    )
     parser.add_argument("--packages", help="connector packages for a new session")
     parser.add_argument("--jdbc-url", help="also append the clean data to staging tables here")
     parser.add_argument("--jdbc-schema", default="movies", help="schema of those tables")
@@ -29,6 +46,12 @@ def main(argv: list[str] | None = None) -> None:
         help="connection property such as driver, user or password",
     )
     args = parser.parse_args(argv)
+    unknown = [g for g in args.groups if args.job != "merge" or g not in MERGES]
+    if unknown:
+        parser.error(f"not to be merged: {unknown}; choose from {list(MERGES)}")
+    by = {t: c.split(",") for t, c in (d.split("=", 1) for d in args.dedupe_by)}
+    dedupe = by or args.dedupe
+    rating_type = T.DecimalType(*map(int, args.rating_type.split(",")))
 
     jdbc = None
     if args.jdbc_url:
@@ -46,9 +69,13 @@ def main(argv: list[str] | None = None) -> None:
             args.output,
             args.warehouse,
             on_violation=args.on_violation,
-            dedupe=args.dedupe,
+            dedupe=dedupe,
+            rating_type=rating_type,
             **options,
         )
+    elif args.job == "merge":
+        warehouse = Warehouse(spark, args.warehouse, warehouse_specs(rating_type))
+        merge_all(warehouse, args.groups or None, args.on_violation, dedupe)
     else:
         run_job(spark, args.job, args.input, args.output, **options)
 

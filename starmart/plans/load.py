@@ -11,6 +11,7 @@ from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
+from starmart.operators.merge import require_unique
 from starmart.operators.quality import conform, enforce
 from starmart.plans import budgets, dates, genres, movies, ratings
 from starmart.schemas import MOVIES_CSV, RATING_TYPE, RATINGS_CSV, warehouse_specs
@@ -69,6 +70,10 @@ JOBS: dict[str, Job] = {
 }
 
 
+class UnfinishedLoad(RuntimeError):
+    """An earlier load left staged batches that were not merged."""
+
+
 @dataclass(frozen=True)
 class Clean:
     """A stored clean dataset."""
@@ -173,29 +178,74 @@ def stage_clean(warehouse: Warehouse, stored: Mapping[str, Clean]) -> None:
     warehouse.stage_files({STAGES[t]: (c.path, c.schema) for t, c in stored.items()})
 
 
+def require_nothing_staged(warehouse: Warehouse) -> None:
+    """Raise if an earlier load still has batches to merge; new ones would mix with them."""
+    state = warehouse.snapshot()
+    left = [s for s in STAGES.values() if s in state and state[s].live]
+    if left:
+        raise UnfinishedLoad(
+            f"{left} hold batches of an unfinished load; finish it with "
+            "'python -m starmart merge', or drop them"
+        )
+
+
+def staged_groups(warehouse: Warehouse) -> list[str]:
+    """The groups with batches to merge."""
+    state = warehouse.snapshot()
+    return [n for n in MERGES if STAGES[n] in state and state[STAGES[n]].live]
+
+
+def check_stage(
+    warehouse: Warehouse,
+    name: str,
+    on_violation: str = "fail",
+    dedupe: bool | Mapping[str, list[str]] = False,
+) -> None:
+    """Raise what ``merge_table`` would about the staged rows of one group."""
+    state = warehouse.snapshot()
+    for table in MERGES[name]:
+        spec = warehouse.specs[table]
+        staged = conform(warehouse.read(STAGES[table], state), spec)
+        rows = enforce(staged, spec.stage_spec, on_violation)
+        if spec.keys and not dedupe:
+            require_unique(rows, spec.keys)
+
+
 def merge_table(
-    warehouse: Warehouse, name: str, on_violation: str = "fail", dedupe: bool = False
+    warehouse: Warehouse,
+    name: str,
+    on_violation: str = "fail",
+    dedupe: bool | Mapping[str, list[str]] = False,
+    checked: bool = False,
 ) -> None:
     """Merge the staging tables of one group into the warehouse and consume them.
 
     ``name`` is ``movies``, ``genre`` (with the bridge, one commit), ``date``,
     ``ratings`` or ``budgetrevenue``.  ``dedupe`` keeps one row per duplicate source
-    key instead of raising.
+    key instead of raising: the one with the smallest values in the columns it names for
+    the table, else in the updated columns.  Unless ``checked``, ``check_stage`` comes first.
     """
+    if not checked:
+        check_stage(warehouse, name, on_violation, dedupe)
     state = warehouse.snapshot()
     publish = partial(warehouse.publish, state=state)
 
     def options(table: str) -> dict:
         spec = warehouse.specs[table]
-        # The keys are declared NOT NULL and were just checked.
-        return {"dedupe_by": spec.set_cols if dedupe else None, "null_keys": False}
+        # The keys are declared NOT NULL and unique, and were checked.
+        if not dedupe:
+            return {"unique": True, "null_keys": False}
+        by = dedupe.get(table) if isinstance(dedupe, Mapping) else None
+        return {"dedupe_by": by or spec.set_cols, "null_keys": False}
 
     def stored(table: str) -> DataFrame:
         return warehouse.read(table, state)
 
     def stage(table: str) -> DataFrame:
         spec = warehouse.specs[table]
-        return enforce(conform(warehouse.read(STAGES[table], state), spec), spec, on_violation)
+        rows = conform(warehouse.read(STAGES[table], state), spec)
+        # "fail" was checked; "drop" filters.
+        return rows if on_violation == "fail" else enforce(rows, spec.stage_spec, on_violation)
 
     if name == "movies":
         merged = movies.merge_movies(stored("movies"), stage("movies"), **options("movies"))
@@ -225,18 +275,39 @@ def merge_table(
         raise KeyError(name)
 
 
-MERGES = ("genre", "date", "ratings", "movies", "budgetrevenue")
+#: Merge group -> the tables it publishes in one commit.
+MERGES = {
+    "genre": ("genre", "movie_genre"),
+    "date": ("date",),
+    "ratings": ("ratings",),
+    "movies": ("movies",),
+    "budgetrevenue": ("budgetrevenue",),
+}
 
 
 def merge_all(
     warehouse: Warehouse,
-    names: Iterable[str] = MERGES,
+    names: Iterable[str] | None = None,
     on_violation: str = "fail",
-    dedupe: bool = False,
+    dedupe: bool | Mapping[str, list[str]] = False,
 ) -> None:
-    """Merge several groups side by side; they share no table."""
-    calls = [partial(merge_table, warehouse, n, on_violation, dedupe) for n in names]
-    _side_by_side(warehouse.spark, calls)
+    """Merge several groups (default: all staged ones) side by side; they share no table.
+
+    The staged rows of all groups are checked before the first publish.  A group consumes
+    its batches in the commit that publishes them, so after a failure a second call
+    merges just what is left.
+    """
+    names = staged_groups(warehouse) if names is None else list(names)
+    if not names:
+        return
+    options = {"on_violation": on_violation, "dedupe": dedupe}
+    _side_by_side(
+        warehouse.spark, [partial(check_stage, warehouse, n, **options) for n in names]
+    )
+    _side_by_side(
+        warehouse.spark,
+        [partial(merge_table, warehouse, n, checked=True, **options) for n in names],
+    )
 
 
 def run_all(
@@ -246,13 +317,17 @@ def run_all(
     warehouse_root: str,
     required: str = "output",
     on_violation: str = "fail",
-    dedupe: bool = False,
+    dedupe: bool | Mapping[str, list[str]] = False,
     rating_type: T.DecimalType = RATING_TYPE,
     dialects: Mapping[str, str] | None = None,
     jdbc: Mapping[str, object] | None = None,
 ) -> Warehouse:
-    """Create what is missing, clean all sources, merge everything."""
+    """Create what is missing, clean all sources, merge everything.
+
+    Refuses to stage on top of an unfinished load; ``merge_all`` finishes that one.
+    """
     warehouse = Warehouse(spark, warehouse_root, warehouse_specs(rating_type))
+    require_nothing_staged(warehouse)
     warehouse.create_if_absent()
     stage_clean(warehouse, run_cleaning(spark, input, output, required, dialects, jdbc))
     merge_all(warehouse, on_violation=on_violation, dedupe=dedupe)

@@ -6,7 +6,7 @@ files and existing warehouses depend on it.
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 from pyspark.sql import types as T
 
@@ -79,6 +79,12 @@ class TableSpec:
     dist_key: str | None = None
     sort_by: str | None = None
     surrogate: str | None = None
+    stage_not_null: tuple[str, ...] = ()  # further columns of a staged row
+
+    @property
+    def stage_spec(self) -> TableSpec:
+        """What a staged row must hold before it is merged."""
+        return replace(self, not_null=self.not_null + self.stage_not_null)
 
     @property
     def replicated(self) -> bool:
@@ -113,6 +119,7 @@ def warehouse_specs(rating_type: T.DecimalType = RATING_TYPE) -> dict[str, Table
             not_null=("movie_id", "is_adult", "original_language", "title"),
             lengths={"is_adult": 5, "original_language": 2, "title": 300},
             pad=("original_language",),
+            stage_not_null=("release_date",),
             dist_key="movie_id",
         ),
         TableSpec(

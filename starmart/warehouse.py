@@ -6,8 +6,10 @@ table in the publish, so its appearance is the commit.  Readers take the highest
 version per table.  A failure before the commit leaves folders nobody refers to and
 the old versions readable.
 
-One writer per table at a time; writers of different tables may run side by side.
-Two publishes of one version are reported by the next reader.
+One writer per table at a time; writers of different tables may run side by side.  A
+writer re-reads the log after its commit: if another publish claims the same version of
+a table it raises, and that table alone cannot be read or published until ``resolve``
+names the publish that counts.
 """
 
 from __future__ import annotations
@@ -30,7 +32,8 @@ _MANIFEST = struct(
     table=STRING,
     version=LONG,
     live=BOOLEAN,
-    paths=T.ArrayType(STRING),
+    paths=T.ArrayType(STRING),  # all of them if reset, else those added
+    reset=BOOLEAN,
     schema=STRING,
     publish_id=STRING,
 )
@@ -46,6 +49,7 @@ class Entry:
     live: bool
     paths: tuple[str, ...]
     schema: T.StructType
+    clash: tuple[str, ...] = ()  # publishes that claim one version, unresolved
 
 
 class Warehouse:
@@ -62,36 +66,50 @@ class Warehouse:
     # -- state -----------------------------------------------------------------
 
     def snapshot(self) -> dict[str, Entry]:
-        """The current version of every table; one row per table reaches the driver."""
+        """The current version of every table; one row per table reaches the driver.
+
+        A table is made of its last row that resets it and the rows that add to it since.
+        """
         try:
             log = self._log()
         except AnalysisException as e:
             if e.getCondition() != "PATH_NOT_FOUND":
                 raise
             return {}
-        # A few rows per publish: one task reads them, nothing is shuffled.
+        # A few short rows per publish: one task reads them, nothing is shuffled.
+        line = F.struct("version", "publish_id", "live", "reset", "paths", "schema")
         rows = (
             log.coalesce(1)
             .groupBy("table")
             .agg(
-                F.max_by(F.struct("version", "live", "paths", "schema"), "version").alias("e"),
-                F.count("version").alias("n"),
-                F.count_distinct("version").alias("n_versions"),
+                F.array_sort(F.collect_list(line)).alias("lines"),
+                F.max(F.when(F.col("reset"), F.col("version"))).alias("base"),
+            )
+            .select(
+                "table",
+                F.expr("filter(lines, l -> l.version >= base)").alias("lines"),
+            )
+            .select(
+                "table",
+                F.element_at("lines", -1).alias("last"),
+                F.flatten(F.transform("lines", lambda e: e["paths"])).alias("paths"),
+                F.transform("lines", lambda e: e["version"]).alias("versions"),
+                F.transform("lines", lambda e: e["publish_id"]).alias("ids"),
             )
             .collect()
         )
-        clash = [r["table"] for r in rows if r["n"] != r["n_versions"]]
-        if clash:
-            raise PublishConflict(f"two publishes claimed one version of {clash}")
-        return {
-            r["table"]: Entry(
-                r["e"]["version"],
-                r["e"]["live"],
-                tuple(r["e"]["paths"]),
-                T.StructType.fromJson(json.loads(r["e"]["schema"])),
+        state = {}
+        for r in rows:
+            last = r["last"]
+            clash = [i for v, i in zip(r["versions"], r["ids"]) if r["versions"].count(v) > 1]
+            state[r["table"]] = Entry(
+                last["version"],
+                last["live"],
+                tuple(r["paths"]),
+                T.StructType.fromJson(json.loads(last["schema"])),
+                tuple(clash),
             )
-            for r in rows
-        }
+        return state
 
     def exists(self, name: str) -> bool:
         entry = self.snapshot().get(name)
@@ -105,6 +123,7 @@ class Warehouse:
         entry = (self.snapshot() if state is None else state).get(name)
         if entry is None or not entry.live:
             raise KeyError(f"no table {name!r} in {self.root}")
+        self._require_settled({name: entry})
         if not entry.paths:
             columns = [F.lit(None).cast(f.dataType).alias(f.name) for f in entry.schema.fields]
             return self.spark.range(1).where(F.lit(False)).select(*columns)
@@ -124,10 +143,13 @@ class Warehouse:
         return write_bucketed(self.read(name), table, path, buckets, self.specs[name].dist_key)
 
     def stale_paths(self) -> DataFrame:
-        """Folders (``path``) of superseded versions; nothing published refers to them."""
+        """Folders (``path``) of superseded versions; nothing published refers to them.
+
+        Those of a table with unresolved publishes all count as referred to.
+        """
         log = self._log()
-        newest = log.groupBy("table").agg(F.max("version").alias("version"))
-        current = log.join(newest, ["table", "version"]).where("live")
+        base = log.where("reset").groupBy("table").agg(F.max("version").alias("base"))
+        current = log.join(base, "table").where("version >= base")
         paths = F.explode("paths").alias("path")
         return log.select(paths).distinct().join(current.select(paths), "path", "left_anti")
 
@@ -139,7 +161,7 @@ class Warehouse:
         new = [s for s in self.specs.values() if s.name not in have or not have[s.name].live]
         self._commit(
             [
-                (s.name, have[s.name].version + 1 if s.name in have else 0, True, [], s.schema)
+                (s.name, have[s.name].version + 1 if s.name in have else 0, True, [], True, s.schema)
                 for s in new
             ]
         )
@@ -155,9 +177,9 @@ class Warehouse:
         rows = []
         for name, (path, schema) in batches.items():
             entry = have.get(name)
-            old = entry.paths if entry is not None and entry.live else ()
             version = 0 if entry is None else entry.version + 1
-            rows.append((name, version, True, [*old, path], schema))
+            rows.append((name, version, True, [path], entry is None or not entry.live, schema))
+        self._require_settled({n: have[n] for n in batches if n in have})
         self._commit(rows)
 
     def drop(self, name: str, if_exists: bool = False) -> None:
@@ -186,28 +208,53 @@ class Warehouse:
         missing = [name for name in consume if not live(name)]
         if missing:
             raise KeyError(f"no table {missing} in {self.root}")
+        touched = {*(replace or {}), *(append or {}), *consume, *consume_if_exists}
+        self._require_settled({n: have[n] for n in touched if n in have})
 
         changes = []
         for name, df in (replace or {}).items():
-            changes.append((name, [self._write(name, df)], df.schema))
+            changes.append((name, [self._write(name, df)], True, df.schema))
         for name, df in (append or {}).items():
             old = have[name] if live(name) else None
             if old is not None:
                 df = df.select(*[F.col(f.name).cast(f.dataType) for f in old.schema.fields])
-            path = self._write(name, df)
-            changes.append((name, [*(old.paths if old else ()), path], df.schema))
+            changes.append((name, [self._write(name, df)], old is None, df.schema))
 
         def version(name: str) -> int:
             return have[name].version + 1 if name in have else 0
 
-        rows = [(name, version(name), True, paths, schema) for name, paths, schema in changes]
+        rows = [
+            (name, version(name), True, paths, reset, schema)
+            for name, paths, reset, schema in changes
+        ]
         rows += [
-            (name, version(name), False, [], have[name].schema)
+            (name, version(name), False, [], True, have[name].schema)
             for name in [*consume, *consume_if_exists]
             if live(name)
         ]
         self._commit(rows)
 
+    def resolve(self, name: str, publish_id: str) -> None:
+        """Settle a clash: of the publishes that claim one version of the table this one counts."""
+        entry = self.snapshot()[name]
+        if publish_id not in entry.clash:
+            raise KeyError(f"{publish_id!r} is none of the publishes {entry.clash} of {name!r}")
+        lines = self._log().where(F.col("table") == name).orderBy("version").collect()
+        chosen = next(r for r in lines if r["publish_id"] == publish_id)
+        kept = [r for r in lines if r["version"] < chosen["version"]] + [chosen]
+        start = max(i for i, r in enumerate(kept) if r["reset"])
+        paths = [p for r in kept[start:] for p in r["paths"]]
+        schema = T.StructType.fromJson(json.loads(chosen["schema"]))
+        self._commit([(name, entry.version + 1, chosen["live"], paths, True, schema)])
+
+    def _require_settled(self, entries: Mapping[str, Entry]) -> None:
+        for name, entry in entries.items():
+            if entry.clash:
+                raise PublishConflict(
+                    f"publishes {list(entry.clash)} claim one version of {name!r}; "
+                    f"call resolve({name!r}, publish_id) with the one that counts"
+                )
+
     def _log(self) -> DataFrame:
         reader = self.spark.read.schema(_MANIFEST).option("recursiveFileLookup", True)
         return reader.parquet(f"{self.root}/_manifest")
@@ -231,11 +278,14 @@ class Warehouse:
                 F.lit(version).cast("long"),
                 F.lit(live),
                 F.array(*[F.lit(p) for p in paths]).cast("array<string>"),
+                F.lit(reset),
                 F.lit(schema.json()),
                 F.lit(publish_id),
             )
-            for name, version, live, paths, schema in rows
+            for name, version, live, paths, reset, schema in rows
         ]
         entry = self.spark.range(1).coalesce(1).select(F.inline(F.array(*lines)))
         # A folder of its own: writers at the same time share no temporary files.
         write_parquet(entry.toDF(*_MANIFEST.names), f"{self.root}/_manifest/{publish_id}")
+        after = self.snapshot()
+        self._require_settled({r[0]: after[r[0]] for r in rows if publish_id in after[r[0]].clash})

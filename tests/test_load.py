@@ -13,6 +13,7 @@ from starmart.operators.quality import ConstraintError
 from starmart.plans.load import (
     CLEAN_NAMES,
     STAGES,
+    UnfinishedLoad,
     clean_path,
     merge_all,
     merge_table,
@@ -106,9 +107,19 @@ def test_job_refuses_existing_output(spark, tmp_path):
 def test_run_all_and_rerun(spark, tmp_path):
     root = str(tmp_path / "wh")
     with pytest.raises(ConstraintError, match="genre_id"):
-        run_all(spark, str(DATA), str(tmp_path / "o0"), str(tmp_path / "strict"))
-
-    wh = run_all(spark, str(DATA), str(tmp_path / "o1"), root, on_violation="drop")
+        run_all(spark, str(DATA), str(tmp_path / "o0"), root)
+    failed = Warehouse(spark, root)
+    assert all(failed.read(t).isEmpty() for t in CLEAN_NAMES)  # checked before any publish
+    with pytest.raises(UnfinishedLoad, match="stage_genre"):
+        run_all(spark, str(DATA), str(tmp_path / "o3"), root, on_violation="drop")
+    main(["merge", "budgetrevenue", "genre", "--warehouse", root, "--on-violation", "drop"])
+    assert set(bag(failed.read("budgetrevenue"))) == BUDGETS and failed.read("movies").isEmpty()
+    main(["merge", "--warehouse", root, "--on-violation", "drop"])
+    main(["merge", "--warehouse", root])  # nothing is left
+    with pytest.raises(SystemExit):
+        main(["merge", "nothing", "--warehouse", root])
+
+    wh = failed
     first = {t: bag(wh.read(t)) for t in CLEAN_NAMES}
     assert set(first["movies"]) == {r[:2] + r[3:] for r in MOVIES}
     assert set(first["movie_genre"]) == BRIDGE - {(6, None)}
@@ -171,10 +182,22 @@ def test_duplicate_source_keys(spark, tmp_path):
     with pytest.raises(DuplicateKeyError):
         merge_table(wh, "ratings")
     assert wh.exists("stage_ratings") and wh.read("ratings").isEmpty()
-    merge_table(wh, "ratings", dedupe=True)
+    merge_table(wh, "ratings", dedupe={"ratings": ["rating"]})
     assert bag(wh.read("ratings"))[0] == (0, 1, 110, Decimal("1.0"))
 
 
+def test_staged_movie_needs_a_release_date(spark, tmp_path):
+    wh = Warehouse(spark, str(tmp_path / "wh"))
+    wh.create_if_absent()
+    row = spark.sql("""SELECT 1 AS movie_id, 'False' AS is_adult, 'en' AS original_language, 'x' AS title,
+        1.0D AS popularity, CAST(NULL AS DATE) AS release_date, 1 AS vote_count, 1.0D AS vote_average""")
+    wh.stage("stage_movies", row)
+    with pytest.raises(ConstraintError, match="release_date"):
+        merge_table(wh, "movies")
+    merge_table(wh, "movies", on_violation="drop")
+    assert wh.read("movies").isEmpty() and not wh.exists("stage_movies")
+
+
 def test_failure_before_commit_keeps_everything(spark, tmp_path, monkeypatch):
     wh = Warehouse(spark, str(tmp_path / "wh"))
     wh.create_if_absent()

@@ -11,11 +11,12 @@ into blocks by hash, more blocks than the sets of a linked pair can differ in, s
 pair has a block in common that is not empty.  The boundary between light and heavy is
 where the counted cost of enumerating and listing, over the sizes that there are, is least.
 
-A list is not expanded into pairs.  Its members are compared with one of them, the hub;
+A list is not expanded into pairs.  Its members are compared with one of them, the hub,
+first by parity bitmaps, whose distance is at most that of the sets, then by the sets;
 lists whose members then lie in one component are done.  The members of the others are
-scanned in blocks of ``LIST_BLOCK`` by parity bitmaps, whose distance is at most that of
-the sets, so that only pairs of different components that may be linked come out; before
-that, up to ``HUB_ROUNDS`` further hubs join components while there is much to scan.
+scanned in blocks of ``LIST_BLOCK`` by the same bitmaps, so that only pairs of different
+components that may be linked come out; before that, up to ``HUB_ROUNDS`` further hubs
+join components while there is much to scan.
 Every link is decided on whole sets.  Lists are streamed, not gathered; only sizes up to
 ``LIGHT_MOST`` and a fixed-size filter of set numbers pass through the driver.
 
@@ -260,6 +261,24 @@ def _wanted(sh: DataFrame, sids: DataFrame) -> DataFrame:
     return sh.mapInArrow(pick, "sid long, set array<long>")
 
 
+def _near(pairs: DataFrame, signs: DataFrame, t: Threshold) -> DataFrame:
+    """Of ``hub, sid, code`` the pairs ``hub, sid`` whose parity bitmaps are as near as a link asks; all light ones."""
+    pairs = pairs.groupBy("hub", "sid").agg(F.max("code").alias("code"))
+    hubs = signs.select(F.col("sid").alias("hub"), "code", F.col("n").alias("hub_n"), F.col("bits").alias("hub_bits"))
+    signed = pairs.where("code < 0").join(signs, ["sid", "code"]).join(hubs, ["hub", "code"])
+
+    def near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            both = zip(batch.column(4).to_pylist(), batch.column(5).to_pylist(), strict=True)
+            apart = np.array([(int.from_bytes(x) ^ int.from_bytes(y)).bit_count() for x, y in both], dtype=np.int64)
+            total = batch.column(2).to_numpy() + batch.column(3).to_numpy()
+            keep = pa.array((100 + t.percent) * apart <= t.miss * total)
+            yield batch.select([0, 1]).filter(keep)
+
+    kept = signed.select("hub", "sid", "n", "hub_n", "bits", "hub_bits").mapInArrow(near, "hub long, sid long")
+    return kept.unionAll(pairs.where("code >= 0").select("hub", "sid"))
+
+
 def _compare(sets: DataFrame, pairs: DataFrame, t: Threshold) -> DataFrame:
     """The pairs ``hub, sid`` whose sets are linked, by the sets themselves."""
     pairs = materialize(pairs.select("hub", "sid").distinct(), "pairs")
@@ -312,21 +331,20 @@ def _parities(sets: DataFrame, t: Threshold) -> DataFrame:
     return sets.mapInArrow(sign, "sid long, code int, n long, bits binary").dropDuplicates(["sid", "code"])
 
 
-def _scan(sets: DataFrame, members: DataFrame, t: Threshold) -> DataFrame:
+def _scan(signs: DataFrame, members: DataFrame, t: Threshold) -> DataFrame:
     """``hub, sid``: pairs of a list, of different components, that may be linked.
 
     A pair that has several lists in common comes out of the one of least key only.
     """
-    wanted = members.select("sid").distinct()
     lists = members.groupBy("sid").agg(F.sort_array(F.collect_set("key")).alias("lists"))
-    signed = members.join(_parities(sets.join(wanted, "sid", "left_semi"), t), ["sid", "code"]).join(lists, "sid")
+    signed = members.join(signs, ["sid", "code"]).join(lists, "sid")
     sizes = members.groupBy("key", "code").agg(F.ceil(F.count("*") / LIST_BLOCK).cast("int").alias("blocks"))
     own = F.pmod(F.xxhash64("sid"), F.col("blocks")).cast("int")
     dealt = signed.join(sizes, ["key", "code"]).withColumn("own", own)
     dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     dealt = dealt.select("key", "code", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "sid", "root", "n", "bits", "lists")
     names = ["key", "code", "i", "j"]
-    dealt = dealt.repartition(sets.sparkSession.sparkContext.defaultParallelism * 4, *names).sortWithinPartitions(*names, "own")
+    dealt = dealt.repartition(signs.sparkSession.sparkContext.defaultParallelism * 4, *names).sortWithinPartitions(*names, "own")
 
     def near(rows: list[tuple]) -> Iterator[tuple[int, int]]:
         key, _, i, j, own, sid, root, n, bits, lists = zip(*rows, strict=True)
@@ -371,8 +389,9 @@ def links(sh: DataFrame, sizes: dict[int, int], t: Threshold) -> DataFrame:
     listed = stars.select(F.explode(F.array("hub", "sid")).alias("sid")).distinct()
     # their sets are used several times, the texts read once more for them
     sets = materialize(_wanted(sh, listed).join(listed, "sid", "left_semi"), "listed-sets")
-    found = [materialize(_compare(sets, stars, t), "links")]
     heavy = stars.where("code < 0")
+    signs = materialize(_parities(sets, t), "parities")
+    found = [materialize(_compare(sets, _near(stars.select("hub", "sid", "code"), signs, t), t), "links")]
     members = heavy.select("key", "code", "sid").unionAll(heavy.select("key", "code", F.col("hub").alias("sid"))).distinct()
     for number in range(HUB_ROUNDS + 1):
         rooted = materialize(_roots(members, reduce(DataFrame.unionAll, found)), "list-roots")
@@ -384,12 +403,12 @@ def links(sh: DataFrame, sizes: dict[int, int], t: Threshold) -> DataFrame:
             break
         members = materialize(rooted.join(lists.select("key", "code"), ["key", "code"]), "open-lists")
         if number == HUB_ROUNDS or total["cross"] <= _SCAN * total["n"]:
-            found.append(materialize(_compare(sets, _scan(sets, members, t), t), "links"))
+            found.append(materialize(_compare(sets, _scan(signs, members, t), t), "links"))
             break
         hub = F.min_by(F.struct(F.col("sid").alias("hub"), F.col("root").alias("hub_root")), F.xxhash64("key", "sid", F.lit(number)))
         hubs = members.groupBy("key", "code").agg(hub.alias("x")).select("key", "code", "x.*")
-        pairs = members.join(hubs, ["key", "code"]).where("root != hub_root").select("hub", "sid")
-        found.append(materialize(_compare(sets, pairs, t), "links"))
+        pairs = members.join(hubs, ["key", "code"]).where("root != hub_root").select("hub", "sid", "code")
+        found.append(materialize(_compare(sets, _near(pairs, signs, t), t), "links"))
         members = members.select("key", "code", "sid")
     return reduce(DataFrame.unionAll, found)
 

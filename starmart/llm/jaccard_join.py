@@ -377,6 +377,14 @@ def _groups(batches: Iterator[pa.RecordBatch], by: int) -> Iterator[list[tuple]]
         yield list(group)
 
 
+def _unlike(members: DataFrame) -> DataFrame:
+    """``key, code, sid`` of one list of all that have the same members; the others would give the same pairs."""
+    marks = [F.bit_xor(F.xxhash64("sid")).alias("x"), F.bit_xor(F.xxhash64("sid", F.lit(1))).alias("y")]
+    lists = members.groupBy("key", "code").agg(F.count("*").alias("n"), *marks)
+    kept = lists.groupBy("code", "n", "x", "y").agg(F.min("key").alias("key")).select("key", "code")
+    return members.join(kept, ["key", "code"], "left_semi")
+
+
 def _roots(members: DataFrame, links: DataFrame) -> DataFrame:
     roots = components(links)
     return members.join(roots, members["sid"] == roots["node"], "left").select("key", "code", "sid", F.coalesce("root", "sid").alias("root"))
@@ -393,6 +401,7 @@ def links(sh: DataFrame, sizes: dict[int, int], t: Threshold) -> DataFrame:
     signs = materialize(_parities(sets, t), "parities")
     found = [materialize(_compare(sets, _near(stars.select("hub", "sid", "code"), signs, t), t), "links")]
     members = heavy.select("key", "code", "sid").unionAll(heavy.select("key", "code", F.col("hub").alias("sid"))).distinct()
+    members = materialize(_unlike(members), "members")
     for number in range(HUB_ROUNDS + 1):
         rooted = materialize(_roots(members, reduce(DataFrame.unionAll, found)), "list-roots")
         parts = rooted.groupBy("key", "code", "root").agg(F.count("*").alias("n"))

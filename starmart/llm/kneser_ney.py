@@ -1,16 +1,20 @@
 """Quality by perplexity under an interpolated modified Kneser-Ney bigram model of trusted text.
 
-Vocabulary: the ``vocabulary`` most frequent (language, word) pairs of the trusted texts; any
-other word is one of four classes by its shape.  All trusted texts are counted.  The model
-keeps bigrams counted ``least`` times or more; the mass of the others goes to the lower
-order, so that probabilities still add up to one.  Words' and contexts' figures are bounded
-by the vocabulary and broadcast.  Bigrams are not bounded: they stay in shards by hash.  A
-text's bigrams that pass a fixed-size filter of the model's meet them in a join, and what
-the join adds to the lower-order score is summed up per text.
-
-A text is kept if its perplexity is at most its language's ``quantile`` over the trusted
-texts.  NULL and blank texts have no perplexity and are not kept; texts of a language (NULL
-is one) without trusted text have none and are kept.  Equal rows get equal results.
+Every word of the trusted texts and every count of theirs is in the model, language by
+language; a word a language's trusted texts lack is its one unknown word.  Nothing of the
+model is bounded: words, contexts and bigrams are tables sharded by hash, numbered by 64-bit
+hashes of language and word.  A text's score is a sum of parts, one per word, context and
+bigram.  The parts of the most frequent entries are broadcast and added up where the text is
+read; those of the others meet the text's keys in a join, after a fixed-size filter.
+
+Trusted texts are dealt into folds by a hash of the text.  Each is scored without the counts
+of its own fold, all other texts by the whole model, so that a language's threshold, the
+``quantile`` over its trusted texts, is one for texts that the model has not seen.
+
+A text is kept if its perplexity is at most its language's threshold.  NULL and blank texts
+have no perplexity and are not kept; texts of a language (NULL is one) without trusted text
+have none and are kept.  A language whose trusted texts all fall in one fold has nothing to
+hold them against; these are scored by the whole model.  Equal rows get equal results.
 """
 
 from __future__ import annotations
@@ -19,7 +23,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from starmart.llm.bits import mix
@@ -28,63 +32,65 @@ from starmart.scratch import materialize
 
 #: Trusted ids up to this number are broadcast, 16 bytes each; more are joined by a shuffle.
 BROADCAST_IDS = 500_000
-_FILTER_BITS = 1 << 26
-_CLASSES = ("<start>", "<symbols>", "<capitals>", "<mark>", "<word>")
-_SHIFT = 24
+#: Entries of the model that are broadcast, 16 bytes each; the others are joined.
+BROADCAST_ENTRIES = 400_000
+#: Folds of the trusted texts.
+FOLDS = 5
+_FILTER_BITS = 1 << 27
+#: Before a text's first word; no word is blank.
+_START = " "
+#: Kinds of entries: a word after any context, a context before any word, a bigram.
+_WORD, _CONTEXT, _BIGRAM = 1, 2, 3
 
 
-def _classed(word: str) -> str:
-    if any(c in "#*$%&|<>" for c in word):
-        return "<symbols>"
-    if len(word) > 1 and word.isupper():
-        return "<capitals>"
-    return "<word>" if word.isalpha() else "<mark>"
+def _key(kind: int, fold: np.ndarray, first: np.ndarray, second: np.ndarray | None = None) -> np.ndarray:
+    """Keys of the model's entries; ``fold`` is the one left out, zero for none."""
+    key = mix(first.view(np.uint64), kind)
+    if second is not None:
+        key = mix(key ^ second.view(np.uint64), kind)
+    return mix(key + fold.astype(np.uint64), kind)
 
 
-class Vocabulary:
-    """Numbers of (language, word); every language has its own classes."""
+def _lists(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The values of all lists of an array, and the length of each; a NULL list has none."""
+    n = column.value_lengths().fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
+    return column.flatten().to_numpy(zero_copy_only=False).astype(np.int64, copy=False), n
 
-    def __init__(self, rows: list[tuple[str | None, str]]):
-        self.ids: dict[str | None, dict[str, int]] = {}
-        languages = sorted({lang for lang, _ in rows}, key=lambda x: (x is not None, x))
-        pairs = [(lang, c) for lang in languages for c in _CLASSES] + [r for r in rows if r[1] not in _CLASSES]
-        for i, (lang, word) in enumerate(pairs):
-            self.ids.setdefault(lang, {})[word] = i
-        self.size = len(pairs)
-        self.language = [lang for lang, _ in pairs]
 
-    def bigrams(self, lang: str | None, words: list[str]) -> np.ndarray | None:
-        known = self.ids.get(lang)
-        if known is None or not words:
-            return None
-        get = known.get
-        ids = np.array([known["<start>"]] + [known[_classed(w)] if (i := get(w)) is None else i for w in words], dtype=np.int64)
-        return (ids[:-1] << _SHIFT) | ids[1:]
+def _pairs(ids: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Neighbours in the same list, and the list's place."""
+    owner = np.repeat(np.arange(n.size), n)
+    same = owner[:-1] == owner[1:]
+    return ids[:-1][same], ids[1:][same], owner[1:][same]
 
 
-def _counts(trusted: DataFrame, vocabulary) -> DataFrame:
-    """``bigram, n`` over all trusted texts; summed up in the task before they are shuffled."""
+def _counts(trusted: DataFrame) -> DataFrame:
+    """``l, v, w`` and ``n0`` of all folds, ``n1`` and on of each; summed up in the task before they are shuffled."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[np.ndarray] = []
+        held: list[tuple[np.ndarray, ...]] = []
         size = 0
 
         def flush() -> pa.RecordBatch:
-            keys, n = np.unique(np.concatenate(held), return_counts=True)
-            return pa.RecordBatch.from_arrays([pa.array(keys), pa.array(n)], names=["bigram", "n"])
+            columns = [np.concatenate(x) for x in zip(*held, strict=True)]
+            l, v, w, fold = columns
+            _, at, n = np.unique(_key(_BIGRAM, fold, v, w), return_index=True, return_counts=True)
+            return pa.RecordBatch.from_arrays([*(pa.array(x[at]) for x in columns), pa.array(n)], names=["l", "v", "w", "fold", "n"])
 
         for batch in batches:
-            for lang, w in zip(batch.column("lang").to_pylist(), batch.column("words"), strict=True):
-                if (b := vocabulary.value.bigrams(lang, w.as_py())) is not None:
-                    held.append(b)
-                    size += b.size
-            if size > 4_000_000:
+            v, w, owner = _pairs(*_lists(batch.column("ids")))
+            l, fold = (batch.column(c).to_numpy().astype(np.int64)[owner] for c in ("l", "fold"))
+            held.append((l, v, w, fold))
+            size += v.size
+            if size > 2_000_000:
                 yield flush()
                 held, size = [], 0
-        if held:
+        if size:
             yield flush()
 
-    return trusted.mapInArrow(count, "bigram long, n long").groupBy("bigram").agg(F.sum("n").alias("n"))
+    told = trusted.select("l", "fold", "ids").mapInArrow(count, "l long, v long, w long, fold long, n long")
+    folds = [F.sum(F.when(F.col("fold") == f, F.col("n")).otherwise(0)).alias(f"n{f}") for f in range(1, FOLDS + 1)]
+    return told.groupBy("l", "v", "w").agg(F.sum("n").alias("n0"), *folds)
 
 
 def discounts(n1: int, n2: int, n3: int, n4: int) -> tuple[float, float, float]:
@@ -94,50 +100,125 @@ def discounts(n1: int, n2: int, n3: int, n4: int) -> tuple[float, float, float]:
     return tuple(min(max(x, 0.05), k - 0.05) for x, k in zip(d, (1, 2, 3), strict=True))
 
 
-class LowerOrder:
-    """Log probability of each word alone, and log weight of it after each context."""
+def _without(fold: int, name: str = "n") -> Column:
+    """A count without those of ``fold``."""
+    return F.col(f"{name}0") - F.col(f"{name}{fold}") if fold else F.col(f"{name}0")
 
-    def __init__(self, vocabulary: Vocabulary, contexts: list, continuations: list, uni: dict, bi: dict):
-        size = vocabulary.size
-        follow = np.zeros(size)
-        for r in continuations:
-            follow[r["w"]] = r["n"]
-        self.word = np.full(size, -np.inf)
-        language = np.array([hash_of(x) for x in vocabulary.language])
-        for lang in set(vocabulary.language):
-            own = np.flatnonzero(language == hash_of(lang))
-            n, d = follow[own], np.array(uni.get(lang, (0.5, 1.0, 1.5)))
-            cut = np.where(n > 0, d[np.clip(n.astype(int), 1, 3) - 1], 0)
-            total = max(n.sum(), 1.0)
-            rest = cut.sum() / total if n.sum() else 1.0
-            self.word[own] = np.log((n - cut) / total + rest / own.size)
-        self.weight = np.zeros(size)
-        for r in contexts:
-            d = bi.get(vocabulary.language[r["v"]], (0.5, 1.0, 1.5))
-            # bigrams below the cutoff leave all of their count, the others their discount
-            self.weight[r["v"]] = np.log((r["below"] + d[1] * r["n2"] + d[2] * r["n3"] + d[0] * r["n1"]) / r["n"])
 
-    def score(self, bigrams: np.ndarray) -> float:
-        v, w = bigrams >> _SHIFT, bigrams & ((1 << _SHIFT) - 1)
-        return float((self.weight[v] + self.word[w]).sum())
+def _discounts(counts: DataFrame) -> DataFrame:
+    """``l, fold, d1, d2, d3`` from how often counts of one to four occur, and the sum and number of all counts."""
+    spark = counts.sparkSession
+    seen = counts.groupBy("l").agg(
+        *[F.count_if(_without(f) == k).alias(f"c{f}_{k}") for f in range(FOLDS + 1) for k in (1, 2, 3, 4)],
+        *[F.sum(_without(f)).alias(f"sum{f}") for f in range(FOLDS + 1)],
+        *[F.count_if(_without(f) > 0).alias(f"size{f}") for f in range(FOLDS + 1)],
+    )
+    rows = [
+        (r["l"], f, *discounts(*(r[f"c{f}_{k}"] for k in (1, 2, 3, 4))), r[f"sum{f}"], r[f"size{f}"], r[f"c{f}_1"], r[f"c{f}_2"])
+        for r in seen.collect() for f in range(FOLDS + 1) if r[f"size{f}"]
+    ]
+    return spark.createDataFrame(rows, "l long, fold int, d1 double, d2 double, d3 double, total long, size long, ones long, twos long")
+
+
+def _cut(n: Column) -> Column:
+    return F.when(n == 0, 0.0).when(n == 1, F.col("d1")).when(n == 2, F.col("d2")).otherwise(F.col("d3"))
+
+
+def _long(df: DataFrame, keys: list[str], name: str, **more: str) -> DataFrame:
+    """A row for the whole, and one for each fold that has a part of it and without which something is left."""
+    each = [
+        F.struct(F.lit(f).alias("fold"), _without(f, name).alias("n"), *[_without(f, m).alias(k) for k, m in more.items()])
+        for f in range(FOLDS + 1)
+    ]
+    has = [F.lit(True), *[F.col(f"{more.get('seen', name)}{f}") > 0 for f in range(1, FOLDS + 1)]]
+    rows = F.array(*[F.when(h, e) for h, e in zip(has, each, strict=True)])
+    return df.select(*keys, F.explode(rows).alias("e")).where("e IS NOT NULL").select(*keys, "e.*").where("n > 0")
+
+
+def _model(counts: DataFrame, least: int) -> tuple[DataFrame, DataFrame]:
+    """``key, gain, n``, and each language's figures of single words: what each word, context and bigram adds to a text's log probability.
+
+    A word adds its own over the unknown word's, a context the weight that it leaves to the
+    lower order, a bigram what it has over the product of both.
+    """
+    folds = range(FOLDS + 1)
+    of_bigrams = F.broadcast(_discounts(counts))
+    wide = counts.join(
+        F.broadcast(of_bigrams.groupBy("l").agg(*[F.max(F.when(F.col("fold") == f, F.col(f"d{k}"))).alias(f"d{f}_{k}") for f in folds for k in (1, 2, 3)])), "l"
+    )
+
+    def left(f: int) -> Column:
+        n = _without(f)
+        cut = F.when(n == 1, F.col(f"d{f}_1")).when(n == 2, F.col(f"d{f}_2")).otherwise(F.col(f"d{f}_3"))
+        return F.sum(F.when(n <= 0, 0.0).when(n < least, n.cast("double")).otherwise(cut))
+
+    # a context: its count, and what bigrams below ``least`` (all of theirs) and the others (a discount) leave
+    contexts = wide.groupBy("l", "v").agg(*[F.sum(f"n{f}").alias(f"n{f}") for f in folds], F.array(*[left(f) for f in folds]).alias("left"))
+    contexts = materialize(_long(contexts, ["l", "v", "left"], "n").select("l", "v", "fold", F.element_at("left", F.col("fold") + 1).alias("left"), "n"), "contexts")
+    # a word: the number of different words before it, and how often it stands in each fold
+    after = counts.groupBy("l", "w").agg(
+        F.count("*").alias("n0"),
+        *[F.count_if(_without(f) == 0).alias(f"n{f}") for f in folds[1:]],
+        *[F.sum(f"n{f}").alias(f"s{f}") for f in folds],
+    )
+    after = materialize(after, "words")
+    level = _discounts(after)
+    level = level.withColumn("rest", (F.col("d1") * F.col("ones") + F.col("d2") * F.col("twos") + F.col("d3") * (F.col("size") - F.col("ones") - F.col("twos"))) / F.col("total"))
+    level = F.broadcast(level.withColumn("unknown", F.col("rest") / (F.col("size") + 1)))
+    after = _long(after, ["l", "w"], "n", seen="s").join(level, ["l", "fold"])
+    after = after.select("l", "w", "fold", ((F.col("n") - _cut(F.col("n"))) / F.col("total") + F.col("unknown")).alias("p"), "unknown", F.col("seen").alias("n"))
+
+    grams = _long(counts, ["l", "v", "w"], "n").where(F.col("n") >= least)
+    grams = grams.join(contexts.select("v", "fold", "left"), ["v", "fold"]).join(after.select("w", "fold", "p"), ["w", "fold"])
+    d = of_bigrams.select("l", "fold", "d1", "d2", "d3")
+    grams = grams.join(F.broadcast(d), ["l", "fold"]).select("fold", "v", "w", F.log1p((F.col("n") - _cut(F.col("n"))) / (F.col("left") * F.col("p"))).alias("gain"), "n")
+    none = F.lit(None).cast("long")
+    parts = grams.select(F.lit(_BIGRAM).alias("kind"), "fold", F.col("v").alias("a"), F.col("w").alias("b"), "gain", "n")
+    parts = parts.unionByName(contexts.select(F.lit(_CONTEXT).alias("kind"), "fold", F.col("v").alias("a"), none.alias("b"), F.log(F.col("left") / F.col("n")).alias("gain"), "n"))
+    parts = parts.unionByName(after.select(F.lit(_WORD).alias("kind"), "fold", F.col("w").alias("a"), none.alias("b"), F.log(F.col("p") / F.col("unknown")).alias("gain"), "n"))
+
+    def keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            kind, fold, a = (batch.column(c).to_numpy().astype(np.int64) for c in ("kind", "fold", "a"))
+            b = batch.column("b").fill_null(0).to_numpy()
+            key = np.zeros(kind.size, np.uint64)
+            for k in (_WORD, _CONTEXT, _BIGRAM):
+                at = kind == k
+                key[at] = _key(k, fold[at], a[at], b[at] if k == _BIGRAM else None)
+            yield pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), batch.column("gain"), batch.column("n")], names=["key", "gain", "n"])
+
+    return materialize(parts.mapInArrow(keyed, "key long, gain double, n long"), "bigram-model"), level
 
 
-def hash_of(lang: str | None) -> int:
-    import zlib
+def _frequent(model: DataFrame) -> tuple[int, np.ndarray, np.ndarray]:
+    """The count from which on entries are broadcast, and these, sorted by key."""
+    size, least = 0, None
+    for r in model.groupBy(F.least("n", F.lit(100_000)).alias("n")).agg(F.count("*").alias("k")).orderBy(F.desc("n")).collect():
+        if size + r["k"] > BROADCAST_ENTRIES:
+            break
+        size, least = size + r["k"], r["n"]
+    least = (1 << 62) if least is None else least
+    held = model.where(F.col("n") >= least).select("key", "gain").toArrow()
+    keys, gains = (held.column(i).to_numpy() for i in (0, 1))
+    order = np.argsort(keys)
+    return least, keys[order], gains[order]
 
-    return -1 if lang is None else zlib.crc32(lang.encode())
 
+def _keys(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Keys of all parts of the texts of a batch, the text's place for each, and the number of words of each text."""
+    ids, n = _lists(batch.column("ids"))
+    v, w, owner = _pairs(ids, n)
+    fold = batch.column("fold").to_numpy().astype(np.int64)[owner]
+    keys = np.concatenate([_key(_WORD, fold, w), _key(_CONTEXT, fold, v), _key(_BIGRAM, fold, v, w)])
+    return keys.view(np.int64), np.tile(owner, 3), np.maximum(n - 1, 0)
 
-def _of_counts(df: DataFrame, vocabulary: Vocabulary, at: str, count: str) -> dict:
-    """Discounts by language from how often counts of one to four occur."""
-    seen: dict = {}
-    for r in df.where(F.col(count) <= 4).groupBy(at, count).agg(F.count("*").alias("k")).collect():
-        seen.setdefault(vocabulary.language[r[at]], np.zeros(4, dtype=np.int64))[int(r[count]) - 1] += r["k"]
-    return {lang: discounts(*map(int, n)) for lang, n in seen.items()}
+
+def _slots(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    return tuple((mix(keys.view(np.uint64), seed) % np.uint64(_FILTER_BITS)).astype(np.int64) for seed in (7, 8))
 
 
 def perplexity(
-    docs: DataFrame, trusted_ids: DataFrame, *, vocabulary: int = 20_000, least: int = 3, doc_id: str = "doc_id", text: str = "text", lang: str = "lang"
+    docs: DataFrame, trusted_ids: DataFrame, *, least: int = 3, doc_id: str = "doc_id", text: str = "text", lang: str = "lang"
 ) -> DataFrame:
     """Per row ``doc_id, lang, trusted, n_words, perplexity``; ``trusted_ids`` has one column ``doc_id``."""
     spark = docs.sparkSession
@@ -147,87 +228,73 @@ def perplexity(
     ids = ids.select(F.col("doc_id").alias("t_id"))
     ids = F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
     t = col(docs, text)
-    slim = docs.select(col(docs, doc_id).alias("doc_id"), col(docs, lang).alias("lang"), F.xxhash64(col(docs, doc_id), t, col(docs, lang)).alias("row"), words(t, SPACE).alias("words"))
-    trusted = slim.join(ids, slim["doc_id"] == F.col("t_id"), "left_semi")
-    frequent = trusted.select("lang", F.explode("words").alias("word")).groupBy("lang", "word").agg(F.count("*").alias("n"))
-    top = frequent.orderBy(F.desc("n"), "lang", "word").limit(vocabulary).collect()
-    langs = [(r["lang"], _CLASSES[0]) for r in trusted.select("lang").distinct().collect()]
-    vocab = Vocabulary([*langs, *((r["lang"], r["word"]) for r in top)])
-    known = sc.broadcast(vocab)
-
-    counts = materialize(_counts(trusted.select("lang", "words"), known), "bigram-counts")
-    counts = counts.select("bigram", "n", F.shiftright("bigram", _SHIFT).alias("v"), F.col("bigram").bitwiseAND(F.lit((1 << _SHIFT) - 1)).alias("w"))
-    kept = F.col("n") >= least
-    by_context = counts.groupBy("v").agg(
-        F.sum("n").alias("n"),
-        F.sum(F.when(~kept, F.col("n")).otherwise(0)).alias("below"),
-        *[F.count_if(kept & (F.least("n", F.lit(3)) == k)).alias(f"n{k}") for k in (1, 2, 3)],
-    )
-    continuations = materialize(counts.groupBy("w").agg(F.count("*").alias("n")), "continuations")
-    contexts = by_context.collect()
-    bi = _of_counts(counts, vocab, "v", "n")
-    lower = sc.broadcast(LowerOrder(vocab, contexts, continuations.collect(), _of_counts(continuations, vocab, "w", "n"), bi))
-    totals = sc.broadcast({r["v"]: (r["n"], bi.get(vocab.language[r["v"]], (0.5, 1.0, 1.5))) for r in contexts})
+    slim = docs.select(col(docs, doc_id).alias("doc_id"), col(docs, lang).alias("lang"), F.coalesce(t, F.lit("")).alias("text"), F.xxhash64(col(docs, doc_id), t, col(docs, lang)).alias("row"))
+    slim = slim.join(ids, slim["doc_id"] == F.col("t_id"), "left").withColumn("fold", F.when(F.col("t_id").isNull(), 0).otherwise(F.pmod(F.xxhash64("text"), F.lit(FOLDS)) + 1))
+    numbers = F.transform(words(F.col("text"), SPACE), lambda w: F.xxhash64("lang", w))
+    numbers = F.concat(F.array(F.xxhash64("lang", F.lit(_START))), numbers)
+    slim = slim.select("doc_id", "lang", "row", F.col("fold").cast("int").alias("fold"), F.xxhash64("lang").alias("l"), numbers.alias("ids"))
+
+    counts = materialize(_counts(slim.where("fold > 0")), "bigram-counts")
+    model, level = _model(counts, least)
+    frequent, keys, gains = _frequent(model)
+    # log probability of the unknown word by language and fold; a fold that has all of a language is not left out
+    unknown = {(r["l"], r["fold"]): float(np.log(r["unknown"])) for r in level.collect()}
+    held = sc.broadcast((keys, gains, unknown))
+    rest = model.where(F.col("n") < frequent).select("key", "gain")
+    bits = sc.broadcast(_filter(rest))
+
+    def whole(batch: pa.RecordBatch) -> pa.RecordBatch:
+        pairs = zip(batch.column("l").to_pylist(), batch.column("fold").to_pylist(), strict=True)
+        fold = pa.array([f if (l, f) in held.value[2] else 0 for l, f in pairs], pa.int64())
+        return pa.RecordBatch.from_arrays([fold if name == "fold" else c for name, c in zip(batch.schema.names, batch.columns, strict=True)], names=batch.schema.names)
 
-    def gain(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def base(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        keys, gains, unknown = held.value
         for batch in batches:
-            bigram, n = (batch.column(i).to_numpy() for i in (0, 1))
-            v = bigram >> _SHIFT
-            low = lower.value.weight[v] + lower.value.word[bigram & ((1 << _SHIFT) - 1)]
-            total, cut = np.empty(v.size), np.empty(v.size)
-            for i, (x, k) in enumerate(zip(v.tolist(), n.tolist(), strict=True)):
-                total[i], d = totals.value[x]
-                cut[i] = d[min(k, 3) - 1]
-            yield pa.RecordBatch.from_arrays([pa.array(bigram), pa.array(np.log((n - cut) / total + np.exp(low)) - low)], names=["bigram", "gain"])
-
-    model = materialize(counts.where(kept).select("bigram", "n").mapInArrow(gain, "bigram long, gain double"), "bigram-model")
-    bits = sc.broadcast(_filter(model))
+            trusted = [f > 0 for f in batch.column("fold").to_pylist()]
+            batch = whole(batch)
+            asked, owner, n = _keys(batch)
+            if keys.size:
+                at = np.minimum(np.searchsorted(keys, asked), keys.size - 1)
+                found = np.where(keys[at] == asked, gains[at], 0.0)
+            else:
+                found = np.zeros(asked.size)
+            score = np.bincount(owner, found, n.size)
+            pairs = zip(batch.column("l").to_pylist(), batch.column("fold").to_pylist(), strict=True)
+            score = [s + k * unknown[p] if k and p in unknown else None for s, k, p in zip(score.tolist(), n.tolist(), pairs, strict=True)]
+            yield pa.RecordBatch.from_arrays(
+                [*(batch.column(c) for c in ("doc_id", "lang", "row")), pa.array(trusted, pa.bool_()), pa.array(n, pa.int64()), pa.array(score, pa.float64())],
+                names=["doc_id", "lang", "row", "trusted", "n_words", "base"],
+            )
 
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows, bigrams = [], []
-            for row, lang, w in zip(batch.column("row").to_pylist(), batch.column("lang").to_pylist(), batch.column("words"), strict=True):
-                b = known.value.bigrams(lang, w.as_py())
-                if b is not None:
-                    slot = mix(b.view(np.uint64), 3) % np.uint64(_FILTER_BITS)
-                    b = b[(bits.value[(slot >> np.uint64(3)).astype(np.int64)] >> (slot & np.uint64(7)).astype(np.uint8)) & 1 == 1]
-                    bigrams.append(b)
-                    rows.append(np.full(b.size, row))
-            if rows:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(bigrams)), pa.array(np.concatenate(rows))], names=["bigram", "row"])
-
-    def base(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            n, score = [], []
-            for lang, w in zip(batch.column("lang").to_pylist(), batch.column("words"), strict=True):
-                w = w.as_py()
-                b = known.value.bigrams(lang, w)
-                n.append(len(w))
-                score.append(None if b is None else lower.value.score(b))
-            yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(n, pa.int64()), pa.array(score, pa.float64())], names=["doc_id", "lang", "row", "n_words", "base"])
+            asked, owner, _ = _keys(whole(batch))
+            passes = np.ones(asked.size, bool)
+            for slot in _slots(asked):
+                passes &= (bits.value[slot >> 3] >> (slot & 7).astype(np.uint8)) & 1 == 1
+            row = batch.column("row").to_numpy()
+            yield pa.RecordBatch.from_arrays([pa.array(asked[passes]), pa.array(row[owner[passes]])], names=["key", "row"])
 
     kind = slim.schema["doc_id"].dataType.simpleString()
-    scored = materialize(slim.mapInArrow(base, f"doc_id {kind}, lang string, row long, n_words long, base double"), "base-scores")
+    scored = slim.mapInArrow(base, f"doc_id {kind}, lang string, row long, trusted boolean, n_words long, base double")
+    scored = materialize(scored, "base-scores")
     copies = scored.groupBy("row").agg(F.count("*").alias("copies"))
-    gains = slim.mapInArrow(ask, "bigram long, row long").join(model, "bigram").groupBy("row").agg(F.sum("gain").alias("gain"))
+    gains = slim.select("l", "row", "fold", "ids").mapInArrow(ask, "key long, row long").join(rest, "key").groupBy("row").agg(F.sum("gain").alias("gain"))
     gains = gains.join(copies, "row").select(F.col("row").alias("g_row"), (F.col("gain") / F.col("copies")).alias("gain"))
     told = scored.join(gains, scored["row"] == gains["g_row"], "left")
     log = (F.col("base") + F.coalesce("gain", F.lit(0.0))) / F.col("n_words")
-    told = told.select("doc_id", "lang", "n_words", F.exp(-log).alias("perplexity"))
-    marks = ids.withColumn("trusted", F.lit(True))
-    told = told.join(marks, told["doc_id"] == marks["t_id"], "left")
-    return told.select("doc_id", "lang", F.coalesce("trusted", F.lit(False)).alias("trusted"), "n_words", "perplexity")
+    return told.select("doc_id", "lang", "trusted", "n_words", F.exp(-log).alias("perplexity"))
 
 
 def _filter(model: DataFrame) -> np.ndarray:
-    """Fixed-size bits, set where a bigram of the model falls; or-ed in tasks, one part of the range each."""
+    """Fixed-size bits, set where a key of the model falls; or-ed in tasks, one part of the range each."""
     parts = 256
     size = _FILTER_BITS // parts
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            slot = mix(batch.column(0).to_numpy().view(np.uint64), 3) % np.uint64(_FILTER_BITS)
-            slot = np.unique(slot.astype(np.int64))
+            slot = np.unique(np.concatenate(_slots(batch.column(0).to_numpy())))
             yield pa.RecordBatch.from_arrays([pa.array((slot // size).astype(np.int32)), pa.array((slot % size).astype(np.int32))], names=["part", "slot"])
 
     def fill(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -239,7 +306,7 @@ def _filter(model: DataFrame) -> np.ndarray:
         for p, x in found.items():
             yield pa.RecordBatch.from_arrays([pa.array([p], pa.int32()), pa.array([np.packbits(x, bitorder="little").tobytes()], pa.binary())], names=["part", "bits"])
 
-    slots = model.select("bigram").mapInArrow(place, "part int, slot int").repartition(16, "part")
+    slots = model.select("key").mapInArrow(place, "part int, slot int").repartition(16, "part")
     bits = np.zeros(_FILTER_BITS >> 3, dtype=np.uint8)
     for r in slots.mapInArrow(fill, "part int, bits binary").collect():
         bits[r["part"] * (size >> 3) : (r["part"] + 1) * (size >> 3)] = np.frombuffer(r["bits"], np.uint8)

@@ -287,6 +287,44 @@ def test_kneser_ney(spark):
     assert got[200].kept and not got[201].kept and got[201].perplexity is None and not got[202].kept and got[None].kept
 
 
+def brute_kneser_ney(texts, least):
+    """Log probability by (previous word, word) of a modified Kneser-Ney bigram model."""
+    n = Counter(p for t in texts for p in zip([" ", *t], t, strict=False))
+    d, e = ({k + 1: x for k, x in enumerate(kneser_ney.discounts(*[list(c.values()).count(k) for k in (1, 2, 3, 4)]))} for c in (n, Counter(w for _, w in n)))
+    before = Counter(w for _, w in n)
+    total = sum(before.values())
+    rest = sum(e[min(c, 3)] for c in before.values()) / total
+
+    def lower(w):
+        return (before[w] - e[min(before[w], 3)] if before[w] else 0) / total + rest / (len(before) + 1)
+
+    def log(v, w):
+        after = [c for (a, _), c in n.items() if a == v]
+        if not after:
+            return np.log(lower(w))
+        left = sum(c if c < least else d[min(c, 3)] for c in after)
+        c = n[v, w]
+        return np.log(((c - d[min(c, 3)] if c >= least else 0) + left * lower(w)) / sum(after))
+
+    return lambda t: np.exp(-sum(log(v, w) for v, w in zip([" ", *t], t, strict=False)) / len(t))
+
+
+@pytest.mark.parametrize("kw", [{"least": 3}])
+def test_kneser_ney_keeps_all_words_and_holds_out(spark, monkeypatch, kw):
+    monkeypatch.setattr(kneser_ney, "BROADCAST_ENTRIES", 20)
+    rng = np.random.default_rng(6)
+    texts = [" ".join(f"{lang}{int(x)}" for x in rng.zipf(1.5, 30)) for lang in ("en", "es") for _ in range(25)]
+    rows = [(i, t, "en" if i < 25 else "es") for i, t in enumerate(texts)] + [(90, texts[3], "en"), (91, "never seen en1 en2", "en"), (92, "es1", "fr")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(3)
+    trusted = [i for i in range(50) if i % 25 < 20]
+    fold = {r[0]: r[1] for r in df.select("doc_id", F.pmod(F.xxhash64("text"), F.lit(kneser_ney.FOLDS))).collect()}
+    got = {r.doc_id: r.perplexity for r in kneser_ney.perplexity(df, df.where(F.col("doc_id").isin(trusted)).select("doc_id"), **kw).collect()}
+    assert got[92] is None and len(got) == len(rows)
+    for i, t, lang in rows[:-1]:
+        own = [j for j in trusted if rows[j][2] == lang and (i not in trusted or fold[j] != fold[i])]
+        assert got[i] == pytest.approx(brute_kneser_ney([texts[j].split() for j in own], kw.get("least", 1))(t.split()), rel=1e-9)
+
+
 def test_empty_tables(spark):
     none = spark.createDataFrame([], "doc_id long, text string, lang string")
     items = spark.createDataFrame([], "item_id long, text string")

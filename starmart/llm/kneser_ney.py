@@ -218,7 +218,7 @@ def _slots(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def perplexity(
-    docs: DataFrame, trusted_ids: DataFrame, *, least: int = 3, doc_id: str = "doc_id", text: str = "text", lang: str = "lang"
+    docs: DataFrame, trusted_ids: DataFrame, *, least: int = 1, doc_id: str = "doc_id", text: str = "text", lang: str = "lang"
 ) -> DataFrame:
     """Per row ``doc_id, lang, trusted, n_words, perplexity``; ``trusted_ids`` has one column ``doc_id``."""
     spark = docs.sparkSession

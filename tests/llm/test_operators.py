@@ -309,7 +309,7 @@ def brute_kneser_ney(texts, least):
     return lambda t: np.exp(-sum(log(v, w) for v, w in zip([" ", *t], t, strict=False)) / len(t))
 
 
-@pytest.mark.parametrize("kw", [{"least": 3}])
+@pytest.mark.parametrize("kw", [{"least": 3}, {}])
 def test_kneser_ney_keeps_all_words_and_holds_out(spark, monkeypatch, kw):
     monkeypatch.setattr(kneser_ney, "BROADCAST_ENTRIES", 20)
     rng = np.random.default_rng(6)

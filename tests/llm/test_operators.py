@@ -253,6 +253,24 @@ def test_license_scan(docs):
     assert [a[i] for i, _ in pairs] == ["the", "quick", "fox", "jumps", "over"] and pairs == sorted(pairs)
 
 
+def scanned(text):
+    split = {n: license_scan.words(t) for n, t in license_scan.TEMPLATES.items()}
+    return license_scan.scan_text(text, split, 0.8, {n: set(license_scan.words(t)) for n, t in license_scan.TELLING.items()})
+
+
+def test_license_notices_round_any_word():
+    gpl = "This work is licensed under the GNU General Public License, version III."
+    mit = "Released under the MIT License. "
+    assert scanned(f"Part 3\n{PROSE[:400]} {gpl} {PROSE[:300]} {gpl}")[0] == "GPL-3.0"
+    assert scanned(f"{PROSE[:200]} released {PROSE[:200]} {mit}{mit}{PROSE[:200]}")[:4] == ("MIT", 5, 5, 1.0)
+    # a word altered that is the rarest of the text
+    apache = "Licenced under the Apache License, Version 2.0."
+    assert scanned(f"licensed {PROSE[:400]} {apache} {PROSE[:400]} {apache}")[:2] == ("Apache-2.0", 7)
+    assert scanned(f"{mit}{PROSE[:300]} {license_scan.TEMPLATES['GPL-3.0']}")[6] == ["GPL-3.0", "MIT"]
+    for name, t in license_scan.TEMPLATES.items():
+        assert scanned(f"{PROSE[:90]} {t} {PROSE[:90]}")[:4] == (name, *[len(license_scan.words(t))] * 2, 1.0)
+
+
 def test_warc(spark):
     html = "WARC/1.1\r\n\r\n" + "é" * 3000
     pages = [(5, "http://a/", html), (2, "http://b/\r\nWARC/1.1\r\n", html), (9, None, html), (1, "u", None), (3, "u", "short"), (4, "u", "short"), (None, "n", html), (7, "u", "z" * 99), (2, "http://b/\r\nWARC/1.1\r\n", html)]

@@ -8,6 +8,9 @@ given twice is found as well.  The alignment takes equal words off both ends, an
 words that occur once on either side, keeps the longest increasing run of anchors, and goes
 on in the gaps between them; coverage is the share of the template's words aligned.
 
+An alignment counts only if the words that tell the license from others (``TELLING``) are
+aligned, with no further word in the text just before them: "BY-NC-SA 4.0" is not "BY-NC 4.0".
+
 A text has one row: its best license by coverage, then matched words, then name, and all
 licenses that are covered enough; NULL and none if there is none.  Of equal alignments the
 earliest counts.  NULL and empty texts have none.  Rows are judged alone, so repeated rows
@@ -41,7 +44,14 @@ TEMPLATES = {
     "MIT": "Released under the MIT License.",
 }
 #: Words without which a notice is another license's, by template; a caller's own may have none.
-TELLING: dict[str, str] = {}
+TELLING = {
+    "Apache-2.0": "apache 2 0",
+    "BSD-3-Clause": "redistribution source binary",
+    "CC-BY-4.0": "creative commons attribution 4 0",
+    "CC-BY-NC-4.0": "cc by nc 4 0",
+    "GPL-3.0": "gnu general public 3",
+    "MIT": "mit",
+}
 _ROMAN = {"ii": "2", "iii": "3", "iv": "4", "vi": "6", "vii": "7", "viii": "8", "ix": "9"}
 _SPELLED = {n: (n, r) for r, n in _ROMAN.items()}
 

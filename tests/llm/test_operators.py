@@ -271,6 +271,26 @@ def test_license_notices_round_any_word():
         assert scanned(f"{PROSE[:90]} {t} {PROSE[:90]}")[:4] == (name, *[len(license_scan.words(t))] * 2, 1.0)
 
 
+@pytest.mark.parametrize(
+    "text, license",
+    [
+        ("Licensed under CC BY 4.0.", None),
+        ("Licensed under CC BY-NC-SA 4.0.", None),
+        ("Licensed under CC BY-NC 4.0", "CC-BY-NC-4.0"),
+        ("This work is licensed under the GNU General Public License, version 2.", None),
+        ("This work is licensed under the GNU Lesser General Public License, version 3.", None),
+        ("This work is licensed under the GNU General Public License, verson 3.", "GPL-3.0"),
+        ("This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License.", None),
+        ("Licensed under the Apache License, Version 1.1.", None),
+        ("Released under the BSD License.", None),
+        ("Released under the terms of the MIT License.", "MIT"),
+        ("It was released in May under an act, of which the author at mit spoke, with no license.", None),
+    ],
+)
+def test_license_words_that_tell(text, license):
+    assert scanned(f"{PROSE[:200]} {text} {PROSE[:200]}")[0] == license
+
+
 def test_warc(spark):
     html = "WARC/1.1\r\n\r\n" + "é" * 3000
     pages = [(5, "http://a/", html), (2, "http://b/\r\nWARC/1.1\r\n", html), (9, None, html), (1, "u", None), (3, "u", "short"), (4, "u", "short"), (None, "n", html), (7, "u", "z" * 99), (2, "http://b/\r\nWARC/1.1\r\n", html)]

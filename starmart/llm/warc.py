@@ -7,8 +7,9 @@ missing and that lengths agree, and undoes the chunked transfer framing.  Every
 held against the digest in its record's header; what does not fit raises an error.
 
 Archives are split by the line that opens a record, so one file is read by many tasks.  The
-writer cuts a body's chunks inside any such line, so that it never occurs within a record.
-One file is one gzip stream.
+writer cuts a body's chunks inside any such line, and ends no chunk, segment or target with
+the line's text, as a line break follows there: it never occurs within a record.  One file
+is one gzip stream.
 
 NULL html is an empty payload, NULL urls an empty target.  Of the rows with an equal payload
 of ``least_bytes`` or more, those with the smallest page id are responses and the others
@@ -29,7 +30,8 @@ from pyspark.sql import functions as F
 from starmart.llm.exprs import col
 from starmart.scratch import materialize, scratch_path
 
-_OPEN = b"WARC/1.1\r\n"
+_NAME = "WARC/1.1"
+_OPEN = f"{_NAME}\r\n".encode()
 _END = "\r\n\r\n"
 #: Repeated digests up to this number are broadcast: 100 bytes each at most.
 BROADCAST_DIGESTS = 100_000
@@ -39,13 +41,19 @@ def record_id(page_id: int | None, digest: str) -> str:
     return f"<urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, f'{page_id}/{digest}')}>"
 
 
+def _before_name(data: bytes, at: int, end: int) -> int:
+    """``end``, or a place inside the name that opens records if ``data[at:end]`` ends with it."""
+    return end - 4 if data.endswith(_NAME.encode(), at, end) else end
+
+
 def chunked(payload: bytes, chunk_bytes: int) -> bytes:
-    """Chunked transfer framing; no chunk holds the line that opens a record."""
+    """Chunked transfer framing; no chunk holds the line that opens a record, or makes one with the line break after it."""
     out, at = [], 0
     while at < len(payload):
         end = min(len(payload), at + chunk_bytes)
         if (hit := payload.find(_OPEN, at, end + len(_OPEN) - 1)) >= 0:
             end = hit + 4
+        end = _before_name(payload, at, end)
         out.append(b"%x\r\n%b\r\n" % (end - at, payload[at:end]))
         at = end
     return b"".join(out) + b"0\r\n\r\n"
@@ -71,8 +79,9 @@ def _record(block: bytes, **headers: object) -> bytes:
 
 
 def _target(url: str | None) -> str:
-    """A header's value: no control characters, and no line of its own."""
-    return "".join(c if c > " " else f"%{ord(c):02X}" for c in url or "")
+    """A header's value: no control characters, no line of its own, and not the end of a line that opens a record."""
+    value = "".join(c if c > " " else f"%{ord(c):02X}" for c in url or "")
+    return f"{value.removesuffix(_NAME)}%{ord(_NAME[0]):02X}{_NAME[1:]}" if value.endswith(_NAME) else value
 
 
 def records(page_id: int | None, url: str | None, payload: bytes, digest: str, refers_to: int | None, *, chunk_bytes: int, segment_bytes: int) -> list[bytes]:
@@ -94,7 +103,11 @@ def records(page_id: int | None, url: str | None, payload: bytes, digest: str, r
     kind = {"Content_Type": "application/http; msgtype=response"}
     if len(block) <= segment_bytes:
         return [_record(block, WARC_Type="response", **common, **kind)]
-    parts = [block[i : i + segment_bytes] for i in range(0, len(block), segment_bytes)]
+    parts, at = [], 0
+    while at < len(block):
+        end = _before_name(block, at, min(len(block), at + segment_bytes))
+        parts.append(block[at:end])
+        at = end
     out = [_record(parts[0], WARC_Type="response", **common, **kind, WARC_Segment_Number=1)]
     for number, part in enumerate(parts[1:], 2):
         out.append(

@@ -305,6 +305,21 @@ def test_warc(spark):
     assert warc.unchunked(warc.chunked(html.encode(), 100)) == html.encode()
 
 
+@pytest.mark.parametrize("pad", range(0, 60))
+def test_warc_name_at_the_end_of_a_line(pad):
+    payload = b"x" * pad + b"WARC/1.1" * 9 + b"WARC/1.1\r\nWARC/1.1"
+    made = warc.records(1, "http://a/WARC/1.1", payload, hashlib.sha256(payload).hexdigest(), None, chunk_bytes=32, segment_bytes=64)
+    ends = [x + warc._END.encode() for x in made]
+    assert len(made) > 1 and all(x.count(warc._OPEN) == 1 for x in ends)
+    assert warc.unchunked(warc.chunked(payload, 32)) == payload
+
+
+def test_warc_round_trip_of_pages_that_end_in_the_name(spark):
+    pages = [(1, "u", "z" * 200 + "WARC/1.1"), (2, "u", "y" * 4088 + "WARC/1.1" + "y" * 50), (3, "http://a/WARC/1.1", "short")]
+    got = warc.round_trip(spark.createDataFrame(pages, "page_id long, url string, html string"))
+    assert {r.page_id: r.payload_bytes for r in got.collect()} == {i: len(h) for i, _, h in pages}
+
+
 def test_kneser_ney(spark):
     rng = np.random.default_rng(5)
     words = [f"w{i}" for i in range(60)]

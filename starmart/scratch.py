@@ -1,14 +1,25 @@
-"""Where intermediate tables go: a folder every executor can reach."""
+"""Where intermediate tables go, and how long they stay: a folder every executor can reach.
+
+Each application writes below a folder of its own, ``<root>/starmart/<application>``.  A
+``Scratch`` deletes what was written in it when its block ends; what a returned frame still
+reads stays until the Python process ends.  ``remove_old`` deletes what killed applications left.
+"""
 
 from __future__ import annotations
 
+import atexit
 import tempfile
+import time
 import uuid
 
+from py4j.protocol import Py4JError
 from pyspark.sql import DataFrame, SparkSession
 
+from starmart.sources.files import delete, list_paths
+
 _SETTING = "spark.checkpoint.dir"
 _local: dict[str, tempfile.TemporaryDirectory] = {}
+_roots: dict[str, SparkSession] = {}
 
 
 def is_local(spark: SparkSession) -> bool:
@@ -24,7 +35,7 @@ def scratch_root(spark: SparkSession) -> str:
     configured = spark.conf.get(_SETTING, None)
     if configured:
         return configured.rstrip("/")
-    if not is_local(spark):
+    if not is_local(spark) or spark.conf.get("spark.master").startswith("local-cluster"):
         raise ValueError(f"{_SETTING} must name a folder shared by all executors")
     if "dir" not in _local:
         _local["dir"] = tempfile.TemporaryDirectory(prefix="starmart-")
@@ -33,7 +44,9 @@ def scratch_root(spark: SparkSession) -> str:
 
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A new path below the scratch root; never one that was used before."""
-    return f"{scratch_root(spark)}/starmart/{label}-{uuid.uuid4().hex}"
+    own = f"{scratch_root(spark)}/starmart/{spark.sparkContext.applicationId}"
+    _roots.setdefault(own, spark)
+    return f"{own}/{label}-{uuid.uuid4().hex}"
 
 
 def materialize(df: DataFrame, label: str) -> DataFrame:
@@ -42,7 +55,81 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     Cuts the lineage: the written rows outlive any executor, and the frames built
     on them do not recompute ``df``.
     """
-    spark = df.sparkSession
-    path = scratch_path(spark, label)
+    return _stored(df, scratch_path(df.sparkSession, label))
+
+
+def _stored(df: DataFrame, path: str) -> DataFrame:
     df.write.mode("errorifexists").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+class Scratch:
+    """Intermediate tables of one computation, deleted when the block ends.
+
+    ``with Scratch(spark) as scratch:`` write with ``scratch.table(df, label)``, drop one early
+    with ``scratch.drop(df)``, and return ``scratch.result(df, label)``, which is written
+    outside the block's reach.
+    """
+
+    def __init__(self, spark: SparkSession) -> None:
+        self.spark = spark
+        self._paths: dict[int, tuple[str, DataFrame]] = {}
+
+    def __enter__(self) -> Scratch:
+        return self
+
+    def __exit__(self, *_: object) -> None:
+        for path, _df in self._paths.values():
+            delete(self.spark, path)
+        self._paths.clear()
+
+    def table(self, df: DataFrame, label: str) -> DataFrame:
+        path = scratch_path(self.spark, label)
+        # Named before it is written: a failed write is deleted too.
+        self._paths[-len(self._paths) - 1] = (path, df)
+        out = _stored(df, path)
+        self._paths.popitem()
+        self._paths[id(out)] = (path, out)
+        return out
+
+    def drop(self, *tables: DataFrame) -> None:
+        for df in tables:
+            path, _df = self._paths.pop(id(df))
+            delete(self.spark, path)
+
+    def result(self, df: DataFrame, label: str) -> DataFrame:
+        return materialize(df, label)
+
+
+def remove_old(spark: SparkSession, hours: float) -> list[str]:
+    """Delete the scratch folders of other applications not written to for ``hours``; their paths.
+
+    An application's tables have folders of their own below its folder: the newest of them
+    tells its age.  Choose ``hours`` longer than any job runs.
+    """
+    top = f"{scratch_root(spark)}/starmart"
+    oldest = (time.time() - 3600 * hours) * 1000
+    mine = spark.sparkContext.applicationId
+    removed = []
+    for path, changed in list_paths(spark, top):
+        newest = max([changed, *[t for _, t in list_paths(spark, path)]])
+        if path.rsplit("/", 1)[1] != mine and newest <= oldest:
+            delete(spark, path)
+            removed.append(path)
+    return removed
+
+
+def remove_own(spark: SparkSession) -> None:
+    """Delete all scratch tables of this application; frames that read them can no longer run."""
+    own = f"{scratch_root(spark)}/starmart/{spark.sparkContext.applicationId}"
+    delete(spark, own)
+    _roots.pop(own, None)
+
+
+@atexit.register
+def _at_exit() -> None:
+    for own, spark in _roots.items():
+        try:
+            delete(spark, own)
+        except (Py4JError, OSError, AttributeError, TypeError):
+            pass  # the session is gone; remove_old() of a later one deletes the folder

@@ -2,34 +2,67 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from starmart.scratch import materialize
+from starmart.llm.skew import attach
+from starmart.scratch import Scratch
+
+
+def forest(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Links (node, least node it reaches) that join the same nodes as the links a-b do."""
+    nodes, at = np.unique(np.concatenate([a, b]), return_inverse=True)
+    a, b = at[: len(a)], at[len(a) :]
+    label = np.arange(len(nodes))
+    while True:
+        low = np.minimum(label[a], label[b])
+        new = label.copy()
+        # A root takes the least label that any link of its tree offers it.
+        np.minimum.at(new, label[a], low)
+        np.minimum.at(new, label[b], low)
+        while not np.array_equal(new, new[new]):
+            new = new[new]
+        if np.array_equal(new, label):
+            break
+        label = new
+    tied = np.flatnonzero(label != np.arange(len(nodes)))
+    return nodes[tied], nodes[label[tied]]
 
 
 def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """``node, root``: every linked node and the smallest node it can reach.
 
-    Each round hangs larger neighbours, then smaller ones, on the smallest neighbour seen;
-    the links shrink to one star per component in a logarithmic number of rounds.  A node's
-    neighbours are reduced to their minimum before they are shuffled, and every round is
-    written once, so lost executors cost no more than a reread.
+    Nodes may be of any type that can be ordered, structs too.  Each round hangs larger
+    neighbours, then smaller ones, on the smallest neighbour seen; the links shrink to one star
+    per component in a logarithmic number of rounds.  A node's neighbours are reduced to their
+    minimum before they are shuffled, the centre of a large star meets its links by broadcast
+    (``attach``), and every round is written once, so lost executors cost no more than a reread.
     """
-    edges = links.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).where("u > v").distinct()
-    edges = materialize(edges, "links")
-    before = None
-    while True:
-        both = edges.unionAll(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.min("v").alias("m")).select(F.col("u").alias("w"), F.least("u", "m").alias("m"))
-        larger = both.join(least, F.col("u") == F.col("w")).where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        larger = materialize(larger.where("u > v").distinct(), "large-star")
-        least = larger.groupBy("u").agg(F.min("v").alias("m")).select(F.col("u").alias("w"), "m")
-        smaller = larger.join(least, F.col("u") == F.col("w")).select(F.explode(F.array("u", "v")).alias("u"), F.col("m").alias("v"))
-        edges = materialize(smaller.where("u > v").distinct(), "small-star")
-        now = edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        if now == before:
-            return edges.select(F.col("u").alias("node"), F.col("v").alias("root")).unionAll(
-                edges.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct()
-            )
-        before = now
+    with Scratch(links.sparkSession) as scratch:
+        edges = links.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).where("u > v").distinct()
+        edges = scratch.table(edges, "links")
+        n, mark = _summary(edges)
+        while True:
+            both = edges.unionAll(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
+            least = both.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("n")).select("u", F.least("u", "m").alias("m"), "n")
+            least = scratch.table(least, "least")
+            larger = attach(both, least, "u", "n", 2 * n).where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+            larger = scratch.table(larger.where("u > v").distinct(), "large-star")
+            scratch.drop(edges, least)
+            least = scratch.table(larger.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("n")), "least")
+            n_larger = larger.count()
+            smaller = attach(larger, least, "u", "n", n_larger).select(F.explode(F.array("u", "v")).alias("u"), F.col("m").alias("v"))
+            edges = scratch.table(smaller.where("u > v").distinct(), "small-star")
+            scratch.drop(larger, least)
+            before, (n, mark) = mark, _summary(edges)
+            if mark == before:
+                out = edges.select(F.col("u").alias("node"), F.col("v").alias("root")).unionAll(
+                    edges.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct()
+                )
+                return scratch.result(out, "components")
+
+
+def _summary(edges: DataFrame) -> tuple[int, tuple]:
+    row = edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
+    return row[0], tuple(row)

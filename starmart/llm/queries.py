@@ -14,10 +14,13 @@ from starmart.llm import (
     kneser_ney,
     license_scan,
     packing,
+    prefix_trie,
     quality_rules,
+    simhash,
     suffix_dedup,
     url_cascade,
     warc,
+    whitening,
 )
 
 
@@ -79,6 +82,19 @@ def op10_suffix_dedup(spark: SparkSession, sf: str) -> DataFrame:
     return suffix_dedup.digest(_table(spark, sf, "documents"))
 
 
+def op11_embedding_whitening(spark: SparkSession, sf: str) -> DataFrame:
+    out = whitening.whiten(_table(spark, sf, "embeddings"), components=16)
+    return out.withColumn("deviation", F.expr("try_cast(deviation AS long)"))
+
+
+def op12_prefix_trie(spark: SparkSession, sf: str) -> DataFrame:
+    return prefix_trie.report(_table(spark, sf, "conversations"))
+
+
+def op13_simhash(spark: SparkSession, sf: str) -> DataFrame:
+    return simhash.near_duplicates(_table(spark, sf, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_url_filters": op1_url_filters,
     "op2_quality_rules": op2_quality_rules,
@@ -90,6 +106,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_quality_classifier": op8_quality_classifier,
     "op9_packing": op9_packing,
     "op10_suffix_dedup": op10_suffix_dedup,
+    "op11_embedding_whitening": op11_embedding_whitening,
+    "op12_prefix_trie": op12_prefix_trie,
+    "op13_simhash": op13_simhash,
 }
 
 ORACLES: dict[str, str] = {

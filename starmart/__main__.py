@@ -35,6 +35,7 @@ def main(argv: list[str] | None = None) -> None:
         "--rating-type", default=f"{RATING_TYPE.precision},{RATING_TYPE.scale}",
         metavar="PRECISION,SCALE", help="decimal type of a stored rating",
     )
+    parser.add_argument("--database", help="also show the warehouse tables as views in this database")
     parser.add_argument("--packages", help="connector packages for a new session")
     parser.add_argument("--jdbc-url", help="also append the clean data to staging tables here")
     parser.add_argument("--jdbc-schema", default="movies", help="schema of those tables")
@@ -71,10 +72,11 @@ def main(argv: list[str] | None = None) -> None:
             on_violation=args.on_violation,
             dedupe=dedupe,
             rating_type=rating_type,
+            database=args.database,
             **options,
         )
     elif args.job == "merge":
-        warehouse = Warehouse(spark, args.warehouse, warehouse_specs(rating_type))
+        warehouse = Warehouse(spark, args.warehouse, warehouse_specs(rating_type), args.database)
         merge_all(warehouse, args.groups or None, args.on_violation, dedupe)
     else:
         run_job(spark, args.job, args.input, args.output, **options)

@@ -1,6 +1,6 @@
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -14,7 +14,7 @@ _POSITION_BITS = 33
 
 
 def assign_surrogate_key(
-    df: DataFrame, order_keys: Sequence[str], name: str, start: int = 0
+    df: DataFrame, order_keys: Sequence[str], name: str, start: int | Callable[[int], int] = 0
 ) -> DataFrame:
     """Number the rows ``start``, ``start + 1``, ... in the order of ``order_keys``.
 
@@ -24,6 +24,9 @@ def assign_surrogate_key(
     counts, one row per partition, meet in one place.  Equal order keys are told
     apart by the other columns and finally by the reading task, so a key that fills
     a third of the table still spreads over several partitions.
+
+    ``start`` may be a function that is given the number of rows and returns the first key, such
+    as one that reserves a range (``Warehouse.reserve``).
     """
     sortable = [
         f.name
@@ -39,6 +42,8 @@ def assign_surrogate_key(
         .withColumn("__at", F.monotonically_increasing_id()),
         "surrogate",
     )
+    if callable(start):
+        start = start(placed.count())
     run = F.shiftright("__at", _POSITION_BITS)
     position = F.col("__at").bitwiseAND(F.lit((1 << _POSITION_BITS) - 1))
     counts = placed.groupBy(run.alias("__run")).agg((F.max(position) + 1).alias("__n"))

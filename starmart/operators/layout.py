@@ -3,13 +3,20 @@
 from __future__ import annotations
 
 import re
+import threading
+from collections.abc import Iterator, Mapping, Sequence
+from contextlib import contextmanager
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# Largest share of rows, relative to an even spread, that one bucket may hold.
-_MAX_BUCKET_SKEW = 4.0
+#: Largest share of a table, relative to an even spread, that one bucket may hold by default.
+MAX_SKEW = 4.0
+
+
+class SkewedBucketError(ValueError):
+    """One bucket would hold far more than its share."""
 
 
 def table_bytes(df: DataFrame) -> int:
@@ -79,18 +86,91 @@ def bucket_skew(df: DataFrame, buckets: int, *keys: str) -> float:
 
 
 def write_bucketed(
-    df: DataFrame, table: str, path: str, buckets: int, *keys: str, mode: str = "errorifexists"
-) -> bool:
+    df: DataFrame,
+    table: str,
+    path: str,
+    buckets: int,
+    *keys: str,
+    mode: str = "errorifexists",
+    max_skew: float | None = MAX_SKEW,
+) -> None:
     """Catalog table hash-clustered by ``keys``; equally bucketed tables join in place.
 
-    One bucket is one task of every later join, so the spread is counted first.  If a
-    hot key would overfill its bucket the rows are written unbucketed, where adaptive
-    execution can split the hot partition; the result tells which of the two happened.
+    One bucket is one task of every later join, so the spread is counted first: a bucket of
+    over ``max_skew`` times an even share raises ``SkewedBucketError``.  None takes any spread.
     """
-    writer = df.write
-    bucketed = bucket_skew(df, buckets, *keys) <= _MAX_BUCKET_SKEW
-    if bucketed:
-        # One file per bucket instead of one per bucket and task.
-        writer = df.repartition(buckets, *keys).write.bucketBy(buckets, *keys).sortBy(*keys)
+    if max_skew is not None and (skew := bucket_skew(df, buckets, *keys)) > max_skew:
+        raise SkewedBucketError(f"the fullest bucket by {keys} holds {skew:.1f} times an even share; max_skew allows {max_skew}")
+    # One file per bucket instead of one per bucket and task.
+    writer = df.repartition(buckets, *keys).write.bucketBy(buckets, *keys).sortBy(*keys)
     writer.mode(mode).option("path", path).saveAsTable(table)
-    return bucketed
+
+
+def require_even_files(sizes: Mapping[str, int], buckets: int, max_skew: float | None, least: int) -> None:
+    """Raise ``SkewedBucketError`` if one bucket's files hold over ``max_skew`` times an even share.
+
+    ``sizes`` are the bytes of the bucketed files by name, which ends in the bucket.  A bucket of
+    under ``least`` bytes is no burden for its task, however empty the others are.
+    """
+    if max_skew is None or not sizes:
+        return
+    held = [0] * buckets
+    for name, size in sizes.items():
+        held[int(re.search(r"_(\d{5,})(?:\.c\d+)?\.[^/]*$", name).group(1))] += size
+    if max(held) >= least and max(held) * buckets > max_skew * sum(held):
+        raise SkewedBucketError(
+            f"bucket {held.index(max(held))} of {buckets} holds {max(held)} of {sum(held)} bytes; choose another key, or allow it by max_skew"
+        )
+
+
+def part_of(column: Column, kind: T.DataType, bounds: Sequence[int | str]) -> Column:
+    """The number of bounds at or below the value, by bisection; 0 for NULL."""
+
+    def cut(low: int, high: int) -> Column:
+        if low == high:
+            return F.lit(low)
+        mid = (low + high + 1) // 2
+        bound = F.lit(bounds[mid - 1]).cast(kind)
+        return F.when(column < bound, cut(low, mid - 1)).otherwise(cut(mid, high))
+
+    return F.when(column.isNull(), F.lit(0)).otherwise(cut(0, len(bounds)))
+
+
+def quantiles(df: DataFrame, column: str, n: int) -> list[int | str]:
+    """Bounds that cut the rows into about ``n`` equal runs of the column, the least value left out."""
+    if n < 2:
+        return []
+    shares = [i / n for i in range(1, n)]
+    row = df.agg(F.percentile_approx(column, shares, 20 * n).alias("cuts"), F.min(column).alias("least")).first()
+    found = sorted({v for v in row["cuts"] or [] if v > row["least"]})
+    return [v if isinstance(v, int) else v.isoformat() for v in found]
+
+
+_IN_PLACE = "spark.sql.requireAllClusterKeysForCoPartition"
+_lock = threading.Lock()
+_holding: dict[int, tuple[int, str]] = {}
+
+
+@contextmanager
+def join_in_place(spark: SparkSession) -> Iterator[None]:
+    """Let joins on several keys use a side that is bucketed by some of them as it lies.
+
+    Spark by default shuffles both sides by all keys then.  The session's setting is put back
+    when the last block that runs at the same time has ended.
+    """
+    me = id(spark)
+    with _lock:
+        n, old = _holding.get(me, (0, ""))
+        if not n:
+            old = spark.conf.get(_IN_PLACE)
+            spark.conf.set(_IN_PLACE, "false")
+        _holding[me] = (n + 1, old)
+    try:
+        yield
+    finally:
+        with _lock:
+            n, old = _holding.pop(me)
+            if n > 1:
+                _holding[me] = (n - 1, old)
+            else:
+                spark.conf.set(_IN_PLACE, old)

@@ -23,13 +23,14 @@ key afterwards (a second, filtered read), so that tables bucketed alike join in
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from starmart.operators.layout import exceeds_broadcast
+from starmart.operators.metrics import collected
 from starmart.operators.project import align_to_schema
 from starmart.scratch import materialize
 
@@ -59,21 +60,52 @@ def _spread(keys: Sequence[str]) -> Column:
     return F.when(keys_present(keys), F.lit(0)).otherwise(F.spark_partition_id())
 
 
-def one_row_per_key(source: DataFrame, keys: Sequence[str], dedupe_by: Sequence[str]) -> DataFrame:
+def one_row_per_key(
+    source: DataFrame, keys: Sequence[str], dedupe_by: Sequence[str], count: str | None = None
+) -> DataFrame:
     """The row with the smallest ``dedupe_by`` (NULL first) for every key.
 
+    ``count`` names a further column with the number of the key's rows.
+
     Remaining ties go to the smallest row over all columns.  It is a plain minimum,
     so copies of a hot key shrink to one row per task before the shuffle.
     """
     order = [c for c in dedupe_by if c not in keys]
     order += [c for c in source.columns if c not in keys and c not in order]
-    if not order:
+    if not order and count is None:
         return source.distinct()
-    picked = source.groupBy(*keys).agg(F.min(F.struct(*order)).alias("__row"))
-    return picked.select(
-        *[F.col(c) if c in keys else F.col(f"__row.{c}").alias(c) for c in source.columns]
+    row = [F.min(F.struct(*order)).alias("__row")] if order else []
+    picked = source.groupBy(*keys).agg(*row, F.count(F.lit(1)).alias(count or "__count"))
+    columns = [F.col(c) if c in keys else F.col(f"__row.{c}").alias(c) for c in source.columns]
+    return picked.select(*columns, *([count] if count else []))
+
+
+def unique_observed(
+    source: DataFrame, keys: Sequence[str], order: Sequence[str] = ()
+) -> tuple[DataFrame, Callable[[], None]]:
+    """One row per key, and a check that there was no other, made by whatever job writes the rows.
+
+    Call the second result once that job has run: it raises ``DuplicateKeyError`` if a key had
+    several rows.  The rows are shuffled once by the keys and not read for the check.
+    """
+    seen = Observation()
+    many = F.col("__count") > 1
+    counted = one_row_per_key(source, keys, order, "__count").observe(
+        seen,
+        F.count_if(many).alias("n"),
+        *[F.min_by(k, F.when(many, F.lit(1))).cast("string").alias(f"k{i}") for i, k in enumerate(keys)],
     )
 
+    def check() -> None:
+        found = collected(seen)
+        if found.get("n"):
+            first = tuple(found[f"k{i}"] for i in range(len(keys)))
+            raise DuplicateKeyError(
+                f"{found['n']} source keys {tuple(keys)} have several rows, such as {first}; pass dedupe_by to keep one of them"
+            )
+
+    return counted.drop("__count"), check
+
 
 def require_unique(source: DataFrame, keys: Sequence[str]) -> DataFrame:
     """The source itself, after a check that no complete key occurs twice."""
@@ -101,8 +133,10 @@ def settle_source(
         return require_unique(source, keys)
     if not null_keys:
         return materialize(one_row_per_key(source, keys, dedupe_by), "merge-source")
-    kept = one_row_per_key(source.where(keys_present(keys)), keys, dedupe_by)
-    return materialize(kept.unionByName(source.where(~keys_present(keys))), "merge-source")
+    # A row with a NULL key is a key of its own, so one scan settles both kinds.
+    own = F.when(keys_present(keys), F.lit(0)).otherwise(F.monotonically_increasing_id() + 1)
+    kept = one_row_per_key(source.withColumn(_SPREAD, own), [*keys, _SPREAD], dedupe_by)
+    return materialize(kept.drop(_SPREAD), "merge-source")
 
 
 def _complete(

@@ -2,16 +2,18 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from starmart.operators.merge import duplicate_keys
+from starmart.operators.metrics import collected
 from starmart.operators.project import align_to_schema
 from starmart.schemas import TableSpec
 
-__all__ = ["ConstraintError", "conform", "duplicate_keys", "enforce", "violations"]
+__all__ = ["ConstraintError", "breaking_rows", "conform", "duplicate_keys", "enforce", "observed", "violations"]
 
 
 class ConstraintError(ValueError):
@@ -40,6 +42,32 @@ def violations(df: DataFrame, spec: TableSpec) -> DataFrame:
     return counted.select(F.inline(F.array(*lines)))
 
 
+def breaking_rows(df: DataFrame, spec: TableSpec) -> DataFrame:
+    """The rows that break a constraint, as they are."""
+    return df.where(reduce(lambda a, b: a | b, [bad for _, _, bad in _broken(spec)], F.lit(False)))
+
+
+def observed(df: DataFrame, spec: TableSpec) -> tuple[DataFrame, Callable[[], None]]:
+    """The rows, counted against the constraints by whatever job writes them; no scan of its own.
+
+    Call the second result once that job has run: it raises ``ConstraintError`` if a row broke
+    the spec.
+    """
+    rules = _broken(spec)
+    if not rules:
+        return df, lambda: None
+    seen = Observation()
+    rows = df.observe(seen, *[F.count_if(bad).alias(f"n{i}") for i, (_, _, bad) in enumerate(rules)])
+
+    def check() -> None:
+        counts = collected(seen)
+        found = [(c, r, n) for i, (c, r, _) in enumerate(rules) if (n := counts.get(f"n{i}", 0))]
+        if found:
+            raise ConstraintError(f"{spec.name}: {found}")
+
+    return rows, check
+
+
 def enforce(df: DataFrame, spec: TableSpec, on_violation: str = "fail") -> DataFrame:
     """The rows that satisfy the spec; ``"fail"`` raises if any does not, ``"drop"`` filters."""
     rules = _broken(spec)

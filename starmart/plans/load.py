@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import json
+import uuid
 from collections.abc import Callable, Iterable, Mapping
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
@@ -11,15 +13,16 @@ from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from starmart.operators.merge import require_unique
-from starmart.operators.quality import conform, enforce
+from starmart.operators.merge import one_row_per_key, unique_observed
+from starmart.operators.quality import ConstraintError, conform, enforce, observed
 from starmart.plans import budgets, dates, genres, movies, ratings
 from starmart.schemas import MOVIES_CSV, RATING_TYPE, RATINGS_CSV, warehouse_specs
-from starmart.scratch import materialize
+from starmart.scratch import Scratch
 from starmart.sources.delimited import read_csv_typed
-from starmart.sources.jdbc import append_jdbc
+from starmart.sources.files import create_new, delete, read_bytes
+from starmart.sources.jdbc import append_jdbc, append_jdbc_once
 from starmart.sources.parquet import read_parquet, write_parquet
-from starmart.warehouse import Warehouse
+from starmart.warehouse import Entry, Prepared, Warehouse
 
 # Input file names and schemas.
 SOURCES: dict[str, tuple[str, T.StructType, str]] = {
@@ -113,32 +116,65 @@ def run_job(
     dialects: Mapping[str, str] | None = None,
     jdbc: Mapping[str, object] | None = None,
     source: DataFrame | None = None,
+    batch: str | None = None,
 ) -> dict[str, Clean]:
     """Clean one source into its Parquet datasets, one per warehouse table it feeds.
 
     ``jdbc`` (``url``, optionally ``properties`` and ``schema``) also appends every
-    dataset to its staging table there, reading back the Parquet just written.
-    ``source`` replaces the input file by an already read frame.
+    dataset to its staging table there, reading back the Parquet just written; with ``batch``,
+    a name for this run and its retries, at most once.  ``source`` replaces the input file by
+    an already read frame.
     """
     job = JOBS[name]
     df = read_source(spark, input, job.source, dialects) if source is None else source
-    if job.shared is not None:
-        df = materialize(job.shared(df), name)
     stored = {}
-    for table, clean in job.clean(df, required).items():
-        path = clean_path(output, table)
-        write_parquet(clean, path)
-        stored[table] = Clean(path, clean.schema)
-        if jdbc is not None:
-            append_jdbc(
-                read_parquet(spark, path, schema=clean.schema),
-                jdbc["url"],
-                f"{jdbc.get('schema', 'movies')}.{STAGES[table]}",
-                jdbc.get("properties"),
-            )
+    with Scratch(spark) as scratch:
+        if job.shared is not None:
+            df = scratch.table(job.shared(df), name)
+        for table, clean in job.clean(df, required).items():
+            path = clean_path(output, table)
+            write_parquet(clean, path)
+            stored[table] = Clean(path, clean.schema)
+    for table, clean in stored.items() if jdbc is not None else ():
+        rows = read_parquet(spark, clean.path, schema=clean.schema)
+        target = f"{jdbc.get('schema', 'movies')}.{STAGES[table]}"
+        if batch is None:
+            append_jdbc(rows, jdbc["url"], target, jdbc.get("properties"))
+        else:
+            append_jdbc_once(rows, jdbc["url"], target, f"{batch}-{table}", jdbc.get("properties"))
+    return stored
+
+
+def run_step(spark: SparkSession, name: str, input: str, output: str, required: str, **options) -> dict[str, Clean]:
+    """``run_job`` as a step that can be repeated: what has finished is not done again.
+
+    A step that begins leaves a mark below ``<output>/_steps``, one that has finished its
+    outputs.  A repeated step with a first mark only deletes what the failed try had written.
+    Outputs without a mark are somebody else's and an error, as in ``run_job``.
+    """
+    given = {"input": input, "required": required, "dialects": dict(options.get("dialects") or {})}
+    begun, ended = (f"{output.rstrip('/')}/_steps/{name}.{x}.json" for x in ("begun", "ended"))
+    raw = json.dumps(given | {"batch": uuid.uuid4().hex}).encode()
+    fresh = create_new(spark, begun, raw)
+    begin = json.loads(read_bytes(spark, begun))
+    if {k: begin.get(k) for k in given} != given:
+        raise UnfinishedLoad(f"{output} holds an unfinished run of {name!r} with other arguments: {begin}")
+    done = read_bytes(spark, ended)
+    if done is not None:
+        return {t: Clean(clean_path(output, t), T.StructType.fromJson(s)) for t, s in json.loads(done).items()}
+    if not fresh:
+        for table in JOBS[name].tables:
+            delete(spark, clean_path(output, table))
+    stored = run_job(spark, name, input, output, required, batch=begin["batch"], **options)
+    create_new(spark, ended, json.dumps({t: c.schema.jsonValue() for t, c in stored.items()}).encode())
     return stored
 
 
+def close_output(spark: SparkSession, output: str) -> None:
+    """Let no further run reuse the finished steps of this output."""
+    create_new(spark, f"{output.rstrip('/')}/_steps/closed.json", b"{}")
+
+
 def run_cleaning(
     spark: SparkSession,
     input: str = "/source",
@@ -146,11 +182,18 @@ def run_cleaning(
     required: str = "output",
     dialects: Mapping[str, str] | None = None,
     jdbc: Mapping[str, object] | None = None,
+    keep_open: bool = False,
 ) -> dict[str, Clean]:
     """All clean-up jobs.  The movie file is parsed once into columnar form for the four
-    jobs that read it."""
+    jobs that read it.
+
+    A run that failed can be called again with the same arguments: jobs that had finished are
+    not repeated.  Once all have, and ``keep_open`` is not set, the output takes no further run.
+    """
+    if read_bytes(spark, f"{output.rstrip('/')}/_steps/closed.json") is not None:
+        raise FileExistsError(f"PATH_ALREADY_EXISTS: {output} holds the outputs of a finished run")
     run = partial(
-        run_job, spark, input=input, output=output, required=required, dialects=dialects, jdbc=jdbc
+        run_step, spark, input=input, output=output, required=required, dialects=dialects, jdbc=jdbc
     )
     used = [
         "id", "adult", "budget", "genres", "original_language", "title", "popularity",
@@ -159,14 +202,17 @@ def run_cleaning(
 
     def movie_jobs() -> list[dict[str, Clean]]:
         wide = read_source(spark, input, "movies", dialects)
-        parsed = materialize(wide if required == "all" else wide.select(*used), "movies-source")
         names = [n for n, job in JOBS.items() if job.source == "movies"]
-        return _side_by_side(spark, [partial(run, n, source=parsed) for n in names])
+        with Scratch(spark) as scratch:
+            parsed = scratch.table(wide if required == "all" else wide.select(*used), "movies-source")
+            return _side_by_side(spark, [partial(run, n, source=parsed) for n in names])
 
     def rating_jobs() -> list[dict[str, Clean]]:
         return [run(n) for n, job in JOBS.items() if job.source == "ratings"]
 
     found = _side_by_side(spark, [movie_jobs, rating_jobs])
+    if not keep_open:
+        close_output(spark, output)
     return {table: clean for part in found for stored in part for table, clean in stored.items()}
 
 
@@ -181,7 +227,7 @@ def stage_clean(warehouse: Warehouse, stored: Mapping[str, Clean]) -> None:
 def require_nothing_staged(warehouse: Warehouse) -> None:
     """Raise if an earlier load still has batches to merge; new ones would mix with them."""
     state = warehouse.snapshot()
-    left = [s for s in STAGES.values() if s in state and state[s].live]
+    left = [s for s in STAGES.values() if warehouse.staged(s, state)]
     if left:
         raise UnfinishedLoad(
             f"{left} hold batches of an unfinished load; finish it with "
@@ -192,23 +238,97 @@ def require_nothing_staged(warehouse: Warehouse) -> None:
 def staged_groups(warehouse: Warehouse) -> list[str]:
     """The groups with batches to merge."""
     state = warehouse.snapshot()
-    return [n for n in MERGES if STAGES[n] in state and state[STAGES[n]].live]
+    return [n for n in MERGES if warehouse.staged(STAGES[n], state)]
 
 
-def check_stage(
+@dataclass(frozen=True)
+class Settled:
+    """The checked batches of one group, ready to be merged into the tables of ``state``."""
+
+    name: str
+    state: Mapping[str, Entry]
+    rows: Mapping[str, DataFrame]
+    made: Prepared | None = None  # of a group that is only appended
+
+
+def settle_group(
     warehouse: Warehouse,
+    scratch: Scratch,
     name: str,
     on_violation: str = "fail",
     dedupe: bool | Mapping[str, list[str]] = False,
-) -> None:
-    """Raise what ``merge_table`` would about the staged rows of one group."""
+) -> Settled:
+    """Check the staged batches of one group and write them with their keys settled.
+
+    Each staging table is read once: the job that writes its rows counts what breaks a
+    constraint or repeats a key.  What it found is raised here, before anything is merged.
+    """
     state = warehouse.snapshot()
+
+    def checked(table: str) -> tuple[DataFrame, Callable[[], None]]:
+        spec = warehouse.specs[table]
+        rows = conform(warehouse.read(STAGES[table], state), spec)
+        if on_violation == "fail":
+            return observed(rows, spec.stage_spec)
+        return enforce(rows, spec.stage_spec, on_violation), lambda: None
+
+    if name == "budgetrevenue":
+        rows, hold = checked(name)
+        made = warehouse.prepare(append={name: rows}, consume_if_exists=[STAGES[name]], state=state)
+        try:
+            hold()
+        except ConstraintError:
+            warehouse.abandon(made)
+            raise
+        return Settled(name, state, {}, made)
+    kept = {}
     for table in MERGES[name]:
         spec = warehouse.specs[table]
-        staged = conform(warehouse.read(STAGES[table], state), spec)
-        rows = enforce(staged, spec.stage_spec, on_violation)
-        if spec.keys and not dedupe:
-            require_unique(rows, spec.keys)
+        rows, hold = checked(table)
+        if dedupe:
+            by = dedupe.get(table) if isinstance(dedupe, Mapping) else None
+            rows, unique = one_row_per_key(rows, spec.keys, by or spec.set_cols), lambda: None
+        else:
+            rows, unique = unique_observed(rows, spec.keys, spec.set_cols)
+        kept[table] = scratch.table(rows, f"stage-{table}")
+        hold()
+        unique()
+    return Settled(name, state, kept)
+
+
+def prepare_merge(warehouse: Warehouse, settled: Settled) -> Prepared:
+    """Merge one group's settled rows; ``Warehouse.commit`` lets it count.
+
+    Target tables are read and written in the parts that the staged keys fall in.
+    """
+    if settled.made is not None:
+        return settled.made
+    name, state, staged = settled.name, settled.state, settled.rows
+    parts = {table: warehouse.touched(table, rows, state) for table, rows in staged.items()}
+    before = {table: warehouse.read(table, state, parts[table]) for table in staged}
+    prepare = partial(warehouse.prepare, state=state, parts=parts)
+    # The keys were settled: they are unique and never NULL.
+    options = {"unique": True, "null_keys": False}
+    with Scratch(warehouse.spark):
+        if name == "movies":
+            merged = movies.merge_movies(before[name], staged[name], **options)
+            return prepare({name: merged}, consume=[STAGES[name]])
+        if name == "genre":
+            merged = genres.merge_genres(before["genre"], staged["genre"], **options)
+            pairs = genres.new_movie_genres(before["movie_genre"], staged["movie_genre"], **options)
+            return prepare(
+                {"genre": merged},
+                append={"movie_genre": pairs},
+                consume=[STAGES["movie_genre"], STAGES["genre"]],
+            )
+        if name == "date":
+            merged = dates.merge_dates(before[name], staged[name], **options)
+            return prepare({name: merged}, consume_if_exists=[STAGES[name]])
+        if name == "ratings":
+            reserve = partial(warehouse.reserve, name)
+            merged = ratings.merge_ratings(before[name], staged[name], reserve=reserve, **options)
+            return prepare({name: merged}, consume_if_exists=[STAGES[name]])
+    raise KeyError(name)
 
 
 def merge_table(
@@ -216,63 +336,15 @@ def merge_table(
     name: str,
     on_violation: str = "fail",
     dedupe: bool | Mapping[str, list[str]] = False,
-    checked: bool = False,
 ) -> None:
     """Merge the staging tables of one group into the warehouse and consume them.
 
     ``name`` is ``movies``, ``genre`` (with the bridge, one commit), ``date``,
     ``ratings`` or ``budgetrevenue``.  ``dedupe`` keeps one row per duplicate source
     key instead of raising: the one with the smallest values in the columns it names for
-    the table, else in the updated columns.  Unless ``checked``, ``check_stage`` comes first.
+    the table, else in the updated columns.
     """
-    if not checked:
-        check_stage(warehouse, name, on_violation, dedupe)
-    state = warehouse.snapshot()
-    publish = partial(warehouse.publish, state=state)
-
-    def options(table: str) -> dict:
-        spec = warehouse.specs[table]
-        # The keys are declared NOT NULL and unique, and were checked.
-        if not dedupe:
-            return {"unique": True, "null_keys": False}
-        by = dedupe.get(table) if isinstance(dedupe, Mapping) else None
-        return {"dedupe_by": by or spec.set_cols, "null_keys": False}
-
-    def stored(table: str) -> DataFrame:
-        return warehouse.read(table, state)
-
-    def stage(table: str) -> DataFrame:
-        spec = warehouse.specs[table]
-        rows = conform(warehouse.read(STAGES[table], state), spec)
-        # "fail" was checked; "drop" filters.
-        return rows if on_violation == "fail" else enforce(rows, spec.stage_spec, on_violation)
-
-    if name == "movies":
-        merged = movies.merge_movies(stored("movies"), stage("movies"), **options("movies"))
-        publish({"movies": merged}, consume=[STAGES["movies"]])
-    elif name == "genre":
-        merged = genres.merge_genres(stored("genre"), stage("genre"), **options("genre"))
-        pairs = genres.new_movie_genres(
-            stored("movie_genre"), stage("movie_genre"), **options("movie_genre")
-        )
-        publish(
-            {"genre": merged},
-            append={"movie_genre": pairs},
-            consume=[STAGES["movie_genre"], STAGES["genre"]],
-        )
-    elif name == "date":
-        merged = dates.merge_dates(stored("date"), stage("date"), **options("date"))
-        publish({"date": merged}, consume_if_exists=[STAGES["date"]])
-    elif name == "ratings":
-        merged = ratings.merge_ratings(stored("ratings"), stage("ratings"), **options("ratings"))
-        publish({"ratings": merged}, consume_if_exists=[STAGES["ratings"]])
-    elif name == "budgetrevenue":
-        publish(
-            append={"budgetrevenue": stage("budgetrevenue")},
-            consume_if_exists=[STAGES["budgetrevenue"]],
-        )
-    else:
-        raise KeyError(name)
+    merge_all(warehouse, [name], on_violation, dedupe)
 
 
 #: Merge group -> the tables it publishes in one commit.
@@ -293,21 +365,29 @@ def merge_all(
 ) -> None:
     """Merge several groups (default: all staged ones) side by side; they share no table.
 
-    The staged rows of all groups are checked before the first publish.  A group consumes
-    its batches in the commit that publishes them, so after a failure a second call
-    merges just what is left.
+    The staged rows of all groups are checked before the first is merged.  A group consumes
+    its batches in the commit that publishes it, so after a failure a second call merges just
+    what is left.
     """
     names = staged_groups(warehouse) if names is None else list(names)
     if not names:
         return
-    options = {"on_violation": on_violation, "dedupe": dedupe}
-    _side_by_side(
-        warehouse.spark, [partial(check_stage, warehouse, n, **options) for n in names]
-    )
-    _side_by_side(
-        warehouse.spark,
-        [partial(merge_table, warehouse, n, checked=True, **options) for n in names],
-    )
+    spark = warehouse.spark
+    with Scratch(spark) as scratch:
+        ready: list[Settled] = []
+
+        def settle(name: str) -> None:
+            ready.append(settle_group(warehouse, scratch, name, on_violation, dedupe))
+
+        def merge(settled: Settled) -> None:
+            warehouse.commit(prepare_merge(warehouse, settled))
+
+        try:
+            _side_by_side(spark, [partial(settle, n) for n in names])
+        except BaseException:
+            warehouse.abandon(*[r.made for r in ready if r.made is not None])
+            raise
+        _side_by_side(spark, [partial(merge, r) for r in ready])
 
 
 def run_all(
@@ -321,14 +401,18 @@ def run_all(
     rating_type: T.DecimalType = RATING_TYPE,
     dialects: Mapping[str, str] | None = None,
     jdbc: Mapping[str, object] | None = None,
+    database: str | None = None,
 ) -> Warehouse:
     """Create what is missing, clean all sources, merge everything.
 
-    Refuses to stage on top of an unfinished load; ``merge_all`` finishes that one.
+    Refuses to stage on top of an unfinished load; ``merge_all`` finishes that one.  A load that
+    failed before anything was staged can be called again with the same arguments and goes on
+    after the jobs that had finished.  With ``database`` the tables are also views there.
     """
-    warehouse = Warehouse(spark, warehouse_root, warehouse_specs(rating_type))
+    warehouse = Warehouse(spark, warehouse_root, warehouse_specs(rating_type), database)
     require_nothing_staged(warehouse)
     warehouse.create_if_absent()
-    stage_clean(warehouse, run_cleaning(spark, input, output, required, dialects, jdbc))
+    stage_clean(warehouse, run_cleaning(spark, input, output, required, dialects, jdbc, keep_open=True))
+    close_output(spark, output)
     merge_all(warehouse, on_violation=on_violation, dedupe=dedupe)
     return warehouse

@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -24,11 +26,13 @@ def merge_ratings(
     dedupe_by: list[str] | None = None,
     null_keys: bool = True,
     unique: bool = False,
+    reserve: Callable[[int], int] | None = None,
 ) -> DataFrame:
     """Ratings of known pairs change and keep their key; new pairs get the next keys.
 
-    A stage too large to broadcast meets the target in one full outer join, written once:
-    the target is read and shuffled once, and the next key is taken from what was written.
+    ``reserve`` is given the number of new pairs and returns their first key; without it the
+    target's highest key is looked up.  A stage too large to broadcast meets the target in one
+    full outer join, written once: the target is read once, and shuffled unless it is bucketed.
     """
     if dedupe_by is not None or not unique:
         stage = settle_source(stage, KEYS, dedupe_by, null_keys)
@@ -42,11 +46,11 @@ def merge_ratings(
             fresh.select(*[F.col(f"__s_{c}").alias(c) for c in stage.columns]),
             KEYS,
             SURROGATE,
-            start=next_key(known, SURROGATE),
+            start=reserve or next_key(known, SURROGATE),
         )
         return updated.select(*target.columns).unionByName(align_to_schema(keyed, target.schema))
     options = {"unique": True, "null_keys": null_keys}
     updated = update_from(target, stage, KEYS, ["rating"], **options)
     fresh = insert_new(target, stage, KEYS, **options)
-    keyed = assign_surrogate_key(fresh, KEYS, SURROGATE, start=next_key(target, SURROGATE))
+    keyed = assign_surrogate_key(fresh, KEYS, SURROGATE, start=reserve or next_key(target, SURROGATE))
     return updated.unionByName(align_to_schema(keyed, target.schema))

@@ -67,6 +67,8 @@ class TableSpec:
     ``keys`` is the merge key.  ``lengths`` bounds text columns; ``pad`` names the
     fixed-width ones.  A table is either distributed by ``dist_key`` or meant to be
     whole on every node (``replicated``), and stored sorted by ``sort_by`` if given.
+    ``part_key`` must be one of the keys: a merge then reads and rewrites only the folders its
+    source's keys fall in.
     ``surrogate`` is a generated key that sources never carry.
     """
 
@@ -79,6 +81,11 @@ class TableSpec:
     dist_key: str | None = None
     sort_by: str | None = None
     surrogate: str | None = None
+    buckets: int = 0  # of a table distributed by dist_key; 0 stores it without
+    max_skew: float | None = 4.0  # of the fullest bucket to an even share; None takes any
+    skew_bytes: int = 64 << 20  # a smaller bucket is never too full
+    part_key: str | None = None  # a key column; the table is stored in folders by its ranges
+    part_bytes: int = 256 << 20  # a folder of twice that is cut when it is next rewritten
     stage_not_null: tuple[str, ...] = ()  # further columns of a staged row
 
     @property
@@ -86,6 +93,18 @@ class TableSpec:
         """What a staged row must hold before it is merged."""
         return replace(self, not_null=self.not_null + self.stage_not_null)
 
+    @property
+    def stage(self) -> TableSpec:
+        """The staging table of this table: what a source delivers, stored as it comes."""
+        return TableSpec(
+            f"stage_{self.name}",
+            self.stage_schema,
+            not_null=self.not_null + self.stage_not_null,
+            lengths=self.lengths,
+            pad=self.pad,
+            dist_key=self.dist_key,
+        )
+
     @property
     def replicated(self) -> bool:
         return self.dist_key is None
@@ -100,7 +119,14 @@ class TableSpec:
         return T.StructType([f for f in self.schema.fields if f.name != self.surrogate])
 
 
-def warehouse_specs(rating_type: T.DecimalType = RATING_TYPE) -> dict[str, TableSpec]:
+def warehouse_specs(
+    rating_type: T.DecimalType = RATING_TYPE, buckets: int = 8, part_bytes: int = 256 << 20
+) -> dict[str, TableSpec]:
+    """The six warehouse tables and their staging tables.
+
+    ``buckets`` is the number a distributed table is stored in, one task each in a join; choose
+    it so that a bucket fits a task.
+    """
     # The six warehouse tables.
     tables = [
         TableSpec(
@@ -121,6 +147,7 @@ def warehouse_specs(rating_type: T.DecimalType = RATING_TYPE) -> dict[str, Table
             pad=("original_language",),
             stage_not_null=("release_date",),
             dist_key="movie_id",
+            part_key="movie_id",
         ),
         TableSpec(
             "genre",
@@ -135,6 +162,7 @@ def warehouse_specs(rating_type: T.DecimalType = RATING_TYPE) -> dict[str, Table
             keys=("movie_id", "genre_id"),
             not_null=("movie_id", "genre_id"),
             dist_key="movie_id",
+            part_key="movie_id",
         ),
         TableSpec(
             "date",
@@ -142,6 +170,7 @@ def warehouse_specs(rating_type: T.DecimalType = RATING_TYPE) -> dict[str, Table
             keys=("release_date",),
             not_null=("release_date",),
             sort_by="release_date",
+            part_key="release_date",
         ),
         TableSpec(
             "ratings",
@@ -150,6 +179,7 @@ def warehouse_specs(rating_type: T.DecimalType = RATING_TYPE) -> dict[str, Table
             not_null=("user_id", "movie_id"),
             dist_key="movie_id",
             surrogate="user_movie_id",
+            part_key="user_id",
         ),
         TableSpec(
             "budgetrevenue",
@@ -157,4 +187,5 @@ def warehouse_specs(rating_type: T.DecimalType = RATING_TYPE) -> dict[str, Table
             not_null=("movie_id", "budget", "revenue"),
         ),
     ]
-    return {t.name: t for t in tables}
+    tables = [replace(t, buckets=buckets if t.dist_key else 0, part_bytes=part_bytes) for t in tables]
+    return {t.name: t for t in [*tables, *[t.stage for t in tables]]}

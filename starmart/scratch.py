@@ -1,8 +1,9 @@
 """Where intermediate tables go, and how long they stay: a folder every executor can reach.
 
-Each application writes below a folder of its own, ``<root>/starmart/<application>``.  A
-``Scratch`` deletes what was written in it when its block ends; what a returned frame still
-reads stays until the Python process ends.  ``remove_old`` deletes what killed applications left.
+Each application writes below a folder of its own, ``<root>/starmart/<application>``.  What is
+written inside a ``Scratch`` block, by ``materialize`` too, is deleted when the block ends; what
+a returned frame still reads belongs to the block around it or, without one, stays until the
+Python process ends.  ``remove_old`` deletes what killed applications left.
 """
 
 from __future__ import annotations
@@ -11,6 +12,7 @@ import atexit
 import tempfile
 import time
 import uuid
+from contextvars import ContextVar
 
 from py4j.protocol import Py4JError
 from pyspark.sql import DataFrame, SparkSession
@@ -20,6 +22,7 @@ from starmart.sources.files import delete, list_paths
 _SETTING = "spark.checkpoint.dir"
 _local: dict[str, tempfile.TemporaryDirectory] = {}
 _roots: dict[str, SparkSession] = {}
+_open: ContextVar[tuple[Scratch, ...]] = ContextVar("open", default=())
 
 
 def is_local(spark: SparkSession) -> bool:
@@ -53,8 +56,11 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` once and continue from the files.
 
     Cuts the lineage: the written rows outlive any executor, and the frames built
-    on them do not recompute ``df``.
+    on them do not recompute ``df``.  Inside a ``Scratch`` block they go when it ends.
     """
+    blocks = _open.get()
+    if blocks:
+        return blocks[-1].table(df, label)
     return _stored(df, scratch_path(df.sparkSession, label))
 
 
@@ -73,32 +79,36 @@ class Scratch:
 
     def __init__(self, spark: SparkSession) -> None:
         self.spark = spark
-        self._paths: dict[int, tuple[str, DataFrame]] = {}
+        self._around: tuple[Scratch, ...] = ()
+        self._paths: list[tuple[str, DataFrame | None]] = []
 
     def __enter__(self) -> Scratch:
+        self._around = _open.get()
+        _open.set((*self._around, self))
         return self
 
     def __exit__(self, *_: object) -> None:
-        for path, _df in self._paths.values():
+        _open.set(self._around)
+        for path, _df in self._paths:
             delete(self.spark, path)
         self._paths.clear()
 
     def table(self, df: DataFrame, label: str) -> DataFrame:
         path = scratch_path(self.spark, label)
-        # Named before it is written: a failed write is deleted too.
-        self._paths[-len(self._paths) - 1] = (path, df)
+        self._paths.append((path, None))  # a failed write is deleted too
         out = _stored(df, path)
-        self._paths.popitem()
-        self._paths[id(out)] = (path, out)
+        self._paths[self._paths.index((path, None))] = (path, out)
         return out
 
     def drop(self, *tables: DataFrame) -> None:
         for df in tables:
-            path, _df = self._paths.pop(id(df))
-            delete(self.spark, path)
+            at = next(i for i, (_, held) in enumerate(self._paths) if held is df)
+            delete(self.spark, self._paths.pop(at)[0])
 
     def result(self, df: DataFrame, label: str) -> DataFrame:
-        return materialize(df, label)
+        if self._around:
+            return self._around[-1].table(df, label)
+        return _stored(df, scratch_path(self.spark, label))
 
 
 def remove_old(spark: SparkSession, hours: float) -> list[str]:

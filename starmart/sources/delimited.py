@@ -1,6 +1,9 @@
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from starmart.sources.split_csv import read_csv_split
@@ -15,6 +18,10 @@ DIALECTS = {
     "plain": {},
 }
 
+#: The record's text beside its typed cells, where one of them did not parse.
+RECORD = "__record"
+
+
 def read_csv_typed(
     spark: SparkSession,
     path: str,
@@ -34,6 +41,41 @@ def read_csv_typed(
     return spark.read.schema(schema).option("header", True).options(**options).csv(path)
 
 
+def read_csv_checked(
+    spark: SparkSession, path: str, schema: T.StructType, dialect: str = "rfc4180"
+) -> DataFrame:
+    """As ``read_csv_typed``, with the text of every record that did not fit the schema.
+
+    ``__record`` is NULL where all cells parsed and the record had as many as the schema.
+    """
+    if dialect == "rfc4180_split":
+        raise ValueError("records are kept by Spark's own reader only; choose another dialect")
+    wide = T.StructType([*schema.fields, T.StructField(RECORD, T.StringType())])
+    # Without pruning, so that a bad cell counts whichever columns are used.
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": RECORD, "columnPruning": "false", **DIALECTS[dialect]}
+    return spark.read.schema(wide).option("header", True).options(**options).csv(path)
+
+
+def rejected_cells(
+    checked: DataFrame, schema: T.StructType, dialect: str = "rfc4180", keep: Sequence[str] = ()
+) -> DataFrame:
+    """The cells of ``read_csv_checked`` that did not parse: ``keep`` columns, ``column, value, record``.
+
+    A record that has too few or too many cells, and no bad one, is one row with a NULL column.
+    """
+    bad = checked.where(F.col(RECORD).isNotNull())
+    text = ", ".join(f"`c{i}` STRING" for i in range(len(schema.fields)))
+    cells = F.from_csv(F.col(RECORD), text, {"mode": "PERMISSIVE", "columnPruning": "false", **DIALECTS[dialect]})
+    bad = bad.withColumn("__cells", cells)
+    lost = [
+        F.when(F.col(f"`{f.name}`").isNull() & F.col(f"__cells.c{i}").isNotNull(), F.struct(F.lit(f.name).alias("column"), F.col(f"__cells.c{i}").alias("value")))
+        for i, f in enumerate(schema.fields)
+    ]
+    found = F.filter(F.array(*lost), lambda x: x.isNotNull())
+    each = bad.select(*[f"`{c}`" for c in keep], F.explode_outer(found).alias("__lost"), F.col(RECORD).alias("record"))
+    return each.select(*[f"`{c}`" for c in keep], "__lost.column", "__lost.value", "record")
+
+
 def write_csv(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
     """Header CSV with doubled quotes and untrimmed text, readable by ``read_csv_typed``."""
     (

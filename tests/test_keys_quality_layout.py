@@ -4,6 +4,7 @@ from pyspark.sql import types as T
 
 from starmart.operators.keys import assign_surrogate_key, next_key
 from starmart.operators.layout import (
+    SkewedBucketError,
     broadcast_threshold,
     bucket_skew,
     replicated,
@@ -132,7 +133,7 @@ def test_bucketed_tables_join_in_place(spark, tmp_path):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
         for name, df in frames.items():
-            assert write_bucketed(df, name, str(tmp_path / name), 4, "k")
+            write_bucketed(df, name, str(tmp_path / name), 4, "k")
         out = spark.table("bucket_a").join(spark.table("bucket_b"), "k", "left_anti")
         assert "Exchange" not in out._jdf.queryExecution().executedPlan().toString()
         assert out.count() == 1_000
@@ -142,11 +143,15 @@ def test_bucketed_tables_join_in_place(spark, tmp_path):
             spark.sql(f"DROP TABLE IF EXISTS {name}")
 
 
-def test_hot_key_is_not_bucketed(spark, tmp_path):
+def test_hot_key_is_an_error_unless_allowed(spark, tmp_path):
     hot = spark.range(1_000).select(F.when(F.col("id") < 900, F.lit(1)).otherwise(F.col("id")).alias("k"))
     assert bucket_skew(hot, 16, "k") > 4
     try:
-        assert not write_bucketed(hot, "bucket_hot", str(tmp_path / "hot"), 16, "k")
+        with pytest.raises(SkewedBucketError, match="times an even share"):
+            write_bucketed(hot, "bucket_hot", str(tmp_path / "hot"), 16, "k")
+        assert not spark.catalog.tableExists("bucket_hot")
+        write_bucketed(hot, "bucket_hot", str(tmp_path / "hot"), 16, "k", max_skew=None)
+        assert spark.sql("DESCRIBE EXTENDED bucket_hot").where("col_name = 'Num Buckets'").first()[1] == "16"
         assert bag(spark.table("bucket_hot")) == bag(hot)
     finally:
         spark.sql("DROP TABLE IF EXISTS bucket_hot")

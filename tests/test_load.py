@@ -203,11 +203,11 @@ def test_failure_before_commit_keeps_everything(spark, tmp_path, monkeypatch):
     wh.create_if_absent()
     stage_clean(wh, run_job(spark, "genre", str(DATA), str(tmp_path / "o")))
 
-    def broken(self, rows):
+    def broken(self, made):
         raise RuntimeError("lost the driver")
 
     with monkeypatch.context() as m:
-        m.setattr(Warehouse, "_commit", broken)
+        m.setattr(Warehouse, "commit", broken)
         with pytest.raises(RuntimeError, match="lost"):
             merge_table(wh, "genre", on_violation="drop")
     assert wh.read("genre").isEmpty() and wh.read("movie_genre").isEmpty()

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -46,9 +47,9 @@ from starmart.operators.merge import (
     upsert,
 )
 from starmart.operators.project import align_to_schema, derive, project
-from starmart.operators.quality import violations
+from starmart.operators.quality import breaking_rows, violations
 from starmart.plans import budgets, dates, genres, movies, ratings
-from starmart.plans.load import CLEAN_NAMES, run_all
+from starmart.plans.load import run_all
 from starmart.schemas import (
     DATE,
     DOUBLE,
@@ -61,8 +62,8 @@ from starmart.schemas import (
     struct,
 )
 from starmart.scratch import is_local, scratch_path
-from starmart.sources.delimited import read_csv_typed, write_csv
-from starmart.sources.jdbc import append_jdbc, read_jdbc
+from starmart.sources.delimited import read_csv_checked, read_csv_typed, rejected_cells, write_csv
+from starmart.sources.jdbc import append_jdbc, append_jdbc_once, read_jdbc
 from starmart.sources.parquet import append_parquet, read_parquet, write_parquet
 from starmart.warehouse import Warehouse
 
@@ -119,6 +120,21 @@ def csv_scan_permissive(spark, sf):
     return scan.select("order_key", "status", "price", "priority")
 
 
+@query(
+    "csv_rejected_cells",
+    """SELECT o_orderkey AS order_key, 'status' AS "column", o_orderstatus AS value FROM orders
+       WHERE TRY_CAST(o_orderstatus AS INTEGER) IS NULL
+       UNION ALL SELECT o_orderkey, 'priority', o_orderpriority FROM orders
+       WHERE TRY_CAST(o_orderpriority AS DATE) IS NULL""",
+)
+def csv_rejected_cells(spark, sf):
+    """The cells that the typed scan turned to NULL, with their text."""
+    kinds = {"status": INT, "priority": DATE}
+    schema = T.StructType([T.StructField(f.name, kinds.get(f.name, f.dataType)) for f in _ORDERS_CSV.fields])
+    checked = read_csv_checked(spark, _orders_file(spark, sf), schema, "lines")
+    return rejected_cells(checked, schema, "lines", keep=["order_key"]).drop("record")
+
+
 @query("csv_scan_multiline", "SELECT doc_id, text, source, n_chars FROM documents")
 def csv_scan_multiline(spark, sf):
     # Prose with commas, quotes and line breaks, one file per writing task.
@@ -195,6 +211,20 @@ def jdbc_append_roundtrip(spark, sf):
     return align_to_schema(back, customer.schema)
 
 
+@query(
+    "jdbc_append_once",
+    """SELECT s_suppkey, s_name, s_nationkey FROM supplier
+       UNION ALL SELECT s_suppkey, s_name, s_nationkey FROM supplier WHERE s_nationkey < 10""",
+)
+def jdbc_append_once(spark, sf):
+    """Two batches, the first of them tried twice."""
+    url, name = _test_database(spark), "stage_" + scratch_path(spark, "s").rsplit("-", 1)[1]
+    supplier = table(spark, sf, "supplier").select("s_suppkey", "s_name", "s_nationkey")
+    for batch, rows in (("one", supplier), ("one", supplier), ("two", supplier.where("s_nationkey < 10"))):
+        append_jdbc_once(rows, url, name, batch, connections=4)
+    return align_to_schema(read_jdbc(spark, url, name), supplier.schema)
+
+
 @query("append_twice", f"SELECT * FROM ({HEADERS_SQL}) UNION ALL SELECT * FROM ({HEADERS_SQL})")
 def append_twice(spark, sf):
     path = scratch_path(spark, "append")
@@ -483,6 +513,25 @@ def publish_roundtrip(spark, sf):
     )
 
 
+@query("upsert_parts", _UPSERT)
+def upsert_parts(spark, sf):
+    """Stored in folders by ranges of the key and files by its hash: a merge replaces the touched
+    folders and lists the others unchanged; the result is read by its name in the catalog."""
+    spec = TableSpec(
+        "lines", struct(k=LONG, v=DOUBLE, p=STRING), keys=("k",), part_key="k", part_bytes=1 << 18, dist_key="k", buckets=4
+    )
+    label = "parts_" + uuid.uuid4().hex[:12]
+    warehouse = Warehouse(spark, scratch_path(spark, "parts"), {"lines": spec}, database=label)
+    warehouse.publish({"lines": lines(spark, sf)})
+    warehouse.relayout("lines")
+    for half in ("k % 20 = 1", "k % 20 <> 1"):  # two batches, each in the parts it touches
+        state, batch = warehouse.snapshot(), headers(spark, sf).where(half)
+        parts = warehouse.touched("lines", batch, state)
+        merged = upsert(warehouse.read("lines", state, parts), batch, ["k"])
+        warehouse.publish({"lines": merged}, state=state, parts={"lines": parts} if parts else None)
+    return spark.table(f"{label}.lines")
+
+
 # -- surrogate keys -------------------------------------------------------------------
 
 
@@ -527,8 +576,8 @@ def check_not_null(spark, sf):
 
 @query("check_length", "SELECT p_partkey, p_name FROM part WHERE length(p_name) > 8")
 def check_length(spark, sf):
-    part = table(spark, sf, "part").select("p_partkey", "p_name")
-    return part.where(F.char_length("p_name") > 8)
+    spec = TableSpec("part", T.StructType([]), lengths={"p_name": 8})
+    return breaking_rows(table(spark, sf, "part").select("p_partkey", "p_name"), spec)
 
 
 @query(
@@ -563,6 +612,9 @@ def layout_bucketed(spark, sf):
         path = scratch_path(spark, f"bucketed-{label}")
         names[label] = "starmart_" + path.rsplit("/", 1)[1].replace("-", "_")
         write_bucketed(df, names[label], path, 8, "k")
+        found = {r[0]: r[1] for r in spark.sql(f"DESCRIBE EXTENDED {names[label]}").collect()}
+        if found.get("Num Buckets") != "8" or found.get("Bucket Columns") != "[`k`]":
+            raise ValueError(f"{names[label]} is not bucketed by k: {found}")
     return spark.table(names["s"]).join(spark.table(names["t"]), "k", "left_anti")
 
 
@@ -806,17 +858,34 @@ def job_budget_all_required(spark, sf):
     return budgets.clean_budgets(movie_source(spark, sf), required="all")
 
 
-@query(
-    "job_load_all",
-    f"""SELECT 'movies' AS name, count(*) AS n_rows FROM ({_CLEAN_MOVIES_SQL})
-        UNION ALL SELECT 'genre', count(DISTINCT o_orderstatus) FROM orders
-        UNION ALL SELECT 'movie_genre', count(*) FROM orders
-        UNION ALL SELECT 'date', count(DISTINCT CAST(o_orderdate AS DATE)) FROM orders
-        UNION ALL SELECT 'ratings', count(*) FROM (SELECT DISTINCT l_orderkey, l_linenumber FROM lineitem)
-        UNION ALL SELECT 'budgetrevenue', count(*) FROM orders""",
-)
+#: The columns that all six tables' rows are laid into.
+_COMMON = {"id": "BIGINT", "other": "BIGINT", "label": "VARCHAR", "day": "DATE", "a": "BIGINT", "b": "BIGINT", "x": "DOUBLE", "y": "DOUBLE"}
+_CELLS = {
+    "movies": {"id": "movie_id", "label": "concat_ws('|', is_adult, original_language, title)", "day": "release_date", "a": "vote_count", "x": "popularity", "y": "vote_average"},
+    "genre": {"id": "genre_id", "label": "genre_name"},
+    "movie_genre": {"id": "movie_id", "other": "genre_id"},
+    "date": {"id": "year", "other": "quarter * 100 + month", "day": "release_date", "a": "week", "b": "day"},
+    "ratings": {"id": "user_id", "other": "movie_id", "a": "user_movie_id", "x": "rating"},
+    "budgetrevenue": {"id": "movie_id", "a": "budget", "b": "revenue"},
+}
+_NUMBERED_SQL = "SELECT o_orderkey AS movie_id, CASE o_orderstatus WHEN 'F' THEN 1 WHEN 'O' THEN 2 ELSE 3 END AS genre_id, o_orderstatus AS genre_name FROM orders"
+_LOADED = {
+    "movies": _CLEAN_MOVIES_SQL,
+    "genre": f"SELECT DISTINCT genre_id, genre_name FROM ({_NUMBERED_SQL})",
+    "movie_genre": _NUMBERED_SQL,
+    "date": _NEW_DATES_SQL,
+    "ratings": _OLD_RATINGS_SQL,
+    "budgetrevenue": f"SELECT id AS movie_id, budget, revenue FROM ({MOVIES_SQL})",
+}
+
+
+def _laid(cells: dict[str, str]) -> str:
+    return ", ".join(f"CAST({cells.get(c, 'NULL')} AS {kind}) AS {c}" for c, kind in _COMMON.items())
+
+
+@query("job_load_all", " UNION ALL ".join(f"SELECT '{n}' AS name, {_laid(c)} FROM ({_LOADED[n]}) t" for n, c in _CELLS.items()))
 def job_load_all(spark, sf):
-    """CSV files in the shape of the movie and rating sources, loaded end to end."""
+    """CSV files in the shape of the movie and rating sources, loaded end to end; the rows of all six tables."""
     prefix = scratch_path(spark, "load")
     status = F.col("o_orderstatus")
     number = F.when(status == "F", 1).when(status == "O", 2).otherwise(3)
@@ -836,11 +905,9 @@ def job_load_all(spark, sf):
     write_csv(rated.select(*RATINGS_CSV.names), f"{prefix}/in/ratings.csv")
     warehouse = run_all(spark, f"{prefix}/in", f"{prefix}/out", f"{prefix}/warehouse")
     state = warehouse.snapshot()
-    counts = [
-        warehouse.read(name, state).agg(F.lit(name).alias("name"), F.count(F.lit(1)).alias("n_rows"))
-        for name in CLEAN_NAMES
-    ]
-    out = counts[0]
-    for c in counts[1:]:
-        out = out.unionByName(c)
+    out = None
+    for name, cells in _CELLS.items():
+        laid = [F.expr(cells.get(c, "NULL")).cast(kind.replace("VARCHAR", "STRING")).alias(c) for c, kind in _COMMON.items()]
+        rows = warehouse.read(name, state).select(F.lit(name).alias("name"), *laid)
+        out = rows if out is None else out.unionByName(rows)
     return out

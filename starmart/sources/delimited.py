@@ -46,7 +46,8 @@ def read_csv_checked(
 ) -> DataFrame:
     """As ``read_csv_typed``, with the text of every record that did not fit the schema.
 
-    ``__record`` is NULL where all cells parsed and the record had as many as the schema.
+    ``__record`` is NULL where all cells parsed and the record had as many as the schema.  Spark
+    does not answer a query of that column alone: use others with it, or write the rows first.
     """
     if dialect == "rfc4180_split":
         raise ValueError("records are kept by Spark's own reader only; choose another dialect")

@@ -31,8 +31,9 @@ from pyspark.sql import types as T
 from starmart.llm.exprs import col
 from starmart.scratch import materialize
 
-#: Entries of a task's table of ids by chunk; it is emptied when full.
-CACHED_CHUNKS = 600_000
+#: A task's table of ids by chunk: letters of a chunk that is kept at most, and of all of
+#: them together; it is emptied when full.
+CACHED_CHUNK, CACHED_LETTERS = 40, 5_000_000
 
 
 def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
@@ -72,6 +73,7 @@ class ChunkTokenizer(dict):
         self._tokenizer = Tokenizer.from_file(path)
         self._model = self._tokenizer.model
         self._spelling = _byte_letters()
+        self._letters = 0
 
     def __missing__(self, chunk: str) -> bytes:
         word, mark = (chunk[:-1], chunk[-1]) if chunk[-1:] in _MARKS else (chunk, "")
@@ -83,12 +85,15 @@ class ChunkTokenizer(dict):
         else:
             spelled = word if word.isascii() else word.translate(self._spelling)
             found = _bytes([t.id for t in self._model.tokenize(spelled)])
-        self[chunk] = found
+        if len(chunk) <= CACHED_CHUNK:
+            self._letters += len(chunk) + 1
+            self[chunk] = found
         return found
 
     def ids(self, text: str | None) -> bytes:
-        if len(self) > CACHED_CHUNKS:
+        if self._letters > CACHED_LETTERS:
             self.clear()
+            self._letters = 0
         return b"".join(map(self.__getitem__, (text or "").replace("\n", " ").split(" ")))
 
 
@@ -132,12 +137,54 @@ def pieces(docs: DataFrame, *, capacity: int, tokenizer: str, end_id: int, doc_i
     return slim.mapInArrow(cut, schema)
 
 
-def plan(counts: dict[int, int], capacity: int) -> list[tuple[tuple[int, ...], int]]:
-    """Which lengths share a sequence, and how many such sequences: a few per length."""
+Plan = list[tuple[tuple[int, ...], int]]
+
+
+def plan(counts: dict[int, int], capacity: int) -> Plan:
+    """Which lengths share a sequence, and how many such sequences: a few per length.
+
+    Exact complements taken from the longest length down can use up the short pieces that other
+    gaps need.  So best fit alone is planned over the same counts too, and the plan of fewer
+    sequences is taken; it is never above best fit.
+    """
+    made = [_exact(counts, capacity), _best_fit(counts, capacity)]
+    return min(made, key=lambda p: sum(times for _, times in p))
+
+
+def _best_fit(counts: dict[int, int], capacity: int) -> Plan:
+    """Best fit decreasing, many sequences of the same contents at once."""
+    open_by_gap: dict[int, Plan] = {}
+
+    def put(lengths: tuple[int, ...], times: int) -> None:
+        if times:
+            open_by_gap.setdefault(capacity - sum(lengths), []).append((lengths, times))
+
+    for length in sorted(counts, reverse=True):
+        n = counts[length]
+        while n:
+            gap = min((g for g in open_by_gap if g >= length), default=None)
+            if gap is None:
+                lengths, times, gap = (), n, capacity
+            else:
+                lengths, times = open_by_gap[gap].pop()
+                if not open_by_gap[gap]:
+                    del open_by_gap[gap]
+            # A sequence is the best fit for the next piece too, until it has no more room.
+            each = min(gap // length, n)
+            full = min(times, n // each)
+            put(lengths + (length,) * each, full)
+            n, rest = n - full * each, times - full
+            if lengths:
+                put(lengths, rest)
+    return [group for groups in open_by_gap.values() for group in groups]
+
+
+def _exact(counts: dict[int, int], capacity: int) -> Plan:
+    """Exact complements first, then best fit of what is left."""
     left = np.zeros(capacity + 1, dtype=np.int64)
     for length, n in counts.items():
         left[length] = n
-    packed: list[tuple[tuple[int, ...], int]] = []
+    packed: Plan = []
 
     def consume(lengths: tuple[int, ...]) -> None:
         used = Counter(lengths)
@@ -187,7 +234,7 @@ def plan(counts: dict[int, int], capacity: int) -> list[tuple[tuple[int, ...], i
     return packed
 
 
-def _ranges(packed: list[tuple[tuple[int, ...], int]]) -> dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]]:
+def _ranges(packed: Plan) -> dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]]:
     """Per length, by the first rank of each range: that rank, its sequence and its offset."""
     used: Counter = Counter()
     found: dict[int, list[tuple[int, int, int]]] = {}

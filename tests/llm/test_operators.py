@@ -220,6 +220,33 @@ def test_packing_plan_fills_gaps():
     assert used == {60: 3, 40: 2, 25: 2, 15: 1, 100: 4}
 
 
+def test_packing_plan_is_never_above_best_fit():
+    rng = np.random.default_rng(4)
+    for _ in range(150):
+        capacity = int(rng.choice([20, 64, 200, 2048]))
+        items = np.clip(rng.exponential(capacity / rng.integers(2, 6), int(rng.integers(0, 250))).astype(int) + 1, 1, capacity).tolist()
+        gaps = []  # best fit decreasing, a piece at a time
+        for x in sorted(items, reverse=True):
+            fit = min((g for g in gaps if g >= x), default=None)
+            if fit is not None:
+                gaps.remove(fit)
+            gaps.append((capacity if fit is None else fit) - x)
+        made = packing.plan(dict(Counter(items)), capacity)
+        used = Counter()
+        for lengths, n in made:
+            assert sum(lengths) <= capacity
+            for x in lengths:
+                used[x] += n
+        assert used == Counter(items) and sum(n for _, n in made) <= len(gaps)
+
+
+def test_long_chunks_are_not_cached():
+    tokens = packing.ChunkTokenizer(packing.tokenizer_path())
+    whole = tokens._tokenizer.encode("x" * 5_000 + " word " + "字" * 3_000, add_special_tokens=False).ids
+    assert tokens.ids("x" * 5_000 + " word " + "字" * 3_000) == packing._bytes(whole)
+    assert max(map(len, tokens)) <= packing.CACHED_CHUNK
+
+
 def test_hash_ring(docs):
     rows = hash_ring.assign(docs, shards=5, nodes=16).collect()
     by = {}

@@ -1,6 +1,7 @@
 """``python -m starmart JOB --input PREFIX --output PREFIX``; ``all`` also merges.
 
-``python -m starmart merge [GROUP ...] --warehouse ROOT`` merges what is staged already.
+``python -m starmart merge [GROUP ...] --warehouse ROOT`` merges what is staged already,
+``python -m starmart vacuum --warehouse ROOT --hours N`` deletes what nothing refers to.
 """
 
 from __future__ import annotations
@@ -11,12 +12,13 @@ from pyspark.sql import SparkSession
 
 from starmart.plans.load import JOBS, MERGES, merge_all, run_all, run_job
 from starmart.schemas import RATING_TYPE, T, warehouse_specs
+from starmart.scratch import remove_old
 from starmart.warehouse import Warehouse
 
 
 def main(argv: list[str] | None = None) -> None:
     parser = argparse.ArgumentParser(prog="starmart")
-    parser.add_argument("job", choices=[*JOBS, "all", "merge"])
+    parser.add_argument("job", choices=[*JOBS, "all", "merge", "vacuum"])
     parser.add_argument("groups", nargs="*", help="what to merge (default: all that is staged)")
     parser.add_argument("--input", default="/source", help="prefix of the CSV files")
     parser.add_argument("--output", default="/output", help="prefix of the clean datasets")
@@ -36,6 +38,8 @@ def main(argv: list[str] | None = None) -> None:
         metavar="PRECISION,SCALE", help="decimal type of a stored rating",
     )
     parser.add_argument("--database", help="also show the warehouse tables as views in this database")
+    parser.add_argument("--rejects", action="store_true", help="with 'all': also write the cells that did not parse")
+    parser.add_argument("--hours", type=float, default=168.0, help="for 'vacuum': the age from which on")
     parser.add_argument("--packages", help="connector packages for a new session")
     parser.add_argument("--jdbc-url", help="also append the clean data to staging tables here")
     parser.add_argument("--jdbc-schema", default="movies", help="schema of those tables")
@@ -73,11 +77,15 @@ def main(argv: list[str] | None = None) -> None:
             dedupe=dedupe,
             rating_type=rating_type,
             database=args.database,
+            rejects=args.rejects,
             **options,
         )
     elif args.job == "merge":
         warehouse = Warehouse(spark, args.warehouse, warehouse_specs(rating_type), args.database)
         merge_all(warehouse, args.groups or None, args.on_violation, dedupe)
+    elif args.job == "vacuum":
+        gone = Warehouse(spark, args.warehouse, warehouse_specs(rating_type)).vacuum(args.hours)
+        print("\n".join([*gone, *remove_old(spark, args.hours)]))
     else:
         run_job(spark, args.job, args.input, args.output, **options)
 

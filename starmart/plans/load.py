@@ -18,7 +18,7 @@ from starmart.operators.quality import ConstraintError, conform, enforce, observ
 from starmart.plans import budgets, dates, genres, movies, ratings
 from starmart.schemas import MOVIES_CSV, RATING_TYPE, RATINGS_CSV, warehouse_specs
 from starmart.scratch import Scratch
-from starmart.sources.delimited import read_csv_typed
+from starmart.sources.delimited import LOST, RECORD, lost_cells, read_csv_checked, read_csv_typed, rejected_rows
 from starmart.sources.files import create_new, delete, read_bytes
 from starmart.sources.jdbc import append_jdbc, append_jdbc_once
 from starmart.sources.parquet import read_parquet, write_parquet
@@ -175,6 +175,22 @@ def close_output(spark: SparkSession, output: str) -> None:
     create_new(spark, f"{output.rstrip('/')}/_steps/closed.json", b"{}")
 
 
+def read_checked(
+    spark: SparkSession, input: str, source: str, dialects: Mapping[str, str] | None, columns: list[str] | None
+) -> DataFrame:
+    """A source with what did not parse beside its rows (see ``rejected_rows``)."""
+    file, schema, dialect = SOURCES[source]
+    dialect = (dialects or {}).get(source, dialect)
+    checked = read_csv_checked(spark, f"{input.rstrip('/')}/{file}", schema, dialect)
+    return checked.select(*(columns or schema.names), RECORD, lost_cells(schema, dialect).alias(LOST))
+
+
+def write_rejects(parsed: DataFrame, output: str, source: str, key: str) -> None:
+    """The cells of a source that were read as NULL, with their text, below ``<output>/_rejected``."""
+    path = f"{output.rstrip('/')}/_rejected/{source}.parquet"
+    rejected_rows(parsed, [key]).write.mode("overwrite").parquet(path)
+
+
 def run_cleaning(
     spark: SparkSession,
     input: str = "/source",
@@ -183,12 +199,15 @@ def run_cleaning(
     dialects: Mapping[str, str] | None = None,
     jdbc: Mapping[str, object] | None = None,
     keep_open: bool = False,
+    rejects: bool = False,
 ) -> dict[str, Clean]:
     """All clean-up jobs.  The movie file is parsed once into columnar form for the four
     jobs that read it.
 
     A run that failed can be called again with the same arguments: jobs that had finished are
     not repeated.  Once all have, and ``keep_open`` is not set, the output takes no further run.
+    ``rejects`` also writes the cells that did not parse (``write_rejects``); the sources are
+    still parsed once.
     """
     if read_bytes(spark, f"{output.rstrip('/')}/_steps/closed.json") is not None:
         raise FileExistsError(f"PATH_ALREADY_EXISTS: {output} holds the outputs of a finished run")
@@ -201,14 +220,26 @@ def run_cleaning(
     ]
 
     def movie_jobs() -> list[dict[str, Clean]]:
-        wide = read_source(spark, input, "movies", dialects)
+        columns = None if required == "all" else used
         names = [n for n, job in JOBS.items() if job.source == "movies"]
         with Scratch(spark) as scratch:
-            parsed = scratch.table(wide if required == "all" else wide.select(*used), "movies-source")
+            if rejects:
+                parsed = scratch.table(read_checked(spark, input, "movies", dialects, columns), "movies-source")
+                write_rejects(parsed, output, "movies", "id")
+                parsed = parsed.drop(RECORD, LOST)
+            else:
+                wide = read_source(spark, input, "movies", dialects)
+                parsed = scratch.table(wide.select(*columns) if columns else wide, "movies-source")
             return _side_by_side(spark, [partial(run, n, source=parsed) for n in names])
 
     def rating_jobs() -> list[dict[str, Clean]]:
-        return [run(n) for n, job in JOBS.items() if job.source == "ratings"]
+        names = [n for n, job in JOBS.items() if job.source == "ratings"]
+        if not rejects:
+            return [run(n) for n in names]
+        with Scratch(spark) as scratch:
+            parsed = scratch.table(read_checked(spark, input, "ratings", dialects, None), "ratings-source")
+            write_rejects(parsed, output, "ratings", "userId")
+            return [run(n, source=parsed.drop(RECORD, LOST)) for n in names]
 
     found = _side_by_side(spark, [movie_jobs, rating_jobs])
     if not keep_open:
@@ -402,6 +433,7 @@ def run_all(
     dialects: Mapping[str, str] | None = None,
     jdbc: Mapping[str, object] | None = None,
     database: str | None = None,
+    rejects: bool = False,
 ) -> Warehouse:
     """Create what is missing, clean all sources, merge everything.
 
@@ -412,7 +444,7 @@ def run_all(
     warehouse = Warehouse(spark, warehouse_root, warehouse_specs(rating_type), database)
     require_nothing_staged(warehouse)
     warehouse.create_if_absent()
-    stage_clean(warehouse, run_cleaning(spark, input, output, required, dialects, jdbc, keep_open=True))
+    stage_clean(warehouse, run_cleaning(spark, input, output, required, dialects, jdbc, True, rejects))
     close_output(spark, output)
     merge_all(warehouse, on_violation=on_violation, dedupe=dedupe)
     return warehouse

@@ -2,7 +2,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -20,6 +20,8 @@ DIALECTS = {
 
 #: The record's text beside its typed cells, where one of them did not parse.
 RECORD = "__record"
+#: And the cells that did not.
+LOST = "__lost"
 
 
 def read_csv_typed(
@@ -64,17 +66,32 @@ def rejected_cells(
 
     A record that has too few or too many cells, and no bad one, is one row with a NULL column.
     """
-    bad = checked.where(F.col(RECORD).isNotNull())
+    marked = checked.withColumn(LOST, lost_cells(schema, dialect))
+    return rejected_rows(marked, keep)
+
+
+def lost_cells(schema: T.StructType, dialect: str = "rfc4180") -> Column:
+    """Of a row of ``read_csv_checked`` the array of (column, value) of the cells that did not parse.
+
+    NULL for a record that fits.  Rows can be stored with it, so that no file is parsed twice.
+    """
     text = ", ".join(f"`c{i}` STRING" for i in range(len(schema.fields)))
     cells = F.from_csv(F.col(RECORD), text, {"mode": "PERMISSIVE", "columnPruning": "false", **DIALECTS[dialect]})
-    bad = bad.withColumn("__cells", cells)
-    lost = [
-        F.when(F.col(f"`{f.name}`").isNull() & F.col(f"__cells.c{i}").isNotNull(), F.struct(F.lit(f.name).alias("column"), F.col(f"__cells.c{i}").alias("value")))
-        for i, f in enumerate(schema.fields)
-    ]
-    found = F.filter(F.array(*lost), lambda x: x.isNotNull())
-    each = bad.select(*[f"`{c}`" for c in keep], F.explode_outer(found).alias("__lost"), F.col(RECORD).alias("record"))
-    return each.select(*[f"`{c}`" for c in keep], "__lost.column", "__lost.value", "record")
+    lost = F.array(
+        *[
+            F.when(F.col(f"`{f.name}`").isNull(), F.struct(F.lit(f.name).alias("column"), cells.getField(f"c{i}").alias("value")))
+            for i, f in enumerate(schema.fields)
+        ]
+    )
+    return F.when(F.col(RECORD).isNotNull(), F.filter(lost, lambda x: x["value"].isNotNull()))
+
+
+def rejected_rows(marked: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
+    """``rejected_cells`` of rows that carry ``__record`` and, as ``__lost``, their ``lost_cells``."""
+    names = [f"`{c}`" for c in keep]
+    bad = marked.where(F.col(LOST).isNotNull())
+    each = bad.select(*names, F.explode_outer(LOST).alias("__cell"), F.col(RECORD).alias("record"))
+    return each.select(*names, "__cell.column", "__cell.value", "record")
 
 
 def write_csv(df: DataFrame, path: str, mode: str = "errorifexists") -> None:

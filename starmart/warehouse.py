@@ -115,8 +115,10 @@ class Warehouse:
         None for a table without parts.  At most one number per part reaches the driver.
         """
         entry = (self.snapshot() if state is None else state).get(name)
-        if entry is None or entry.part_key is None or not entry.bounds:
+        if entry is None or entry.part_key is None:
             return None
+        if not entry.bounds:
+            return [0]
         kind = entry.schema[entry.part_key].dataType
         part = part_of(F.col(_quote(entry.part_key)).cast(kind), kind, entry.bounds)
         return sorted(r[0] for r in source.select(part).distinct().collect())

@@ -78,6 +78,16 @@ def test_parts_that_have_grown_are_cut_when_rewritten(spark, parted):
         assert (low is None or ends[0] >= low) and (high is None or ends[1] < high)
 
 
+def test_a_table_gets_its_parts_by_being_merged(spark, tmp_path):
+    wh = Warehouse(spark, str(tmp_path / "wh"), {"t": spec()})
+    wh.create_if_absent()
+    for start in (0, 100, 20_000):
+        state, source = wh.snapshot(), rows(spark, start, start + 20_000)
+        parts = wh.touched("t", source, state)
+        wh.publish({"t": upsert(wh.read("t", state, parts), source, ["k"])}, state=state, parts={"t": parts})
+    assert len(wh.snapshot()["t"].bounds) > 10 and wh.read("t").count() == 40_000
+
+
 def test_appends_go_to_their_parts(spark, parted):
     parted.publish(append={"t": rows(spark, -5, 0)})
     assert parted.read("t", parts=[0]).where("k < 0").count() == 5

@@ -88,6 +88,20 @@ def test_a_load_reads_each_stage_once(spark, tmp_path, monkeypatch):
     spark.sql("DROP DATABASE load_test CASCADE")
 
 
+def test_a_load_keeps_what_did_not_parse(spark, tmp_path):
+    from starmart.__main__ import main
+
+    plain = run_all(spark, str(DATA), str(tmp_path / "o1"), str(tmp_path / "w1"), on_violation="drop")
+    main(["all", "--input", str(DATA), "--output", str(tmp_path / "o2"), "--warehouse", str(tmp_path / "w2"), "--on-violation", "drop", "--rejects"])
+    for table in CLEAN_NAMES:
+        assert bag(load.Warehouse(spark, str(tmp_path / "w2")).read(table)) == bag(plain.read(table))
+    cells = spark.read.parquet(str(tmp_path / "o2" / "_rejected" / "movies.parquet"))
+    assert cells.columns == ["id", "column", "value", "record"] and cells.where("column = 'id'").count() > 0
+    assert cells.where("value IS NULL AND column IS NOT NULL").isEmpty()
+    spark.read.parquet(str(tmp_path / "o2" / "_rejected" / "ratings.parquet")).count()
+    main(["vacuum", "--warehouse", str(tmp_path / "w2"), "--hours", "100"])
+
+
 def test_a_batch_arrives_once(spark):
     url = "jdbc:derby:memory:once;create=true"
     df = spark.range(50).select(F.col("id").alias("K"), F.concat(F.lit("n"), "id").alias("V"))

@@ -20,6 +20,8 @@ join components while there is much to scan.
 Every link is decided on whole sets.  Lists are streamed, not gathered; only sizes up to
 ``LIGHT_MOST`` and a fixed-size filter of set numbers pass through the driver.
 
+A text's words are cut and hashed once for its postings and its own row, which travel together.
+
 NULL, empty and blank texts have empty sets, linked with nothing.  Repeated rows are
 linked; NULL ids are never the smallest of a component unless all its ids are NULL.
 """
@@ -33,12 +35,17 @@ from math import comb
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+import pyarrow.compute as pc
+import xxhash
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
+from starmart.llm.bits import mix
 from starmart.llm.components import components
-from starmart.llm.exprs import SPACE, ascii_lower, col, let, packed, starts, unpacked, words
-from starmart.scratch import materialize
+from starmart.llm.exprs import col, packed, unpacked
+from starmart.llm.skew import attach
+from starmart.scratch import Scratch, materialize
 
 #: Sizes above this are always heavy: a set of 20 has over a thousand subsets to try.
 LIGHT_MOST = 19
@@ -50,37 +57,39 @@ LIST_BLOCK = 2_000
 #: Cross-component pairs per list entry up to which open lists are scanned without a new hub.
 _SCAN = 2_000
 _FILTER_BITS = 1 << 26
+#: Bytes of a text that counts as short.
+_SHORT = 2_000
+#: Code of a text's own row among the postings.
+_DOC = 1 << 30
 
 
-def shingles(text: Column, n: int) -> Column:
-    """Hashes of all runs of ``n`` words; of the whole sequence if there are fewer."""
-
-    def of(w: Column) -> Column:
-        runs = F.transform(starts(w, n), lambda i: F.xxhash64(*[F.get(w, i - 1 + o) for o in range(n)]))
-        whole = F.array(F.xxhash64(F.lit("whole"), F.array_join(w, " ")))
-        return F.when(F.size(w) >= n, runs).when(F.size(w) > 0, whole).otherwise(F.array().cast("array<bigint>"))
-
-    return let(words(ascii_lower(text), SPACE), of)
+def shingles(text: bytes | None, n: int) -> np.ndarray:
+    """Hashes of the different runs of ``n`` words, sorted; of the whole sequence if there are fewer words."""
+    words = text.lower().split() if text else []  # of bytes: only ASCII is lower-cased, only ASCII space splits
+    if not words:
+        return np.empty(0, np.uint64)
+    digest, join = xxhash.xxh64_intdigest, b" ".join
+    if len(words) < n:
+        return np.array([digest(join(words), 1)], np.uint64)
+    runs = zip(*[words[i:] for i in range(n)], strict=False)
+    return np.unique(np.fromiter((digest(join(r)) for r in runs), np.uint64, len(words) - n + 1))
 
 
-def _mix(x: np.ndarray, seed: int) -> np.ndarray:
-    """A 64-bit finalizer; two seeds make two independent hashes."""
-    with np.errstate(over="ignore"):
-        x = x + np.uint64(seed * 0x9E3779B97F4A7C15 & 0xFFFFFFFFFFFFFFFF)
-        x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-        x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-        return x ^ (x >> np.uint64(31))
+def _texts(column: pa.Array, n: int) -> Iterator[np.ndarray]:
+    for text in column.cast(pa.binary()):
+        yield shingles(text.as_py(), n)
 
 
 def _sets(column: pa.ListArray) -> Iterator[np.ndarray]:
+    """Stored sets, which are sorted and hold no element twice."""
     values, at = column.values.to_numpy(zero_copy_only=False).view(np.uint64), column.offsets.to_numpy()
     for a, b in zip(at[:-1], at[1:], strict=True):
-        yield np.unique(values[a:b])
+        yield values[a:b]
 
 
 def _number(s: np.ndarray, seed: int) -> int:
     """64 bits that stand for a set."""
-    return int(np.add.reduce(_mix(s, seed), dtype=np.uint64))
+    return int(np.add.reduce(mix(s, seed), dtype=np.uint64))
 
 
 def _signed(values: list[int] | np.ndarray) -> pa.Array:
@@ -118,16 +127,16 @@ class Threshold:
 
 def _subsets(s: np.ndarray, t: Threshold) -> Iterator[tuple[int, int]]:
     """Key and code of each subset that can be the intersection; code: missing + 256 x may_miss."""
-    n, mixed = s.size, _mix(s, 3)
+    n, mixed = s.size, mix(s, 3)
     total = np.add.reduce(mixed, dtype=np.uint64)
     for missing in range(t.miss * n // 100 + 1):
         room = t.may_miss(n - missing)
         if missing > room:
             continue
-        size = int(_mix(np.uint64([n - missing]), 5)[0])
+        size = int(mix(np.uint64([n - missing]), 5)[0])
         out = np.array([sum(map(int, x)) & 0xFFFFFFFFFFFFFFFF for x in combinations(mixed, missing)], dtype=np.uint64)
         with np.errstate(over="ignore"):
-            keys = _mix(total - out + np.uint64(size), 7)
+            keys = mix(total - out + np.uint64(size), 7)
         for key in keys:
             yield int(key), missing + 256 * room
 
@@ -140,16 +149,16 @@ def _block_keys(s: np.ndarray, t: Threshold) -> tuple[np.ndarray, np.ndarray]:
         if cls < 0:
             continue
         n, spare = t.blocks(top)
-        block = (_mix(s, 11 + cls) % np.uint64(n)).astype(np.int64)
+        block = (mix(s, 11 + cls) % np.uint64(n)).astype(np.int64)
         order = np.argsort(block, kind="stable")
         first = np.flatnonzero(np.diff(block[order], prepend=-1))
         at = block[order][first].astype(np.uint64)
-        sums = np.add.reduceat(_mix(s, 13)[order], first)
+        sums = np.add.reduceat(mix(s, 13)[order], first)
         if n - at.size > spare:  # so many empty blocks that a partner may agree on these alone
             empty = np.setdiff1d(np.arange(n, dtype=np.uint64), at)
             at, sums = np.concatenate([at, empty]), np.concatenate([sums, np.zeros(empty.size, np.uint64)])
         with np.errstate(over="ignore"):
-            found.append(_mix(sums + _mix(at + np.uint64(cls << 32), 17), 19))
+            found.append(mix(sums + mix(at + np.uint64(cls << 32), 17), 19))
         codes.append(np.full(at.size, -1 - cls, dtype=np.int32))
     return np.concatenate(found), np.concatenate(codes)
 
@@ -171,16 +180,24 @@ def light_up_to(sizes: dict[int, int], t: Threshold) -> int:
     return min(range(LIGHT_MOST + 1), key=lambda x: (cost(x), x))
 
 
-def _postings(sh: DataFrame, light: int, t: Threshold) -> DataFrame:
-    """``key, code, sid`` of every set's subsets and blocks."""
+def _postings(texts: DataFrame, n: int, light: int, t: Threshold) -> DataFrame:
+    """``key, code, sid`` of every set's subsets and blocks, and a row of code ``_DOC`` for every text.
+
+    That row's ``doc`` has the text's id, the set's size, a second number of the set, and the
+    text's mark; it has a key of its own.
+    """
+    kind = pa.struct([("doc_id", to_arrow_type(texts.schema["doc_id"].dataType)), ("n", pa.int64()), ("check", pa.int64()), ("mark", pa.int64())])
+    doc = f"struct<doc_id: {texts.schema['doc_id'].dataType.simpleString()}, n: bigint, check: bigint, mark: bigint>"
 
     def post(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names = ["key", "code", "sid", "doc"]
         for batch in batches:
-            keys, codes, sids = [], [], []
-            for s in _sets(batch.column(0)):
+            keys, codes, sids, told = [], [], [], []
+            for s in _texts(batch.column(1), n):
+                sid = _number(s, 1)
+                told.append((s.size, sid, _number(s, 2)))
                 if not s.size:
                     continue
-                sid = _number(s, 1)
                 if s.size <= light:
                     k, c = zip(*_subsets(s, t), strict=True)
                     keys.append(np.array(k, dtype=np.uint64))
@@ -191,19 +208,34 @@ def _postings(sh: DataFrame, light: int, t: Threshold) -> DataFrame:
                     keys.append(k)
                     codes.append(c)
                     sids.append(np.full(k.size, sid, dtype=np.uint64))
+            if told:
+                size, sid, check = (np.array(x, np.uint64) for x in zip(*told, strict=True))
+                own = mix(sid + np.arange(sid.size, dtype=np.uint64), 29)
+                rows = [batch.column(0).cast(kind.field(0).type), pa.array(size.astype(np.int64)), _signed(check), batch.column(2)]
+                rows = pa.StructArray.from_arrays(rows, fields=list(kind))
+                yield pa.RecordBatch.from_arrays([_signed(own), pa.array(np.full(sid.size, _DOC, np.int32)), _signed(sid), rows], names=names)
             if keys:
-                columns = [_signed(np.concatenate(keys)), pa.array(np.concatenate(codes)), _signed(np.concatenate(sids))]
-                yield pa.RecordBatch.from_arrays(columns, names=["key", "code", "sid"])
+                codes = np.concatenate(codes)
+                columns = [_signed(np.concatenate(keys)), pa.array(codes), _signed(np.concatenate(sids)), pa.nulls(codes.size, kind)]
+                yield pa.RecordBatch.from_arrays(columns, names=names)
 
-    return sh.mapInArrow(post, "key long, code int, sid long")
+    return texts.select("doc_id", "text", "mark").mapInArrow(post, f"key long, code int, sid long, doc {doc}")
 
 
 def _stars(postings: DataFrame) -> DataFrame:
-    """``key, hub, sid, code``: each list's first set with each other one; lists of one set vanish."""
+    """``key, hub, sid, code``: each list's first set with each other one; lists of one set vanish.
+
+    Rows of texts pass through.
+    """
 
     def star(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last = None  # key, code and sid of the hub of the list that goes on
         for batch in batches:
+            told = pc.equal(batch.column(1), _DOC)
+            docs = batch.filter(told)
+            if docs.num_rows:
+                yield pa.RecordBatch.from_arrays([docs.column(i) for i in (0, 2, 2, 1, 3)], names=["key", "hub", "sid", "code", "doc"])
+            batch = batch.filter(pc.invert(told))
             key, code, sid = (batch.column(i).to_numpy() for i in range(3))
             if not key.size:
                 continue
@@ -220,45 +252,47 @@ def _stars(postings: DataFrame) -> DataFrame:
             keep[1:] &= (key[1:] != key[:-1]) | (sid[1:] != sid[:-1]) | ~keep[:-1]
             if keep.any():
                 columns = [pa.array(x[keep]) for x in (key, hub[group], sid, code)]
-                yield pa.RecordBatch.from_arrays(columns, names=["key", "hub", "sid", "code"])
+                yield pa.RecordBatch.from_arrays([*columns, batch.column(3).filter(pa.array(keep))], names=["key", "hub", "sid", "code", "doc"])
 
-    dealt = postings.repartition(postings.sparkSession.sparkContext.defaultParallelism * 4, "key")
-    return dealt.sortWithinPartitions("key", "code", "sid").mapInArrow(star, "key long, hub long, sid long, code int")
+    kind = postings.schema["doc"].dataType.simpleString()
+    dealt = postings.repartition("key").sortWithinPartitions("key", "code", "sid")
+    return dealt.mapInArrow(star, f"key long, hub long, sid long, code int, doc {kind}")
 
 
-def _filter(sids: DataFrame) -> np.ndarray:
-    """A fixed number of bits, set where a wanted set number falls; wanted sets always pass."""
-    slot = F.shiftright(F.col("sid").bitwiseAND(F.lit(_FILTER_BITS - 1)), 6)
-    words64 = sids.groupBy(slot.cast("int").alias("slot")).agg(F.bit_or(F.expr("shiftleft(1L, int(sid & 63))")).alias("bits"))
+def _filter(marks: DataFrame) -> np.ndarray:
+    """A fixed number of bits, set where a wanted mark falls; wanted marks always pass."""
+    slot = F.shiftright(F.col("mark").bitwiseAND(F.lit(_FILTER_BITS - 1)), 6)
+    words64 = marks.groupBy(slot.cast("int").alias("slot")).agg(F.bit_or(F.expr("shiftleft(1L, int(mark & 63))")).alias("bits"))
     found = np.zeros(_FILTER_BITS >> 6, dtype=np.uint64)
     for r in words64.toLocalIterator():
         found[r["slot"]] = np.int64(r["bits"]).view(np.uint64)
     return found
 
 
-def _wanted(sh: DataFrame, sids: DataFrame) -> DataFrame:
-    """``sid, set`` of the sets that may be among ``sids``; a copy per task at most, mostly."""
-    bits = sh.sparkSession.sparkContext.broadcast(_filter(sids))
+def _wanted(texts: DataFrame, marks: DataFrame, n: int) -> DataFrame:
+    """``sid, set`` of the texts that may have one of the marks, each set once."""
+    bits = texts.sparkSession.sparkContext.broadcast(_filter(marks))
 
     def pick(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
         for batch in batches:
-            numbers, found = [], []
-            for s in _sets(batch.column(0)):
-                sid = _number(s, 1)
-                slot = (sid & (_FILTER_BITS - 1)) >> 6
-                if s.size and int(bits.value[slot]) >> (sid & 63) & 1 and sid not in seen:
+            mark = batch.column(1).to_numpy().view(np.uint64)
+            slot = ((mark & np.uint64(_FILTER_BITS - 1)) >> np.uint64(6)).astype(np.int64)
+            passes = (bits.value[slot] >> (mark & np.uint64(63))) & np.uint64(1) == 1
+            new = []
+            for i in np.flatnonzero(passes).tolist():
+                if int(mark[i]) not in seen:
                     if len(seen) >= 100_000:
                         seen.clear()
-                    seen.add(sid)
-                    numbers.append(sid)
-                    found.append(s.view(np.int64))
-            if numbers:
+                    seen.add(int(mark[i]))
+                    new.append(i)
+            found = [s for s in _texts(batch.column(0).take(pa.array(new, pa.int64())), n) if s.size]
+            if found:
                 ends = np.cumsum([0, *map(len, found)])
-                sets = pa.LargeListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(found))).cast(pa.list_(pa.int64()))
-                yield pa.RecordBatch.from_arrays([_signed(numbers), sets], names=["sid", "set"])
+                sets = pa.LargeListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(found).view(np.int64))).cast(pa.list_(pa.int64()))
+                yield pa.RecordBatch.from_arrays([_signed([_number(s, 1) for s in found]), sets], names=["sid", "set"])
 
-    return sh.mapInArrow(pick, "sid long, set array<long>")
+    return texts.select("text", "mark").mapInArrow(pick, "sid long, set array<long>").dropDuplicates(["sid"])
 
 
 def _near(pairs: DataFrame, signs: DataFrame, t: Threshold) -> DataFrame:
@@ -301,7 +335,7 @@ def _compare(sets: DataFrame, pairs: DataFrame, t: Threshold) -> DataFrame:
             if found:
                 yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in zip(*found, strict=True)], names=["a", "b"])
 
-    dealt = rows.repartition(sets.sparkSession.sparkContext.defaultParallelism * 4, "hub", "share")
+    dealt = rows.repartition("hub", "share")
     return dealt.sortWithinPartitions("hub", "share", "no", "sid").mapInArrow(compare, "a long, b long").distinct()
 
 
@@ -311,7 +345,7 @@ def _parity(s: np.ndarray, cls: int, t: Threshold) -> bytes:
     for _ in range(cls):
         low = 100 * low // t.percent + 1
     bits = 1 << max(6, (2 * low).bit_length())
-    slots = np.bincount((_mix(s, 23) % np.uint64(bits)).astype(np.int64), minlength=bits) & 1
+    slots = np.bincount((mix(s, 23) % np.uint64(bits)).astype(np.int64), minlength=bits) & 1
     return np.packbits(slots.astype(np.uint8)).tobytes()
 
 
@@ -344,7 +378,7 @@ def _scan(signs: DataFrame, members: DataFrame, t: Threshold) -> DataFrame:
     dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     dealt = dealt.select("key", "code", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "sid", "root", "n", "bits", "lists")
     names = ["key", "code", "i", "j"]
-    dealt = dealt.repartition(signs.sparkSession.sparkContext.defaultParallelism * 4, *names).sortWithinPartitions(*names, "own")
+    dealt = dealt.repartition(*names).sortWithinPartitions(*names, "own")
 
     def near(rows: list[tuple]) -> Iterator[tuple[int, int]]:
         key, _, i, j, own, sid, root, n, bits, lists = zip(*rows, strict=True)
@@ -390,67 +424,77 @@ def _roots(members: DataFrame, links: DataFrame) -> DataFrame:
     return members.join(roots, members["sid"] == roots["node"], "left").select("key", "code", "sid", F.coalesce("root", "sid").alias("root"))
 
 
-def links(sh: DataFrame, sizes: dict[int, int], t: Threshold) -> DataFrame:
+def links(texts: DataFrame, lists: DataFrame, n: int, t: Threshold, scratch: Scratch) -> DataFrame:
     """``a, b``: links between sets that connect whatever is connected."""
-    light = light_up_to({n: k for n, k in sizes.items() if n <= 2 * LIGHT_MOST}, t)
-    stars = materialize(_stars(_postings(sh, light, t)), "lists")
+    stars = lists.where(F.col("code") != _DOC).drop("doc")
     listed = stars.select(F.explode(F.array("hub", "sid")).alias("sid")).distinct()
-    # their sets are used several times, the texts read once more for them
-    sets = materialize(_wanted(sh, listed).join(listed, "sid", "left_semi"), "listed-sets")
+    # One text of each listed set is read and cut up again; the sets are used several times.
+    told = lists.where(F.col("code") == _DOC).groupBy("sid").agg(F.min("doc.mark").alias("mark"))
+    listed = scratch.table(told.join(listed, "sid", "left_semi"), "listed")
+    sets = scratch.table(_wanted(texts, listed, n).join(listed, "sid", "left_semi"), "listed-sets")
+    scratch.drop(listed)
     heavy = stars.where("code < 0")
-    signs = materialize(_parities(sets, t), "parities")
-    found = [materialize(_compare(sets, _near(stars.select("hub", "sid", "code"), signs, t), t), "links")]
+    signs = scratch.table(_parities(sets, t), "parities")
+    found = [scratch.table(_compare(sets, _near(stars.select("hub", "sid", "code"), signs, t), t), "links")]
     members = heavy.select("key", "code", "sid").unionAll(heavy.select("key", "code", F.col("hub").alias("sid"))).distinct()
-    members = materialize(_unlike(members), "members")
+    members = scratch.table(_unlike(members), "members")
     for number in range(HUB_ROUNDS + 1):
-        rooted = materialize(_roots(members, reduce(DataFrame.unionAll, found)), "list-roots")
+        rooted = scratch.table(_roots(members, reduce(DataFrame.unionAll, found)), "list-roots")
+        scratch.drop(members)
         parts = rooted.groupBy("key", "code", "root").agg(F.count("*").alias("n"))
-        lists = parts.groupBy("key", "code").agg(F.sum("n").alias("n"), F.sum(F.col("n") * F.col("n")).alias("within"), F.count("*").alias("parts"))
-        lists = lists.where("parts > 1")
-        total = lists.agg(F.sum("n").alias("n"), F.sum((F.col("n") * F.col("n") - F.col("within")) / 2).alias("cross")).first()
+        open_lists = parts.groupBy("key", "code").agg(F.sum("n").alias("n"), F.sum(F.col("n") * F.col("n")).alias("within"), F.count("*").alias("parts"))
+        open_lists = open_lists.where("parts > 1")
+        total = open_lists.agg(F.sum("n").alias("n"), F.sum((F.col("n") * F.col("n") - F.col("within")) / 2).alias("cross")).first()
         if not total["n"]:
             break
-        members = materialize(rooted.join(lists.select("key", "code"), ["key", "code"]), "open-lists")
+        members = scratch.table(rooted.join(open_lists.select("key", "code"), ["key", "code"]), "open-lists")
+        scratch.drop(rooted)
         if number == HUB_ROUNDS or total["cross"] <= _SCAN * total["n"]:
-            found.append(materialize(_compare(sets, _scan(signs, members, t), t), "links"))
+            found.append(scratch.table(_compare(sets, _scan(signs, members, t), t), "links"))
             break
         hub = F.min_by(F.struct(F.col("sid").alias("hub"), F.col("root").alias("hub_root")), F.xxhash64("key", "sid", F.lit(number)))
         hubs = members.groupBy("key", "code").agg(hub.alias("x")).select("key", "code", "x.*")
         pairs = members.join(hubs, ["key", "code"]).where("root != hub_root").select("hub", "sid", "code")
-        found.append(materialize(_compare(sets, _near(pairs, signs, t), t), "links"))
-        members = members.select("key", "code", "sid")
+        found.append(scratch.table(_compare(sets, _near(pairs, signs, t), t), "links"))
     return reduce(DataFrame.unionAll, found)
 
 
 def join(docs: DataFrame, *, percent: int = 85, n: int = 4, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """Per document: ``doc_id``, size of its set ``n_shingles``, and ``component_id``."""
-    spark = docs.sparkSession
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
     t = Threshold(percent)
-    keyed = docs.select(col(docs, doc_id).alias("doc_id"), shingles(col(docs, text), n).alias("sh"))
+    words = col(docs, text).cast("string")
+    texts = docs.select(col(docs, doc_id).alias("doc_id"), words.alias("text"), F.xxhash64(words).alias("mark"))
 
-    def number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def small(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = [(s.size, _number(s, 1), _number(s, 2)) for s in _sets(batch.column(1))]
-            sizes, a, b = zip(*rows, strict=True) if rows else ((), (), ())
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(sizes, pa.int64()), _signed(a), _signed(b)], names=["doc_id", "n_shingles", "sid", "check"]
-            )
-
-    kind = keyed.schema["doc_id"].dataType.simpleString()
-    rows = materialize(keyed.mapInArrow(number, f"doc_id {kind}, n_shingles long, sid long, check long"), "sets")
-    whole = rows.where("n_shingles > 0")
-    if not whole.groupBy("sid").agg((F.min("check") != F.max("check")).alias("x")).where("x").isEmpty():
-        raise ValueError("two sets have one number; choose another seed")
-    sizes = {
-        r["n_shingles"]: r["k"]
-        for r in whole.where(F.col("n_shingles") <= 2 * LIGHT_MOST).groupBy("n_shingles").agg(F.count_distinct("sid").alias("k")).collect()
-    }
-    roots = components(links(keyed.select("sh"), sizes, t))
-    rooted = whole.join(roots, whole["sid"] == roots["node"], "left").select("doc_id", "n_shingles", F.coalesce("root", "sid").alias("root"))
-    least = rooted.groupBy("root").agg(F.min("doc_id").alias("component_id"))
-    single = rows.where("n_shingles = 0").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
-    return rooted.join(least, "root").select("doc_id", "n_shingles", "component_id").unionAll(single)
+            rows = [(s.size, _number(s, 1)) for s in _texts(batch.column(0), n) if 0 < s.size <= 2 * LIGHT_MOST]
+            size, sid = zip(*rows, strict=True) if rows else ((), ())
+            yield pa.RecordBatch.from_arrays([pa.array(size, pa.int64()), _signed(sid)], names=["n", "sid"])
+
+    with Scratch(docs.sparkSession) as scratch:
+        # Small sets of short texts: enough to weigh the costs, and whatever the boundary the links are the same.
+        short = texts.where(F.octet_length("text") <= _SHORT).select("text").mapInArrow(small, "n long, sid long")
+        sizes = {r["n"]: r["k"] for r in short.groupBy("n").agg(F.count_distinct("sid").alias("k")).collect()}
+        lists = scratch.table(_stars(_postings(texts, n, light_up_to(sizes, t), t)), "lists")
+        rows = lists.where(F.col("code") == _DOC).select("doc.doc_id", F.col("doc.n").alias("n_shingles"), "sid", "doc.check")
+        rows = scratch.result(rows, "sets")
+        whole = rows.where("n_shingles > 0").drop("check")
+        classes = rows.where("n_shingles > 0").groupBy("sid").agg(
+            F.min("doc_id").alias("least"), F.count("*").alias("copies"), (F.min("check") != F.max("check")).alias("clash")
+        )
+        classes = scratch.table(classes, "classes")
+        if not classes.where("clash").isEmpty():
+            raise ValueError("two sets have one number; choose another seed")
+        roots = components(links(texts, lists, n, t, scratch))
+        rooted = classes.join(roots, classes["sid"] == roots["node"], "left").select("sid", "least", "copies", F.coalesce("root", "sid").alias("root"))
+        rooted = scratch.table(rooted, "rooted")
+        least = rooted.groupBy("root").agg(F.min("least").alias("component_id"), F.count("*").alias("members"))
+        least = scratch.table(least, "components")
+        table = attach(rooted, least, "root", "members", rooted.count()).select("sid", "copies", "component_id")
+        table = scratch.result(table, "component-of")
+        single = rows.where("n_shingles = 0").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
+        total = rows.count()
+    return attach(whole, table, "sid", "copies", total).select("doc_id", "n_shingles", "component_id").unionAll(single)
 
 
 def keep_one(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", **kw) -> DataFrame:
@@ -459,7 +503,11 @@ def keep_one(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", **k
     Rows that repeat the id that stays, stay with it; rows with NULL id stay if none of
     their component has an id.
     """
-    found = join(docs, doc_id=doc_id, text=text, **kw).where(F.col("doc_id").eqNullSafe(F.col("component_id")))
-    found = found.select(F.col("doc_id").alias("kept")).distinct()
+    with Scratch(docs.sparkSession) as scratch:
+        found = join(docs, doc_id=doc_id, text=text, **kw)
+        stays = F.col("doc_id").eqNullSafe(F.col("component_id"))
+        # The ids that go are the fewer ones, and stored, so that Spark knows their size.
+        gone = found.groupBy("doc_id").agg(F.bool_or(stays).alias("stays")).where("NOT stays")
+        gone = scratch.result(gone.select(F.col("doc_id").alias("gone")), "gone")
     rows = packed(docs, k=col(docs, doc_id))
-    return unpacked(rows.join(found, rows["k"].eqNullSafe(found["kept"]), "left_semi"))
+    return unpacked(rows.join(gone, rows["k"].eqNullSafe(gone["gone"]), "left_anti"))

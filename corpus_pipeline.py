@@ -1,4 +1,12 @@
-"""The corpus pipeline: raw documents to packed training sequences, in five stages."""
+"""The corpus pipeline: raw documents to packed training sequences, in five stages.
+
+Every stage but the last returns the columns of ``documents`` as they are, further columns
+too, whatever their names; an empty table gives an empty table.  Rows are judged one by one:
+repeated rows and repeated or NULL ids stay apart, except that of near duplicates the rows of
+the smallest id stay together.  NULL, empty and blank texts have fewer than 50 words, so the
+first stage rejects them; a stage that is called alone keeps them (near duplicates, repeats,
+contamination) or packs their end id (packing).  Very long texts are handled whole by one task.
+"""
 
 from __future__ import annotations
 
@@ -43,7 +51,8 @@ STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] =
     ("packing", packed),
 ]
 
-#: SQL cannot express the tokenizer; tests hold the pipeline against brute force.
+#: SQL cannot express the tokenizer; tests/llm/test_llm_queries.py holds every stage's rows
+#: against plain Python.
 ORACLE_SQL = None
 
 

@@ -9,6 +9,7 @@ Python process ends.  ``remove_old`` deletes what killed applications left.
 from __future__ import annotations
 
 import atexit
+import gc
 import tempfile
 import time
 import uuid
@@ -105,6 +106,15 @@ class Scratch:
             at = next(i for i, (_, held) in enumerate(self._paths) if held is df)
             delete(self.spark, self._paths.pop(at)[0])
 
+    def release(self) -> None:
+        """Let Spark delete the shuffle files of finished steps now.
+
+        It does so when the driver collects garbage, which a driver with little to do does
+        rarely; between the steps of a long job that keeps many times the input on disk.
+        """
+        gc.collect()
+        self.spark._jvm.System.gc()
+
     def result(self, df: DataFrame, label: str) -> DataFrame:
         if self._around:
             return self._around[-1].table(df, label)

@@ -116,6 +116,13 @@ class Scratch:
         self.spark._jvm.System.gc()
 
     def result(self, df: DataFrame, label: str) -> DataFrame:
+        """Written outside the block's reach; a table of the block itself is handed over as it is."""
+        for at, (path, held) in enumerate(self._paths):
+            if held is df:
+                del self._paths[at]
+                if self._around:
+                    self._around[-1]._paths.append((path, df))
+                return df
         if self._around:
             return self._around[-1].table(df, label)
         return _stored(df, scratch_path(self.spark, label))

@@ -274,7 +274,8 @@ def test_scratch_tables_end_with_their_block(spark):
             inner.drop(a)
             with pytest.raises(Exception, match="DIVIDE"):
                 materialize(spark.range(3).selectExpr("id / (id - id)"), "failing")
-            kept = inner.result(spark.range(5), "c")
+            with Scratch(spark) as innermost:  # a result of a block within can be handed on
+                kept = inner.result(innermost.result(spark.range(5), "c"), "d")
         assert kept.count() == 5
         assert len(set(root.glob("*")) - before) == 1
         assert outer.spark is spark

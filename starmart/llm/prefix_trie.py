@@ -298,4 +298,4 @@ def trie(convs: DataFrame, shard_turns: int = SHARD_TURNS) -> DataFrame:
 def report(conversations: DataFrame, group: int = 5, most: int = 8) -> DataFrame:
     """The trie of the rebuilt conversations."""
     with Scratch(conversations.sparkSession) as scratch:
-        return trie(rebuild(scratch.table(turns(conversations), "turns"), group, most))
+        return scratch.result(trie(rebuild(scratch.table(turns(conversations), "turns"), group, most)), "trie")

@@ -29,7 +29,6 @@ linked; NULL ids are never the smallest of a component unless all its ids are NU
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import reduce
 from itertools import combinations, groupby
 from math import comb
 
@@ -107,6 +106,11 @@ class Threshold:
         both = np.intersect1d(a, b, assume_unique=True).size
         return 100 * both >= self.percent * (a.size + b.size - both)
 
+    def may_link(self, a: np.ndarray, b: np.ndarray) -> bool:
+        """The same of cut elements: what seems to be common is at least the intersection."""
+        both = min(int(np.isin(a, b).sum()), int(np.isin(b, a).sum()))
+        return 100 * both >= self.percent * (a.size + b.size - both)
+
     def may_miss(self, common: int) -> int:
         """What two linked sets with ``common`` elements in common may have besides, together."""
         return self.miss * common // self.percent
@@ -313,12 +317,25 @@ def _near(pairs: DataFrame, signs: DataFrame, t: Threshold) -> DataFrame:
     return kept.unionAll(pairs.where("code >= 0").select("hub", "sid"))
 
 
+def _thin(sets: DataFrame) -> DataFrame:
+    """``sid, set`` with 16 bits of each element: a quarter of the bytes, for a first comparison."""
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            cuts = [(s & np.uint64(0xFFFF)).astype("<u2").tobytes() for s in _sets(batch.column(1))]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(cuts, pa.binary())], names=["sid", "set"])
+
+    return sets.mapInArrow(cut, "sid long, set binary")
+
+
 def _compare(sets: DataFrame, pairs: DataFrame, t: Threshold) -> DataFrame:
-    """The pairs ``hub, sid`` whose sets are linked, by the sets themselves."""
+    """The pairs ``a, b`` of ``hub, sid`` whose sets are linked; cut sets (``_thin``) let more pass, never fewer."""
+    thin = dict(sets.dtypes)["set"] == "binary"
     pairs = materialize(pairs.select("hub", "sid").distinct(), "pairs")
-    sizes = pairs.groupBy("hub").agg(F.ceil(F.count("*") / HUB_SHARE).cast("int").alias("shares"))
+    sizes = pairs.groupBy("hub").agg(F.count("*").alias("n"), F.ceil(F.count("*") / HUB_SHARE).cast("int").alias("shares"))
+    sizes = materialize(sizes, "hubs")
     hubs = sizes.select("hub", F.col("hub").alias("sid"), F.explode(F.sequence(F.lit(0), F.col("shares") - 1)).alias("share"), F.lit(0).alias("no"))
-    members = pairs.join(sizes, "hub").select("hub", "sid", F.pmod(F.xxhash64("sid"), F.col("shares")).cast("int").alias("share"), F.lit(1).alias("no"))
+    members = attach(pairs, sizes, "hub", "n", pairs.count()).select("hub", "sid", F.pmod(F.xxhash64("sid"), F.col("shares")).cast("int").alias("share"), F.lit(1).alias("no"))
     asked = hubs.unionByName(members)
     rows = asked.join(sets, "sid").select("hub", "share", "no", "sid", "set")
 
@@ -327,10 +344,12 @@ def _compare(sets: DataFrame, pairs: DataFrame, t: Threshold) -> DataFrame:
         for batch in batches:
             names, no, sid = (batch.column(i).to_pylist() for i in (0, 2, 3))
             found = []
-            for h, n, s, elements in zip(names, no, sid, _sets(batch.column(4)), strict=True):
+            held = batch.column(4)
+            held = (np.frombuffer(x.as_buffer(), "<u2") for x in held) if thin else _sets(held)
+            for h, n, s, elements in zip(names, no, sid, held, strict=True):
                 if n == 0:
                     hub, of = h, elements
-                elif h == hub and t.linked(of, elements):
+                elif h == hub and (t.may_link(of, elements) if thin else t.linked(of, elements)):
                     found.append((h, s))
             if found:
                 yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in zip(*found, strict=True)], names=["a", "b"])
@@ -371,12 +390,12 @@ def _scan(signs: DataFrame, members: DataFrame, t: Threshold) -> DataFrame:
     A pair that has several lists in common comes out of the one of least key only.
     """
     lists = members.groupBy("sid").agg(F.sort_array(F.collect_set("key")).alias("lists"))
-    signed = members.join(signs, ["sid", "code"]).join(lists, "sid")
     sizes = members.groupBy("key", "code").agg(F.ceil(F.count("*") / LIST_BLOCK).cast("int").alias("blocks"))
     own = F.pmod(F.xxhash64("sid"), F.col("blocks")).cast("int")
-    dealt = signed.join(sizes, ["key", "code"]).withColumn("own", own)
+    dealt = members.join(sizes, ["key", "code"]).withColumn("own", own)
     dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    dealt = dealt.select("key", "code", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "sid", "root", "n", "bits", "lists")
+    # Bitmaps and lists come last: wide rows are shuffled once.
+    dealt = dealt.join(signs, ["sid", "code"]).join(lists, "sid").select("key", "code", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "sid", "root", "n", "bits", "lists")
     names = ["key", "code", "i", "j"]
     dealt = dealt.repartition(*names).sortWithinPartitions(*names, "own")
 
@@ -419,13 +438,11 @@ def _unlike(members: DataFrame) -> DataFrame:
     return members.join(kept, ["key", "code"], "left_semi")
 
 
-def _roots(members: DataFrame, links: DataFrame) -> DataFrame:
-    roots = components(links)
-    return members.join(roots, members["sid"] == roots["node"], "left").select("key", "code", "sid", F.coalesce("root", "sid").alias("root"))
-
+def linked(texts: DataFrame, lists: DataFrame, n: int, t: Threshold, scratch: Scratch) -> DataFrame:
+    """``node, root``: every linked set and the least number of its component.
 
-def links(texts: DataFrame, lists: DataFrame, n: int, t: Threshold, scratch: Scratch) -> DataFrame:
-    """``a, b``: links between sets that connect whatever is connected."""
+    Each round adds its links to the components so far, not to all links before.
+    """
     stars = lists.where(F.col("code") != _DOC).drop("doc")
     listed = stars.select(F.explode(F.array("hub", "sid")).alias("sid")).distinct()
     # One text of each listed set is read and cut up again; the sets are used several times.
@@ -433,14 +450,19 @@ def links(texts: DataFrame, lists: DataFrame, n: int, t: Threshold, scratch: Scr
     listed = scratch.table(told.join(listed, "sid", "left_semi"), "listed")
     sets = scratch.table(_wanted(texts, listed, n).join(listed, "sid", "left_semi"), "listed-sets")
     scratch.drop(listed)
+    scratch.release()
     heavy = stars.where("code < 0")
     signs = scratch.table(_parities(sets, t), "parities")
-    found = [scratch.table(_compare(sets, _near(stars.select("hub", "sid", "code"), signs, t), t), "links")]
+    found = scratch.table(_compare(sets, _near(stars.select("hub", "sid", "code"), signs, t), t), "links")
+    roots = components(found)
+    scratch.release()
     members = heavy.select("key", "code", "sid").unionAll(heavy.select("key", "code", F.col("hub").alias("sid"))).distinct()
     members = scratch.table(_unlike(members), "members")
     for number in range(HUB_ROUNDS + 1):
-        rooted = scratch.table(_roots(members, reduce(DataFrame.unionAll, found)), "list-roots")
-        scratch.drop(members)
+        listed = members.select("key", "code", "sid")
+        rooted = listed.join(roots, F.col("sid") == F.col("node"), "left").select("key", "code", "sid", F.coalesce("root", "sid").alias("root"))
+        rooted = scratch.table(rooted, "list-roots")
+        scratch.drop(members, found)
         parts = rooted.groupBy("key", "code", "root").agg(F.count("*").alias("n"))
         open_lists = parts.groupBy("key", "code").agg(F.sum("n").alias("n"), F.sum(F.col("n") * F.col("n")).alias("within"), F.count("*").alias("parts"))
         open_lists = open_lists.where("parts > 1")
@@ -449,14 +471,18 @@ def links(texts: DataFrame, lists: DataFrame, n: int, t: Threshold, scratch: Scr
             break
         members = scratch.table(rooted.join(open_lists.select("key", "code"), ["key", "code"]), "open-lists")
         scratch.drop(rooted)
+        scratch.release()
         if number == HUB_ROUNDS or total["cross"] <= _SCAN * total["n"]:
-            found.append(scratch.table(_compare(sets, _scan(signs, members, t), t), "links"))
-            break
+            # Bitmaps let many pairs pass that are not quite near enough: cut sets are shipped first.
+            asked = scratch.table(_compare(_thin(sets), _scan(signs, members, t), t).toDF("hub", "sid"), "asked")
+            scratch.release()
+            return components(roots.toDF("a", "b").unionAll(_compare(sets, asked, t)))
         hub = F.min_by(F.struct(F.col("sid").alias("hub"), F.col("root").alias("hub_root")), F.xxhash64("key", "sid", F.lit(number)))
         hubs = members.groupBy("key", "code").agg(hub.alias("x")).select("key", "code", "x.*")
         pairs = members.join(hubs, ["key", "code"]).where("root != hub_root").select("hub", "sid", "code")
-        found.append(scratch.table(_compare(sets, _near(pairs, signs, t), t), "links"))
-    return reduce(DataFrame.unionAll, found)
+        found = scratch.table(_compare(sets, _near(pairs, signs, t), t), "links")
+        roots = components(roots.toDF("a", "b").unionAll(found))
+    return roots
 
 
 def join(docs: DataFrame, *, percent: int = 85, n: int = 4, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -478,6 +504,7 @@ def join(docs: DataFrame, *, percent: int = 85, n: int = 4, doc_id: str = "doc_i
         lists = scratch.table(_stars(_postings(texts, n, light_up_to(sizes, t), t)), "lists")
         rows = lists.where(F.col("code") == _DOC).select("doc.doc_id", F.col("doc.n").alias("n_shingles"), "sid", "doc.check")
         rows = scratch.result(rows, "sets")
+        scratch.release()
         whole = rows.where("n_shingles > 0").drop("check")
         classes = rows.where("n_shingles > 0").groupBy("sid").agg(
             F.min("doc_id").alias("least"), F.count("*").alias("copies"), (F.min("check") != F.max("check")).alias("clash")
@@ -485,7 +512,7 @@ def join(docs: DataFrame, *, percent: int = 85, n: int = 4, doc_id: str = "doc_i
         classes = scratch.table(classes, "classes")
         if not classes.where("clash").isEmpty():
             raise ValueError("two sets have one number; choose another seed")
-        roots = components(links(texts, lists, n, t, scratch))
+        roots = linked(texts, lists, n, t, scratch)
         rooted = classes.join(roots, classes["sid"] == roots["node"], "left").select("sid", "least", "copies", F.coalesce("root", "sid").alias("root"))
         rooted = scratch.table(rooted, "rooted")
         least = rooted.groupBy("root").agg(F.min("least").alias("component_id"), F.count("*").alias("members"))

@@ -394,14 +394,14 @@ def _scan(signs: DataFrame, members: DataFrame, t: Threshold) -> DataFrame:
     own = F.pmod(F.xxhash64("sid"), F.col("blocks")).cast("int")
     dealt = members.join(sizes, ["key", "code"]).withColumn("own", own)
     dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    # Bitmaps and lists come last: wide rows are shuffled once.
-    dealt = dealt.join(signs, ["sid", "code"]).join(lists, "sid").select("key", "code", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "sid", "root", "n", "bits", "lists")
+    # Bitmaps and lists come last: wide rows are shuffled once, with the lists of lower key only.
+    dealt = dealt.join(signs, ["sid", "code"]).join(lists, "sid").select("key", "code", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "sid", "root", "n", "bits", F.expr("filter(lists, k -> k < key)").alias("lists"))
     names = ["key", "code", "i", "j"]
     dealt = dealt.repartition(*names).sortWithinPartitions(*names, "own")
 
     def near(rows: list[tuple]) -> Iterator[tuple[int, int]]:
-        key, _, i, j, own, sid, root, n, bits, lists = zip(*rows, strict=True)
-        key, of = key[0], {}
+        _, _, i, j, own, sid, root, n, bits, lists = zip(*rows, strict=True)
+        of: dict[int, set[int]] = {}
         own, sid, root, n = (np.array(x, dtype=np.int64) for x in (own, sid, root, n))
         signs = np.frombuffer(b"".join(bits), dtype=np.uint64).reshape(len(rows), -1)
         for a in np.flatnonzero(own == i[0]):
@@ -411,7 +411,7 @@ def _scan(signs: DataFrame, members: DataFrame, t: Threshold) -> DataFrame:
             for b in others[(100 + t.percent) * apart <= t.miss * (n[others] + n[a])]:
                 for x in (a, b):
                     if x not in of:
-                        of[x] = {k for k in lists[x] if k < key}
+                        of[x] = set(lists[x])
                 if of[a].isdisjoint(of[b]):
                     yield (int(sid[a]), int(sid[b])) if sid[a] < sid[b] else (int(sid[b]), int(sid[a]))
 

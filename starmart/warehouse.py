@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 
 from starmart.commits import Change, CommitLog, Entry, PublishConflict
 from starmart.operators.layout import (
+    by_bucket,
     join_in_place,
     part_of,
     quantiles,
@@ -390,8 +391,7 @@ class Warehouse:
             by = [_PART]
             df = df.withColumn(_PART, part_of(F.col(_quote(part_key)), df.schema[part_key].dataType, bounds))
         if buckets:
-            rows = df.repartition(buckets, _quote(dist_key))
-            writer = rows.write.bucketBy(buckets, dist_key).sortBy(dist_key).mode("errorifexists").option("path", path)
+            writer = by_bucket(df, buckets, [dist_key], *by).write.bucketBy(buckets, dist_key).sortBy(dist_key).mode("errorifexists").option("path", path)
             passing = f"{_quote('starmart_' + uuid.uuid4().hex)}"
             (writer.partitionBy(*by) if by else writer).saveAsTable(passing)
             self.spark.sql(f"DROP TABLE {passing}")

@@ -12,7 +12,7 @@ from starmart.operators.merge import upsert
 from starmart.plans.ratings import KEYS, merge_ratings
 from starmart.schemas import DATE, INT, LONG, STRING, TableSpec, struct, warehouse_specs
 from starmart.scratch import Scratch, materialize, remove_old, scratch_path, scratch_root
-from starmart.sources.files import create_new, folder_bytes, list_paths, read_bytes
+from starmart.sources.files import create_new, file_sizes, folder_bytes, list_paths, read_bytes
 from starmart.warehouse import PublishConflict, Warehouse
 
 
@@ -110,6 +110,20 @@ def test_parts_by_date(spark, tmp_path):
 # -- buckets ---------------------------------------------------------------------
 
 
+def test_a_large_bucket_is_written_by_several_tasks(spark, tmp_path):
+    """Also if its rows have one key: what a task sorts is bounded."""
+    more = {"dist_key": "b", "buckets": 2, "max_skew": None}
+    wh = Warehouse(spark, str(tmp_path / "wh"), {"t": TableSpec("t", struct(b=INT, k=LONG, v=STRING), **more)})
+    hot = rows(spark, 0, 30_000).repartition(6).select(F.lit(1).alias("b"), "k", "v")
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "200k")
+    try:
+        wh.publish({"t": hot})
+    finally:
+        spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    (path,) = wh.snapshot()["t"].paths
+    assert len(file_sizes(spark, path)) >= 4 and bag(wh.read("t")) == bag(hot)
+
+
 def exchanges(plan: str) -> int:
     return plan.count("Exchange hashpartitioning")
 

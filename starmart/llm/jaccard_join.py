@@ -53,6 +53,8 @@ HUB_ROUNDS = 4
 HUB_SHARE = 2_000
 #: Members of a list that are scanned against as many others at a time.
 LIST_BLOCK = 2_000
+#: Lists of lower key that a member of a list carries.
+LISTS_TOLD = 32
 #: Cross-component pairs per list entry up to which open lists are scanned without a new hub.
 _SCAN = 2_000
 _FILTER_BITS = 1 << 26
@@ -328,10 +330,11 @@ def _thin(sets: DataFrame) -> DataFrame:
     return sets.mapInArrow(cut, "sid long, set binary")
 
 
-def _compare(sets: DataFrame, pairs: DataFrame, t: Threshold) -> DataFrame:
+def _compare(sets: DataFrame, pairs: DataFrame, t: Threshold, scratch: Scratch) -> DataFrame:
     """The pairs ``a, b`` of ``hub, sid`` whose sets are linked; cut sets (``_thin``) let more pass, never fewer."""
     thin = dict(sets.dtypes)["set"] == "binary"
     pairs = materialize(pairs.select("hub", "sid").distinct(), "pairs")
+    scratch.release()
     sizes = pairs.groupBy("hub").agg(F.count("*").alias("n"), F.ceil(F.count("*") / HUB_SHARE).cast("int").alias("shares"))
     sizes = materialize(sizes, "hubs")
     hubs = sizes.select("hub", F.col("hub").alias("sid"), F.explode(F.sequence(F.lit(0), F.col("shares") - 1)).alias("share"), F.lit(0).alias("no"))
@@ -387,15 +390,17 @@ def _parities(sets: DataFrame, t: Threshold) -> DataFrame:
 def _scan(signs: DataFrame, members: DataFrame, t: Threshold) -> DataFrame:
     """``hub, sid``: pairs of a list, of different components, that may be linked.
 
-    A pair that has several lists in common comes out of the one of least key only.
+    A pair that has several lists in common comes out of the one of least key, and of others if
+    that is not among the ``LISTS_TOLD`` least of either's lists: of few, as keys are hashes.
+    Carrying all of them would take the square of a set's lists.
     """
-    lists = members.groupBy("sid").agg(F.sort_array(F.collect_set("key")).alias("lists"))
+    lists = members.groupBy("sid", "code").agg(F.slice(F.sort_array(F.collect_set("key")), 1, LISTS_TOLD).alias("lists"))
     sizes = members.groupBy("key", "code").agg(F.ceil(F.count("*") / LIST_BLOCK).cast("int").alias("blocks"))
     own = F.pmod(F.xxhash64("sid"), F.col("blocks")).cast("int")
     dealt = members.join(sizes, ["key", "code"]).withColumn("own", own)
     dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     # Bitmaps and lists come last: wide rows are shuffled once, with the lists of lower key only.
-    dealt = dealt.join(signs, ["sid", "code"]).join(lists, "sid").select("key", "code", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "sid", "root", "n", "bits", F.expr("filter(lists, k -> k < key)").alias("lists"))
+    dealt = dealt.join(signs, ["sid", "code"]).join(lists, ["sid", "code"]).select("key", "code", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "sid", "root", "n", "bits", F.expr("filter(lists, k -> k < key)").alias("lists"))
     names = ["key", "code", "i", "j"]
     dealt = dealt.repartition(*names).sortWithinPartitions(*names, "own")
 
@@ -453,7 +458,7 @@ def linked(texts: DataFrame, lists: DataFrame, n: int, t: Threshold, scratch: Sc
     scratch.release()
     heavy = stars.where("code < 0")
     signs = scratch.table(_parities(sets, t), "parities")
-    found = scratch.table(_compare(sets, _near(stars.select("hub", "sid", "code"), signs, t), t), "links")
+    found = scratch.table(_compare(sets, _near(stars.select("hub", "sid", "code"), signs, t), t, scratch), "links")
     roots = components(found)
     scratch.release()
     members = heavy.select("key", "code", "sid").unionAll(heavy.select("key", "code", F.col("hub").alias("sid"))).distinct()
@@ -474,13 +479,13 @@ def linked(texts: DataFrame, lists: DataFrame, n: int, t: Threshold, scratch: Sc
         scratch.release()
         if number == HUB_ROUNDS or total["cross"] <= _SCAN * total["n"]:
             # Bitmaps let many pairs pass that are not quite near enough: cut sets are shipped first.
-            asked = scratch.table(_compare(_thin(sets), _scan(signs, members, t), t).toDF("hub", "sid"), "asked")
+            asked = scratch.table(_compare(_thin(sets), _scan(signs, members, t), t, scratch).toDF("hub", "sid"), "asked")
             scratch.release()
-            return components(roots.toDF("a", "b").unionAll(_compare(sets, asked, t)))
+            return components(roots.toDF("a", "b").unionAll(_compare(sets, asked, t, scratch)))
         hub = F.min_by(F.struct(F.col("sid").alias("hub"), F.col("root").alias("hub_root")), F.xxhash64("key", "sid", F.lit(number)))
         hubs = members.groupBy("key", "code").agg(hub.alias("x")).select("key", "code", "x.*")
         pairs = members.join(hubs, ["key", "code"]).where("root != hub_root").select("hub", "sid", "code")
-        found = scratch.table(_compare(sets, _near(pairs, signs, t), t), "links")
+        found = scratch.table(_compare(sets, _near(pairs, signs, t), t, scratch), "links")
         roots = components(roots.toDF("a", "b").unionAll(found))
     return roots
 

@@ -130,6 +130,22 @@ def test_jaccard_join(docs, percent, n):
     assert rows_of(jaccard_join.join(docs, percent=percent, n=n)) == sorted(expected, key=repr)
 
 
+def test_a_scan_finds_the_same_pairs_however_few_lists_are_carried(spark, monkeypatch):
+    """Two sets in many lists, one near to both in a single one, one far from all."""
+    t = jaccard_join.Threshold(80)
+    code, bits = -1 - t.size_class(100)[0], {1: b"\0" * 32, 2: b"\0" * 32, 3: b"\0" * 31 + b"\1", 4: b"\xff" * 32}
+    signs = spark.createDataFrame([(s, code, 100, bytearray(b)) for s, b in bits.items()], "sid long, code int, n long, bits binary")
+    lists = [(k, s) for k in range(200) for s in (1, 2, 4)] + [(199, 3)]
+    members = spark.createDataFrame([(k, code, s, s) for k, s in lists], "key long, code int, sid long, root long")
+    carried = []
+    for told in (1, 1_000):
+        monkeypatch.setattr(jaccard_join, "LISTS_TOLD", told)
+        found = jaccard_join._scan(signs, members, t)
+        assert sorted(map(tuple, found.collect())) == [(1, 2), (1, 3), (2, 3)]
+        carried.append(found._jdf.queryExecution().analyzed().toString())
+    assert "slice(" in carried[0] and carried[0] != carried[1]  # a row's width does not grow with a set's lists
+
+
 def test_near_copies_that_are_no_links_are_scanned(spark):
     """A base with many copies that are linked with it but not with each other, in blocks of two."""
     words = [f"w{i}" for i in range(120)]

@@ -86,6 +86,7 @@ class TableSpec:
     skew_bytes: int = 64 << 20  # a smaller bucket is never too full
     part_key: str | None = None  # a key column; the table is stored in folders by its ranges
     part_bytes: int = 256 << 20  # a folder of twice that is cut when it is next rewritten
+    max_parts: int = 128  # a table of more than so many times part_bytes has folders of that share of it
     stage_not_null: tuple[str, ...] = ()  # further columns of a staged row
 
     @property

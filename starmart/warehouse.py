@@ -293,7 +293,7 @@ class Warehouse:
     def relayout(self, name: str) -> None:
         """Cut the parts of a table that have outgrown ``part_bytes``; the others stay as they are."""
         state = self.snapshot()
-        large = self._outgrown(name, state[name], range(len(state[name].bounds) + 1))
+        large = list(self._outgrown(name, state[name], range(len(state[name].bounds) + 1)))
         if large:
             self.publish({name: self.read(name, state, large)}, state=state, parts={name: large})
 
@@ -348,26 +348,29 @@ class Warehouse:
             return ((), None, None, 0)
         return ((), spec.part_key, spec.dist_key if spec.buckets else None, spec.buckets)
 
-    def _outgrown(self, name: str, entry: Entry, parts: Iterable[int]) -> list[int]:
-        """Of these parts those with at least twice the bytes a part should have."""
+    def _outgrown(self, name: str, entry: Entry, parts: Iterable[int]) -> dict[int, int]:
+        """Of these parts those with at least twice the bytes a part should have; how many parts each should be.
+
+        What a part should have grows with a table that ``max_parts`` parts cannot hold otherwise: every
+        part costs each version of the table some files, so their number must not grow with the rows.
+        """
         spec = self.specs.get(name)
         if spec is None or entry.part_key is None:
-            return []
+            return {}
         sizes: dict[int, int] = {}
         for part, path in entry.folders:
-            if part in parts:
-                sizes[part] = sizes.get(part, 0) + folder_bytes(self.spark, path)
-        return sorted(p for p, n in sizes.items() if n >= 2 * spec.part_bytes)
+            sizes[part] = sizes.get(part, 0) + folder_bytes(self.spark, path)
+        share = max(spec.part_bytes, sum(sizes.values()) // spec.max_parts)
+        return {p: sizes[p] // share for p in sorted(sizes) if p in parts and sizes[p] >= 2 * share}
 
     def _replace_parts(self, made: Prepared, name: str, df: DataFrame, parts: list[int]) -> None:
         """Write the new rows of some parts, cutting those that have outgrown their size."""
         old = made.base[name]
         df = df.select(*[F.col(_quote(f.name)).cast(f.dataType) for f in old.schema.fields])
         bounds = list(old.bounds)
-        for part in self._outgrown(name, old, parts):
-            size = sum(folder_bytes(self.spark, p) for q, p in old.folders if q == part)
+        for part, n in self._outgrown(name, old, parts).items():
             stored = self.read(name, made.base, [part]).select(_quote(old.part_key))
-            bounds += quantiles(stored, _quote(old.part_key), size // self.specs[name].part_bytes)
+            bounds += quantiles(stored, _quote(old.part_key), n)
         bounds = sorted(set(bounds))
         layout = (tuple(bounds), *_layout(old)[1:])
         # Untouched folders keep their rows and get the number of the part that begins where theirs did.

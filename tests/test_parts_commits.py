@@ -107,6 +107,17 @@ def test_parts_by_date(spark, tmp_path):
     assert bag(wh.read("d")) == bag(days.where("n not between 40 and 45").union(new))
 
 
+def test_the_number_of_parts_does_not_grow_with_the_table(spark, tmp_path):
+    wh = Warehouse(spark, str(tmp_path / "wh"), {"t": spec(part_bytes=2_000)})
+    wh.publish({"t": rows(spark, 0, 30_000)})
+    whole = sum(folder_bytes(spark, p) for p in wh.snapshot()["t"].paths)
+    wh.relayout("t")
+    after = wh.snapshot()["t"]
+    assert whole > 500 * 2_000 and 64 < len(after.bounds) < wh.specs["t"].max_parts
+    wh.relayout("t")  # nothing has outgrown its share
+    assert wh.snapshot()["t"] == after and bag(wh.read("t")) == bag(rows(spark, 0, 30_000))
+
+
 # -- buckets ---------------------------------------------------------------------
 
 

@@ -84,6 +84,7 @@ class TableSpec:
     buckets: int = 0  # of a table distributed by dist_key; 0 stores it without
     max_skew: float | None = 4.0  # of the fullest bucket to an even share; None takes any
     skew_bytes: int = 64 << 20  # a smaller bucket is never too full
+    join_bytes: int = 64 << 20  # a mean bucket of more is not joined as it lies
     part_key: str | None = None  # a key column; the table is stored in folders by its ranges
     part_bytes: int = 256 << 20  # a folder of twice that is cut when it is next rewritten
     max_parts: int = 128  # a table of more than so many times part_bytes has folders of that share of it

@@ -98,13 +98,19 @@ class Warehouse:
         if not folders:
             columns = [F.lit(None).cast(f.dataType).alias(f.name) for f in entry.schema.fields]
             return self.spark.range(1).where(F.lit(False)).select(*columns)
-        if not entry.buckets:
+        if not entry.buckets or self._crowded(name, entry, folders):
             return read_parquet(self.spark, *[path for _, path in folders], schema=entry.schema)
         rows = self.spark.table(self._cataloged(name, entry))
         if parts is not None:
             rows = rows.where(F.col(_PART).isin(*parts))
         return rows.select(*[F.col(_quote(f.name)) for f in entry.schema.fields])
 
+    def _crowded(self, name: str, entry: Entry, folders: Sequence[tuple[int, str]]) -> bool:
+        """Whether a bucket of these folders is too much for one task of a join; Spark then shuffles."""
+        spec = self.specs.get(name)
+        most = spec.join_bytes if spec is not None else TableSpec.join_bytes
+        return sum(folder_bytes(self.spark, path) for _, path in folders) > entry.buckets * most
+
     def dimension(self, name: str) -> DataFrame:
         """The table for joining; a replicated one is broadcast if it measures small enough."""
         spec = self.specs[name]

@@ -121,6 +121,18 @@ def test_the_number_of_parts_does_not_grow_with_the_table(spark, tmp_path):
 # -- buckets ---------------------------------------------------------------------
 
 
+@pytest.mark.parametrize("most", [64 << 20, 1_000])
+def test_crowded_buckets_are_not_joined_as_they_lie(spark, tmp_path, most):
+    wh = Warehouse(spark, str(tmp_path / "wh"), {"t": spec(dist_key="k", buckets=2, part_bytes=200_000, join_bytes=most)})
+    wh.publish({"t": rows(spark, 0, 30_000)})
+    wh.relayout("t")
+    bounds = wh.snapshot()["t"].bounds
+    whole, part = wh.read("t"), wh.read("t", parts=[1])
+    assert ("spark_catalog" in whole._jdf.queryExecution().optimizedPlan().toString()) == (most > 1_000)
+    assert bag(whole) == bag(rows(spark, 0, 30_000))
+    assert bag(part) == bag(rows(spark, bounds[0], bounds[1] if len(bounds) > 1 else 30_000))
+
+
 def test_a_large_bucket_is_written_by_several_tasks(spark, tmp_path):
     """Also if its rows have one key: what a task sorts is bounded."""
     more = {"dist_key": "b", "buckets": 2, "max_skew": None}

@@ -10,6 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from starmart.llm import (
+    components,
     decontaminate,
     hash_ring,
     jaccard_join,
@@ -363,6 +364,17 @@ def test_warc_round_trip_of_pages_that_end_in_the_name(spark):
     assert {r.page_id: r.payload_bytes for r in got.collect()} == {i: len(h) for i, _, h in pages}
 
 
+def test_components_of_few_links_take_no_rounds(spark, monkeypatch):
+    rng = np.random.default_rng(8)
+    links = spark.createDataFrame([(int(a), int(b)) for a, b in rng.integers(0, 300, (200, 2))] + [(5, None)], "a long, b long").repartition(4)
+    monkeypatch.setattr(components, "FOREST_LINKS", 0)
+    expected = sorted(map(tuple, components.components(links).collect()))
+    monkeypatch.setattr(components, "FOREST_LINKS", 201)
+    monkeypatch.setattr(components, "attach", None)
+    assert sorted(map(tuple, components.components(links).collect())) == expected
+    assert components.components(links.limit(0)).count() == 0
+
+
 def test_kneser_ney(spark):
     rng = np.random.default_rng(5)
     words = [f"w{i}" for i in range(60)]

@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 
 from starmart.llm.bits import mix
 from starmart.llm.exprs import SPACE, col, words
-from starmart.scratch import materialize
+from starmart.scratch import Scratch
 
 #: Trusted ids up to this number are broadcast, 16 bytes each; more are joined by a shuffle.
 BROADCAST_IDS = 500_000
@@ -36,6 +36,8 @@ BROADCAST_IDS = 500_000
 BROADCAST_ENTRIES = 400_000
 #: Folds of the trusted texts.
 FOLDS = 5
+#: Parts, by context, in which bigrams meet their contexts and words, one after the other.
+SHARDS = 4
 _FILTER_BITS = 1 << 27
 #: Before a text's first word; no word is blank.
 _START = " "
@@ -135,11 +137,12 @@ def _long(df: DataFrame, keys: list[str], name: str, **more: str) -> DataFrame:
     return df.select(*keys, F.explode(rows).alias("e")).where("e IS NOT NULL").select(*keys, "e.*").where("n > 0")
 
 
-def _model(counts: DataFrame, least: int) -> tuple[DataFrame, DataFrame]:
+def _model(counts: DataFrame, least: int, scratch: Scratch) -> tuple[DataFrame, DataFrame]:
     """``key, gain, n``, and each language's figures of single words: what each word, context and bigram adds to a text's log probability.
 
     A word adds its own over the unknown word's, a context the weight that it leaves to the
-    lower order, a bigram what it has over the product of both.
+    lower order, a bigram what it has over the product of both.  Bigrams are shuffled in
+    ``SHARDS`` parts, whose shuffles are released one by one.
     """
     folds = range(FOLDS + 1)
     of_bigrams = F.broadcast(_discounts(counts))
@@ -154,28 +157,33 @@ def _model(counts: DataFrame, least: int) -> tuple[DataFrame, DataFrame]:
 
     # a context: its count, and what bigrams below ``least`` (all of theirs) and the others (a discount) leave
     contexts = wide.groupBy("l", "v").agg(*[F.sum(f"n{f}").alias(f"n{f}") for f in folds], F.array(*[left(f) for f in folds]).alias("left"))
-    contexts = materialize(_long(contexts, ["l", "v", "left"], "n").select("l", "v", "fold", F.element_at("left", F.col("fold") + 1).alias("left"), "n"), "contexts")
+    contexts = scratch.table(_long(contexts, ["l", "v", "left"], "n").select("l", "v", "fold", F.element_at("left", F.col("fold") + 1).alias("left"), "n"), "contexts")
     # a word: the number of different words before it, and how often it stands in each fold
     after = counts.groupBy("l", "w").agg(
         F.count("*").alias("n0"),
         *[F.count_if(_without(f) == 0).alias(f"n{f}") for f in folds[1:]],
         *[F.sum(f"n{f}").alias(f"s{f}") for f in folds],
     )
-    after = materialize(after, "words")
-    level = _discounts(after)
+    words_of = scratch.table(after, "words")
+    scratch.release()
+    level = _discounts(words_of)
     level = level.withColumn("rest", (F.col("d1") * F.col("ones") + F.col("d2") * F.col("twos") + F.col("d3") * (F.col("size") - F.col("ones") - F.col("twos"))) / F.col("total"))
     level = F.broadcast(level.withColumn("unknown", F.col("rest") / (F.col("size") + 1)))
-    after = _long(after, ["l", "w"], "n", seen="s").join(level, ["l", "fold"])
+    after = _long(words_of, ["l", "w"], "n", seen="s").join(level, ["l", "fold"])
     after = after.select("l", "w", "fold", ((F.col("n") - _cut(F.col("n"))) / F.col("total") + F.col("unknown")).alias("p"), "unknown", F.col("seen").alias("n"))
 
-    grams = _long(counts, ["l", "v", "w"], "n").where(F.col("n") >= least)
-    grams = grams.join(contexts.select("v", "fold", "left"), ["v", "fold"]).join(after.select("w", "fold", "p"), ["w", "fold"])
-    d = of_bigrams.select("l", "fold", "d1", "d2", "d3")
-    grams = grams.join(F.broadcast(d), ["l", "fold"]).select("fold", "v", "w", F.log1p((F.col("n") - _cut(F.col("n"))) / (F.col("left") * F.col("p"))).alias("gain"), "n")
+    d = F.broadcast(of_bigrams.select("l", "fold", "d1", "d2", "d3"))
     none = F.lit(None).cast("long")
-    parts = grams.select(F.lit(_BIGRAM).alias("kind"), "fold", F.col("v").alias("a"), F.col("w").alias("b"), "gain", "n")
-    parts = parts.unionByName(contexts.select(F.lit(_CONTEXT).alias("kind"), "fold", F.col("v").alias("a"), none.alias("b"), F.log(F.col("left") / F.col("n")).alias("gain"), "n"))
-    parts = parts.unionByName(after.select(F.lit(_WORD).alias("kind"), "fold", F.col("w").alias("a"), none.alias("b"), F.log(F.col("p") / F.col("unknown")).alias("gain"), "n"))
+
+    def grams(shard: int) -> DataFrame:
+        own = F.pmod("v", F.lit(SHARDS)) == shard  # a hash
+        found = _long(counts.where(own), ["l", "v", "w"], "n").where(F.col("n") >= least)
+        found = found.join(contexts.where(own).select("v", "fold", "left"), ["v", "fold"]).join(after.select("w", "fold", "p"), ["w", "fold"]).join(d, ["l", "fold"])
+        gain = F.log1p((F.col("n") - _cut(F.col("n"))) / (F.col("left") * F.col("p")))
+        return found.select(F.lit(_BIGRAM).alias("kind"), "fold", F.col("v").alias("a"), F.col("w").alias("b"), gain.alias("gain"), "n")
+
+    single = contexts.select(F.lit(_CONTEXT).alias("kind"), "fold", F.col("v").alias("a"), none.alias("b"), F.log(F.col("left") / F.col("n")).alias("gain"), "n")
+    single = single.unionByName(after.select(F.lit(_WORD).alias("kind"), "fold", F.col("w").alias("a"), none.alias("b"), F.log(F.col("p") / F.col("unknown")).alias("gain"), "n"))
 
     def keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -187,7 +195,16 @@ def _model(counts: DataFrame, least: int) -> tuple[DataFrame, DataFrame]:
                 key[at] = _key(k, fold[at], a[at], b[at] if k == _BIGRAM else None)
             yield pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), batch.column("gain"), batch.column("n")], names=["key", "gain", "n"])
 
-    return materialize(parts.mapInArrow(keyed, "key long, gain double, n long"), "bigram-model"), level
+    def stored(parts: DataFrame) -> DataFrame:
+        out = scratch.table(parts.mapInArrow(keyed, "key long, gain double, n long"), "bigram-model")
+        scratch.release()
+        return out
+
+    model = stored(single)
+    for shard in range(SHARDS):
+        model = model.unionAll(stored(grams(shard)))
+    scratch.drop(contexts, words_of)
+    return model, level
 
 
 def _frequent(model: DataFrame) -> tuple[int, np.ndarray, np.ndarray]:
@@ -224,67 +241,71 @@ def perplexity(
     spark = docs.sparkSession
     sc = spark.sparkContext
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
-    ids = materialize(trusted_ids.select("doc_id").where("doc_id IS NOT NULL").distinct(), "trusted-ids")
-    ids = ids.select(F.col("doc_id").alias("t_id"))
-    ids = F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
-    t = col(docs, text)
-    slim = docs.select(col(docs, doc_id).alias("doc_id"), col(docs, lang).alias("lang"), F.coalesce(t, F.lit("")).alias("text"), F.xxhash64(col(docs, doc_id), t, col(docs, lang)).alias("row"))
-    slim = slim.join(ids, slim["doc_id"] == F.col("t_id"), "left").withColumn("fold", F.when(F.col("t_id").isNull(), 0).otherwise(F.pmod(F.xxhash64("text"), F.lit(FOLDS)) + 1))
-    numbers = F.transform(words(F.col("text"), SPACE), lambda w: F.xxhash64("lang", w))
-    numbers = F.concat(F.array(F.xxhash64("lang", F.lit(_START))), numbers)
-    slim = slim.select("doc_id", "lang", "row", F.col("fold").cast("int").alias("fold"), F.xxhash64("lang").alias("l"), numbers.alias("ids"))
-
-    counts = materialize(_counts(slim.where("fold > 0")), "bigram-counts")
-    model, level = _model(counts, least)
-    frequent, keys, gains = _frequent(model)
-    # log probability of the unknown word by language and fold; a fold that has all of a language is not left out
-    unknown = {(r["l"], r["fold"]): float(np.log(r["unknown"])) for r in level.collect()}
-    held = sc.broadcast((keys, gains, unknown))
-    rest = model.where(F.col("n") < frequent).select("key", "gain")
-    bits = sc.broadcast(_filter(rest))
-
-    def whole(batch: pa.RecordBatch) -> pa.RecordBatch:
-        pairs = zip(batch.column("l").to_pylist(), batch.column("fold").to_pylist(), strict=True)
-        fold = pa.array([f if (l, f) in held.value[2] else 0 for l, f in pairs], pa.int64())
-        return pa.RecordBatch.from_arrays([fold if name == "fold" else c for name, c in zip(batch.schema.names, batch.columns, strict=True)], names=batch.schema.names)
-
-    def base(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        keys, gains, unknown = held.value
-        for batch in batches:
-            trusted = [f > 0 for f in batch.column("fold").to_pylist()]
-            batch = whole(batch)
-            asked, owner, n = _keys(batch)
-            if keys.size:
-                at = np.minimum(np.searchsorted(keys, asked), keys.size - 1)
-                found = np.where(keys[at] == asked, gains[at], 0.0)
-            else:
-                found = np.zeros(asked.size)
-            score = np.bincount(owner, found, n.size)
+    with Scratch(spark) as scratch:
+        ids = scratch.table(trusted_ids.select("doc_id").where("doc_id IS NOT NULL").distinct(), "trusted-ids")
+        ids = ids.select(F.col("doc_id").alias("t_id"))
+        ids = F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
+        t = col(docs, text)
+        slim = docs.select(col(docs, doc_id).alias("doc_id"), col(docs, lang).alias("lang"), F.coalesce(t, F.lit("")).alias("text"), F.xxhash64(col(docs, doc_id), t, col(docs, lang)).alias("row"))
+        slim = slim.join(ids, slim["doc_id"] == F.col("t_id"), "left").withColumn("fold", F.when(F.col("t_id").isNull(), 0).otherwise(F.pmod(F.xxhash64("text"), F.lit(FOLDS)) + 1))
+        numbers = F.transform(words(F.col("text"), SPACE), lambda w: F.xxhash64("lang", w))
+        numbers = F.concat(F.array(F.xxhash64("lang", F.lit(_START))), numbers)
+        slim = slim.select("doc_id", "lang", "row", F.col("fold").cast("int").alias("fold"), F.xxhash64("lang").alias("l"), numbers.alias("ids"))
+
+        counts = scratch.table(_counts(slim.where("fold > 0")), "bigram-counts")
+        scratch.release()
+        model, level = _model(counts, least, scratch)
+        scratch.drop(counts)
+        frequent, keys, gains = _frequent(model)
+        # log probability of the unknown word by language and fold; a fold that has all of a language is not left out
+        unknown = {(r["l"], r["fold"]): float(np.log(r["unknown"])) for r in level.collect()}
+        held = sc.broadcast((keys, gains, unknown))
+        rest = model.where(F.col("n") < frequent).select("key", "gain")
+        bits = sc.broadcast(_filter(rest))
+        scratch.release()
+
+        def whole(batch: pa.RecordBatch) -> pa.RecordBatch:
             pairs = zip(batch.column("l").to_pylist(), batch.column("fold").to_pylist(), strict=True)
-            score = [s + k * unknown[p] if k and p in unknown else None for s, k, p in zip(score.tolist(), n.tolist(), pairs, strict=True)]
-            yield pa.RecordBatch.from_arrays(
-                [*(batch.column(c) for c in ("doc_id", "lang", "row")), pa.array(trusted, pa.bool_()), pa.array(n, pa.int64()), pa.array(score, pa.float64())],
-                names=["doc_id", "lang", "row", "trusted", "n_words", "base"],
-            )
-
-    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            asked, owner, _ = _keys(whole(batch))
-            passes = np.ones(asked.size, bool)
-            for slot in _slots(asked):
-                passes &= (bits.value[slot >> 3] >> (slot & 7).astype(np.uint8)) & 1 == 1
-            row = batch.column("row").to_numpy()
-            yield pa.RecordBatch.from_arrays([pa.array(asked[passes]), pa.array(row[owner[passes]])], names=["key", "row"])
-
-    kind = slim.schema["doc_id"].dataType.simpleString()
-    scored = slim.mapInArrow(base, f"doc_id {kind}, lang string, row long, trusted boolean, n_words long, base double")
-    scored = materialize(scored, "base-scores")
-    copies = scored.groupBy("row").agg(F.count("*").alias("copies"))
-    gains = slim.select("l", "row", "fold", "ids").mapInArrow(ask, "key long, row long").join(rest, "key").groupBy("row").agg(F.sum("gain").alias("gain"))
-    gains = gains.join(copies, "row").select(F.col("row").alias("g_row"), (F.col("gain") / F.col("copies")).alias("gain"))
-    told = scored.join(gains, scored["row"] == gains["g_row"], "left")
-    log = (F.col("base") + F.coalesce("gain", F.lit(0.0))) / F.col("n_words")
-    return told.select("doc_id", "lang", "trusted", "n_words", F.exp(-log).alias("perplexity"))
+            fold = pa.array([f if (l, f) in held.value[2] else 0 for l, f in pairs], pa.int64())
+            return pa.RecordBatch.from_arrays([fold if name == "fold" else c for name, c in zip(batch.schema.names, batch.columns, strict=True)], names=batch.schema.names)
+
+        def base(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            keys, gains, unknown = held.value
+            for batch in batches:
+                trusted = [f > 0 for f in batch.column("fold").to_pylist()]
+                batch = whole(batch)
+                asked, owner, n = _keys(batch)
+                if keys.size:
+                    at = np.minimum(np.searchsorted(keys, asked), keys.size - 1)
+                    found = np.where(keys[at] == asked, gains[at], 0.0)
+                else:
+                    found = np.zeros(asked.size)
+                score = np.bincount(owner, found, n.size)
+                pairs = zip(batch.column("l").to_pylist(), batch.column("fold").to_pylist(), strict=True)
+                score = [s + k * unknown[p] if k and p in unknown else None for s, k, p in zip(score.tolist(), n.tolist(), pairs, strict=True)]
+                yield pa.RecordBatch.from_arrays(
+                    [*(batch.column(c) for c in ("doc_id", "lang", "row")), pa.array(trusted, pa.bool_()), pa.array(n, pa.int64()), pa.array(score, pa.float64())],
+                    names=["doc_id", "lang", "row", "trusted", "n_words", "base"],
+                )
+
+        def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                asked, owner, _ = _keys(whole(batch))
+                passes = np.ones(asked.size, bool)
+                for slot in _slots(asked):
+                    passes &= (bits.value[slot >> 3] >> (slot & 7).astype(np.uint8)) & 1 == 1
+                row = batch.column("row").to_numpy()
+                yield pa.RecordBatch.from_arrays([pa.array(asked[passes]), pa.array(row[owner[passes]])], names=["key", "row"])
+
+        kind = slim.schema["doc_id"].dataType.simpleString()
+        scored = slim.mapInArrow(base, f"doc_id {kind}, lang string, row long, trusted boolean, n_words long, base double")
+        scored = scratch.table(scored, "base-scores")
+        copies = scored.groupBy("row").agg(F.count("*").alias("copies"))
+        gains = slim.select("l", "row", "fold", "ids").mapInArrow(ask, "key long, row long").join(rest, "key").groupBy("row").agg(F.sum("gain").alias("gain"))
+        gains = gains.join(copies, "row").select(F.col("row").alias("g_row"), (F.col("gain") / F.col("copies")).alias("gain"))
+        told = scored.join(gains, scored["row"] == gains["g_row"], "left")
+        log = (F.col("base") + F.coalesce("gain", F.lit(0.0))) / F.col("n_words")
+        return scratch.result(told.select("doc_id", "lang", "trusted", "n_words", F.exp(-log).alias("perplexity")), "perplexities")
 
 
 def _filter(model: DataFrame) -> np.ndarray:
@@ -315,7 +336,7 @@ def _filter(model: DataFrame) -> np.ndarray:
 
 def classify(docs: DataFrame, trusted_ids: DataFrame, *, quantile: float = 0.995, **kw) -> DataFrame:
     """Perplexity of every row, its language's threshold, and whether it is kept."""
-    told = materialize(perplexity(docs, trusted_ids, **kw), "perplexities")
+    told = perplexity(docs, trusted_ids, **kw)
     limits = told.where("trusted AND perplexity IS NOT NULL").groupBy("lang").agg(F.percentile_approx("perplexity", quantile, 100_000).alias("threshold"))
     limits = limits.withColumnRenamed("lang", "l_lang")
     told = told.join(F.broadcast(limits), told["lang"].eqNullSafe(limits["l_lang"]), "left")

@@ -4,6 +4,7 @@ import hashlib
 import re
 import zlib
 from collections import Counter
+from pathlib import Path
 
 import numpy as np
 import pytest
@@ -22,6 +23,7 @@ from starmart.llm import (
     url_cascade,
     warc,
 )
+from starmart.scratch import scratch_path
 
 PROSE = " ".join(f"word{i % 97} and{i % 31}" for i in range(300))
 #: NULLs, empty, blank and long texts, repeats, near copies, ties; columns that might clash.
@@ -433,6 +435,14 @@ def test_kneser_ney_keeps_all_words_and_holds_out(spark, monkeypatch, kw):
         assert got[i] == pytest.approx(brute_kneser_ney([texts[j].split() for j in own], kw.get("least", 1))(t.split()), rel=1e-9)
 
 
+def test_kneser_ney_keeps_no_table_but_its_result(spark):
+    df = spark.createDataFrame([(i, f"a b{i % 3} c", "en") for i in range(20)], "doc_id long, text string, lang string")
+    own = Path(scratch_path(spark, "x").removeprefix("file://")).parent
+    before = set(own.iterdir()) if own.exists() else set()
+    assert kneser_ney.classify(df, df.where("doc_id < 15").select("doc_id")).count() == 20
+    assert [p.name.rsplit("-", 1)[0] for p in set(own.iterdir()) - before] == ["perplexities"]
+
+
 def test_empty_tables(spark):
     none = spark.createDataFrame([], "doc_id long, text string, lang string")
     items = spark.createDataFrame([], "item_id long, text string")

@@ -22,7 +22,7 @@ from __future__ import annotations
 
 import zlib
 from collections.abc import Iterator
-from functools import reduce
+from functools import partial, reduce
 from typing import Any, NamedTuple
 
 import numpy as np
@@ -44,7 +44,7 @@ BROADCAST_ENTRIES = 400_000
 FOLDS = 5
 #: Words of text that a task works on at a time.
 WORDS_AT_ONCE = 1_000_000
-#: Rounds in which bigrams are counted, by context, one after the other: the texts are read again, and less is shuffled at once.
+#: Rounds in which bigrams are counted and texts meet them, by context, one after the other: the texts are read again, and less is shuffled at once.
 ROUNDS = 2
 _FILTER_BITS, _FILTER_PARTS = 1 << 27, 16
 #: Before a text's first word; no word is blank.
@@ -381,8 +381,8 @@ def perplexity(
         slim = docs.select(col(docs, doc_id).alias("doc_id"), col(docs, lang).alias("lang"), F.coalesce(t, F.lit("")).alias("text"))
         slim = slim.join(F.broadcast(ids) if few else ids, slim["doc_id"] == F.col("t_id"), "left")
         slim = slim.withColumn("fold", F.when(F.col("t_id").isNull(), 0).otherwise(F.pmod(F.xxhash64("text"), F.lit(FOLDS)) + 1))
-        # a task that is run again must meet its texts in the same order
-        slim = slim if few else slim.sortWithinPartitions("doc_id", "lang", "text")
+        # each round, and a task that is run again, must meet the same texts in the same order
+        slim = slim if few else slim.repartition(parts, "doc_id", "lang", "text").sortWithinPartitions("doc_id", "lang", "text")
         numbers = F.transform(words(F.col("text"), SPACE), lambda w: F.xxhash64("lang", w))
         numbers = F.concat(F.array(F.xxhash64("lang", F.lit(_START))), numbers)
         slim = slim.select("doc_id", "lang", F.col("fold").cast("int").alias("fold"), F.xxhash64("lang").alias("l"), numbers.alias("ids"))
@@ -470,7 +470,7 @@ def perplexity(
         kind = slim.schema["doc_id"].dataType.simpleString()
         row = f"rid long, part int, place int, doc_id {kind}, lang string, trusted boolean, n_words long, base double"
 
-        def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def score(batches: Iterator[pa.RecordBatch], turn: int) -> Iterator[pa.RecordBatch]:
             rid = TaskContext.get().partitionId() << 32
             w, c = _loose_words(known.value)
             word_gains = _word_entries(levels, np.array(langs, np.int64)[_loose(known.value[2], np.int32)] if w.size else w, c)
@@ -482,13 +482,13 @@ def perplexity(
                 texts.append(batch)
                 size += len(batch.column("ids").flatten())
                 if size > WORDS_AT_ONCE:
-                    yield from flush(texts, rid, bits, *held)
+                    yield from flush(texts, rid, turn, bits, *held)
                     texts, size, rid = [], 0, rid + 1
             if size:
-                yield from flush(texts, rid, bits, *held)
+                yield from flush(texts, rid, turn, bits, *held)
 
         def flush(
-            texts: list[pa.RecordBatch], rid: int, bits: np.ndarray, known_w: np.ndarray, word_gains: np.ndarray, known_keys: np.ndarray, known_gains: np.ndarray
+            texts: list[pa.RecordBatch], rid: int, turn: int, bits: np.ndarray, known_w: np.ndarray, word_gains: np.ndarray, known_keys: np.ndarray, known_gains: np.ndarray
         ) -> Iterator[pa.RecordBatch]:
             batch = pa.concat_batches(texts)
             ids, n = _lists(batch.column("ids"))
@@ -502,8 +502,9 @@ def perplexity(
             def meet(gains: np.ndarray, keys: np.ndarray, place: np.ndarray, passes: np.ndarray, owner: np.ndarray, of: np.ndarray, first: np.ndarray) -> None:
                 found = place >= 0
                 total[:] += np.bincount(owner[found], gains[place[found], of[found]], total.size)
-                rest = ~found & passes
-                asks.append((keys[rest], np.mod(first[rest], parts), owner[rest] << 3 | of[rest]))
+                part = np.mod(first, parts)
+                rest = ~found & passes & (part % ROUNDS == turn)
+                asks.append((keys[rest], part[rest], owner[rest] << 3 | of[rest]))
 
             different, at = np.unique(ids, return_inverse=True)
             word = _find(known_w, different)
@@ -526,7 +527,8 @@ def perplexity(
             columns = [np.full(n.size, rid), (numbered % parts).astype(np.int32), numbered.astype(np.int32)]
             columns = [*map(pa.array, columns), batch.column("doc_id"), batch.column("lang"), pa.array(trusted > 0), pa.array(k), pa.array(base, pa.float64())]
             names = ["rid", "part", "place", "doc_id", "lang", "trusted", "n_words", "base", "keys", "docs"]
-            yield pa.RecordBatch.from_arrays([*columns, pa.nulls(n.size, pa.binary()), pa.nulls(n.size, pa.binary())], names=names)
+            if turn == 0:
+                yield pa.RecordBatch.from_arrays([*columns, pa.nulls(n.size, pa.binary()), pa.nulls(n.size, pa.binary())], names=names)
 
             keys, part, doc = (np.concatenate(x) for x in zip(*asks, strict=True))
             order = np.lexsort((doc, keys, part))
@@ -585,9 +587,15 @@ def perplexity(
             value = pa.array(value, pa.float64(), mask=np.isnan(base))
             return texts.select(["doc_id", "lang", "trusted", "n_words"]).append_column("perplexity", value)
 
-        asked = slim.mapInArrow(score, f"{row}, keys binary, docs binary")
-        answers = asked.groupBy("part").cogroup(model.groupBy("part")).applyInArrow(answer, f"{row}, docs binary, gains binary")
-        result = answers.groupBy("rid").applyInArrow(told_of, f"doc_id {kind}, lang string, trusted boolean, n_words long, perplexity double")
+        answers = []
+        for turn in range(ROUNDS):
+            asked = slim.mapInArrow(partial(score, turn=turn), f"{row}, keys binary, docs binary")
+            own = model.where(F.col("part") % ROUNDS == turn)
+            answered = asked.groupBy("part").cogroup(own.groupBy("part")).applyInArrow(answer, f"{row}, docs binary, gains binary")
+            answers.append(scratch.table(answered, "answers"))
+            scratch.release()
+        scratch.drop(model)
+        result = reduce(DataFrame.unionAll, answers).groupBy("rid").applyInArrow(told_of, f"doc_id {kind}, lang string, trusted boolean, n_words long, perplexity double")
         return scratch.result(result, "perplexities")
 
 

@@ -435,6 +435,38 @@ def test_kneser_ney_keeps_all_words_and_holds_out(spark, monkeypatch, kw):
         assert got[i] == pytest.approx(brute_kneser_ney([texts[j].split() for j in own], kw.get("least", 1))(t.split()), rel=1e-9)
 
 
+def test_kneser_ney_counts_all_bigrams_packed(spark, monkeypatch):
+    monkeypatch.setattr(kneser_ney, "WORDS_AT_ONCE", 100)
+    rng = np.random.default_rng(7)
+    rows = [(l, f, [int(x) for x in rng.zipf(1.3, 40) % 500 + 1000 * l]) for l in (1, 2) for f in range(1, 6) for _ in range(8)]
+    trusted = spark.createDataFrame(rows, "l long, fold int, ids array<long>")
+    got, size = Counter(), 0
+    for turn in range(kneser_ney.ROUNDS):
+        for r in kneser_ney._chunks(trusted, 5, turn).collect():
+            v, w, n = kneser_ney._grams(r.asDict())
+            size += sum(len(r[c]) for c in ("v", "w", "fold", "n"))
+            for a, b, k in zip(v.tolist(), w.tolist(), n.tolist(), strict=True):
+                assert a % 5 == r.part and a % 5 % kneser_ney.ROUNDS == turn
+                got += Counter({(r.l, a, b, f): k[0] - k[f] for f in range(1, 6)})
+    assert got == Counter((l, *p, f) for l, f, ids in rows for p in zip(ids, ids[1:], strict=False))
+    assert size < 16 * len({x[:3] for x in got})  # a row of longs takes 72 bytes
+
+
+def test_kneser_ney_adds_up_over_rounds_and_blocks(spark, monkeypatch):
+    monkeypatch.setattr(kneser_ney, "BROADCAST_ENTRIES", 8)
+    rng = np.random.default_rng(8)
+    rows = [(i, " ".join(f"w{int(x)}" for x in rng.zipf(1.4, 30)), "en") for i in range(40)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(2)
+    ids = df.where("doc_id < 30").select("doc_id")
+    told = []
+    for block, rounds, few in ((1_000_000, 1, 100), (50, 3, 1)):
+        monkeypatch.setattr(kneser_ney, "WORDS_AT_ONCE", block)
+        monkeypatch.setattr(kneser_ney, "ROUNDS", rounds)
+        monkeypatch.setattr(kneser_ney, "BROADCAST_IDS", few)
+        told.append({r.doc_id: r.perplexity for r in kneser_ney.perplexity(df, ids).collect()})
+    assert len(told[0]) == 40 and told[0] == pytest.approx(told[1], rel=1e-12)
+
+
 def test_kneser_ney_keeps_no_table_but_its_result(spark):
     df = spark.createDataFrame([(i, f"a b{i % 3} c", "en") for i in range(20)], "doc_id long, text string, lang string")
     own = Path(scratch_path(spark, "x").removeprefix("file://")).parent
